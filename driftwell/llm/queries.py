@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact
+from . import bpe, chat, exact, language, minhash, secrets
 
 QUERIES = {
+    "op1_language": language.op1_language,
+    "op4_secrets": secrets.op4_secrets,
     "op7_content_sort": exact.op7_content_sort,
+    "op8_superminhash": minhash.op8_superminhash,
+    "op9_chat": chat.op9_chat,
     "op10_bpe_automaton": bpe.op10_bpe,
 }
 ORACLE_SQL = {"op7_content_sort": exact.OP7_SQL}
