@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact, language, minhash, secrets
+from . import bpe, chat, exact, forest, language, lines, minhash, packing, secrets, suffixes
 
 QUERIES = {
     "op1_language": language.op1_language,
+    "op2_suffix_merge": suffixes.op2_suffix_merge,
+    "op3_packing": packing.op3_packing,
     "op4_secrets": secrets.op4_secrets,
+    "op5_line_chunks": lines.op5_line_chunks,
+    "op6_forest": forest.op6_forest,
     "op7_content_sort": exact.op7_content_sort,
     "op8_superminhash": minhash.op8_superminhash,
     "op9_chat": chat.op9_chat,
     "op10_bpe_automaton": bpe.op10_bpe,
 }
-ORACLE_SQL = {"op7_content_sort": exact.OP7_SQL}
+ORACLE_SQL = {"op5_line_chunks": lines.OP5_SQL, "op7_content_sort": exact.OP7_SQL}
