@@ -9,6 +9,8 @@ from .common import cut, table
 
 #: A text that more rows than this share is sorted in several salted runs, whose leaders then meet.
 RUN_ROWS = 2000
+#: Hot hashes (16 bytes each) that may be broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 100_000
 #: Leading characters that splitters are sampled from; equal beginnings are told apart by a hash.
 LEAD = 48
 
@@ -34,8 +36,9 @@ def content_sort(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length(F.coalesce("text", F.lit(""))).alias("size"), normalised().alias("norm"))
     rows = rows.withColumn("norm_hash", F.xxhash64("norm"))
     hot = rows.groupBy("norm_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > run_rows).withColumn("runs", F.ceil(F.col("n") / run_rows).cast("int"))
-    # At most rows / run_rows hashes are hot; the optimizer broadcasts them if they are few and joins by shuffle if not.
-    rows = rows.join(hot.select("norm_hash", "runs"), "norm_hash", "left")
+    # At most rows / run_rows hashes are hot. They are counted, so that few are broadcast and the texts stay where they are.
+    hot = cut(hot.select("norm_hash", "runs"))
+    rows = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot, "norm_hash", "left")
     rows = rows.withColumn("salt", F.when(F.col("runs").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("runs")).cast("int")))
     rows = rows.withColumn("lead", F.substring("norm", 1, LEAD))
     key = ["lead", "norm_hash", "salt"]
