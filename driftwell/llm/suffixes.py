@@ -104,15 +104,15 @@ def dealt(docs: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            data, offsets = utf8_column(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = utf8_column(batch.column(2))
+            ids, parts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             at = 0
             while at < len(ids):
                 to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
                 out = []
                 for lo, hi, base in _stretches(offsets, at, to, length):
                     own = np.array([0, hi - lo]) if base is not None else offsets[at : to + 1] - offsets[at]
-                    out += _pack(data[lo:hi], own, ids[at:to], buckets, base or 0, length)
+                    out += _pack(data[lo:hi], own, ids[at:to], parts[at:to], buckets, base or 0, length)
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "packed"])
                 at = to
@@ -130,7 +130,7 @@ def _stretches(offsets, at, to, length):
         yield lo, min(high, lo + BLOCK + length - 1), lo - low
 
 
-def _pack(data, offsets, ids, buckets, base, length):
+def _pack(data, offsets, ids, parts, buckets, base, length):
     begin, n, least, of = segments(data, offsets, length)
     if not len(begin):
         return []
@@ -148,14 +148,14 @@ def _pack(data, offsets, ids, buckets, base, length):
     out = []
     gone = np.flatnonzero(later)
     if len(gone):  # a smaller document of this very batch holds the same segment
-        out.append((int(bucket[gone[0]]), b"R" + zlib.compress(np.stack([ids[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 1)))
+        out.append((int(bucket[gone[0]]), b"R" + zlib.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 1)))
     sent = np.flatnonzero(~later)
     sent = sent[np.argsort(bucket[sent], kind="stable")]
     edges = np.flatnonzero(np.diff(bucket[sent], prepend=-1, append=-2))
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         k = sent[a:b]
         text = data[_ragged(begin[k], (stop - begin)[k])]
-        head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
+        head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
         body = zlib.compress(head.tobytes() + text.tobytes(), 1)
         marks = (least[k] >> np.uint64(32)).astype("<u4").tobytes()
         out.append((int(bucket[k[0]]), b"S" + struct.pack("<q", len(k)) + marks + body))
@@ -266,22 +266,23 @@ def _bucket(length: int):
     import pyarrow as pa
 
     def run(group):
-        marks, docs, places, strings, texts, gone = [], [], [], [], [], []
+        marks, docs, places, rows, strings, texts, gone = [], [], [], [], [], [], []
         for row in group["packed"].combine_chunks():
             raw = row.as_py()
             if raw[:1] == b"R":
-                gone.append(np.frombuffer(zlib.decompress(raw[1:]), "<i8").reshape(3, -1))
+                gone.append(np.frombuffer(zlib.decompress(raw[1:]), "<i8").reshape(4, -1))
                 continue
             (n,) = struct.unpack("<q", raw[1:9])
             marks.append(np.frombuffer(raw, "<u4", n, 9))
             body = np.frombuffer(zlib.decompress(raw[9 + 4 * n :]), np.uint8)
             docs.append(np.cumsum(body[: 8 * n].view("<i8")))
             places.append(np.cumsum(body[8 * n : 16 * n].view("<i8")))
-            strings.append(body[16 * n : 17 * n].astype(np.int64))
-            texts.append(body[17 * n :])
+            rows.append(body[16 * n : 24 * n].view("<i8"))
+            strings.append(body[24 * n : 25 * n].astype(np.int64))
+            texts.append(body[25 * n :])
         parts = list(gone)
         if marks:
-            mark, doc, place, n, text = (np.concatenate(x) for x in (marks, docs, places, strings, texts))
+            mark, doc, place, row, n, text = (np.concatenate(x) for x in (marks, docs, places, rows, strings, texts))
             size = n + length - 1
             begin = np.cumsum(size) - size
             order = np.argsort(mark, kind="stable")
@@ -291,7 +292,7 @@ def _bucket(length: int):
             chosen = np.sort(order[np.repeat(low < high, count)])
             if len(chosen):
                 text = text[_ragged(begin[chosen], size[chosen])]
-                doc, place, n, size = doc[chosen], place[chosen], n[chosen], size[chosen]
+                doc, place, row, n, size = doc[chosen], place[chosen], row[chosen], n[chosen], size[chosen]
                 begin = np.cumsum(size) - size
                 # Segments with the same bytes are one, held by the least of their documents.
                 code = _codes(text, begin, begin + size)
@@ -303,30 +304,30 @@ def _bucket(length: int):
                 at = _ragged(first[back], n)
                 gone_at = owner[at] < np.repeat(doc, n)
                 where = _ragged(place, n)[gone_at]
-                of = np.repeat(doc, n)[gone_at]
+                of, own = np.repeat(doc, n)[gone_at], np.repeat(row, n)[gone_at]
                 if len(where):
                     new = np.ones(len(where), bool)
-                    new[1:] = (of[1:] != of[:-1]) | (where[1:] != where[:-1] + 1)
+                    new[1:] = (of[1:] != of[:-1]) | (own[1:] != own[:-1]) | (where[1:] != where[:-1] + 1)
                     b = np.flatnonzero(new)
                     e = np.append(b[1:], len(where)) - 1
-                    parts.append(np.stack([of[b], where[b], where[e] + length]))
-        done = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), np.int64)
-        return pa.table({"doc_id": pa.array(done[0], pa.int64()), "start": pa.array(done[1], pa.int64()), "stop": pa.array(done[2], pa.int64())})
+                    parts.append(np.stack([of[b], own[b], where[b], where[e] + length]))
+        done = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
+        return pa.table({name: pa.array(done[k], pa.int64()) for k, name in enumerate(("doc_id", "part", "start", "stop"))})
 
     return run
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, start, stop (bytes) of stretches whose every string of ``length`` bytes starts in a smaller doc_id too.
+    """doc_id, part, start, stop (bytes) of stretches whose every string of ``length`` bytes starts in a smaller doc_id too.
 
-    docs: doc_id (long), text. Ranges of a document may touch or overlap.
+    docs: doc_id (long), part (long, tells apart texts of one doc_id), text. Ranges of a text may touch or overlap.
     """
     spark = tune(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     packed = dealt(docs.filter(F.octet_length("text") >= length), buckets, length)
     spread = packed.repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
-    return spread.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, start long, stop long")
+    return spread.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -342,16 +343,21 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     tune(docs.sparkSession)
     rows = docs.select(*text_key(), F.coalesce("text", F.lit("")).alias("text"))
     digest = [F.col("text_hash"), F.xxhash64(F.lit(1), "text").alias("other_hash")]
+    # Texts that share a doc_id are told apart by their place among its hashes; as a rule there are none.
+    several = rows.filter("doc_id is not null").select("doc_id", "text_hash").groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x < y")
+    shared = cut(rows.select("doc_id", "text_hash").join(several.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_set("text_hash")).alias("hashes")))
+    rows = rows.join(F.broadcast(shared) if shared.count() <= 100_000 else shared, "doc_id", "left")
+    rows = rows.withColumn("part", F.when(F.col("hashes").isNull(), 0).otherwise(F.array_position("hashes", F.col("text_hash"))).cast("long")).drop("hashes")
     keys = rows.filter(F.octet_length("text") >= length).filter("doc_id is not null").select("doc_id", *digest)
     least = keys.groupBy("text_hash", "other_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     least = cut(least)
     copies = keys.join(least, ["text_hash", "other_hash"]).filter("doc_id > first").select("doc_id", "text_hash").distinct()
     copies = cut(copies)
     small = copies.count() <= 200_000  # 16 bytes each
-    once = rows.filter("doc_id is not null").join(F.broadcast(copies) if small else copies, ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = repeated_ranges(once, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    ranges = cut(ranges.withColumnRenamed("doc_id", "range_id"))
-    marked = rows.join(ranges, F.col("doc_id") == F.col("range_id"), "left").drop("range_id")
+    once = rows.filter("doc_id is not null").join(F.broadcast(copies) if small else copies, ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").cast("long").alias("doc_id"), "part", "text")
+    ranges = repeated_ranges(once, length).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    ranges = cut(ranges.withColumnsRenamed({"doc_id": "range_id", "part": "range_part"}))
+    marked = rows.join(ranges, (F.col("doc_id") == F.col("range_id")) & (F.col("part") == F.col("range_part")), "left")
     gone = (F.broadcast(copies) if small else copies).select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash"))
     marked = marked.join(gone, (F.col("doc_id") == F.col("copy_id")) & (F.col("text_hash") == F.col("copy_hash")), "left")
     marked = marked.select("doc_id", "text", "ranges", F.col("copy_id").isNotNull().alias("copy"))
