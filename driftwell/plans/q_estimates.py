@@ -146,20 +146,16 @@ def clusters(t):
 
 
 def games(t):
-    """Orders as matches between the suppliers of their lines, teams by nation. Each supplier plays one round of matches a year."""
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    rows = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").join(o, "l_orderkey").join(s, "l_suppkey")
-    # A league: each customer's nation and year decides which orders one supplier's games are, so chains stay short.
-    first = rows.groupBy("l_suppkey", F.year("o_orderdate").alias("y")).agg(F.min("l_orderkey").alias("l_orderkey"))
-    played = first.select("l_orderkey", "l_suppkey").distinct()
-    return rows.join(played, ["l_orderkey", "l_suppkey"]).groupBy("l_orderkey", "o_orderdate", "s_nationkey", "l_suppkey").agg(F.min("l_linenumber").alias("place"))
+    """Weekly leagues of users: each week and league is a match, ten users in turn make a team, the week's value decides places."""
+    weeks = t.events.groupBy(F.date_trunc("week", "ts").alias("week"), "user_id").agg(F.sum("value").alias("total"))
+    rows = weeks.select("week", "user_id", (F.col("user_id") % 10).alias("league"), F.floor(F.col("user_id") / 50).alias("team_id"), (-F.round("total", 2)).alias("place"))
+    return rows.withColumn("match", F.concat_ws("-", F.date_format("week", "yyyyMMdd"), "league"))
 
 
 @query("rating_history")
 def ratings(t):
-    """Ratings of suppliers, with every state before and after."""
-    return rating_history(games(t), "l_orderkey", "o_orderdate", "s_nationkey", "l_suppkey", "place")
+    """Ratings of users in weekly leagues, with every state before and after."""
+    return rating_history(games(t), "match", "week", "team_id", "user_id", "place")
 
 
 @query("rating_chain_check")
