@@ -97,10 +97,11 @@ def ordered_cut(df: DataFrame, key: str, order: Sequence[str], fraction: float)
 
     Keys are numbered by range partitions: only the partitions' row counts are summed in order, no task sees all keys.
     """
-    keys = df.select(key, *order).distinct()
+    order = [c for c in order if c != key]
+    keys = df.select(*order, key).distinct()
     spark = df.sparkSession
     total = keys.count()
-    ranges = keys.repartitionByRange(*order, key) if total else keys
+    ranges = keys.repartitionByRange(*order, key) if total else keys  # the key comes last unless it is the order
     numbered = ranges.sortWithinPartitions(*order, key).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
     schema = ranges.schema.add("_n", "long")
     numbered = spark.createDataFrame(numbered, schema)

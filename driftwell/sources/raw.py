@@ -20,15 +20,13 @@ def file_key(path=None):
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """One row a manifest file, with its directories' partition columns; corrupt files keep their text in ``_corrupt``."""
-    schema = MANIFEST.add(CORRUPT, "string") if CORRUPT not in MANIFEST.names else MANIFEST
-    df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(root)
+    df = spark.read.schema(f"{MANIFEST}, {CORRUPT} string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(root)
     return df.withColumn("file_match_id", file_key())
 
 
 def read_telemetry(spark: SparkSession, root: str) -> DataFrame:
     """One row an event: files hold arrays of events of many types, read under one schema of all their fields."""
-    schema = EVENT.add(CORRUPT, "string") if CORRUPT not in EVENT.names else EVENT
-    df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(root)
+    df = spark.read.schema(f"{EVENT}, {CORRUPT} string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(root)
     return df.withColumn("match_id", file_key())
 
 
@@ -59,14 +57,14 @@ def read_gz_layers(spark: SparkSession, root: str, glob: str = "*.gz") -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["path", "body"])
 
     rows = files.mapInArrow(run, "path string, body string")
-    parsed = rows.withColumn("e", F.explode_outer(F.from_json("body", f"array<{EVENT.simpleString()}>")))
+    parsed = rows.withColumn("e", F.explode_outer(F.from_json("body", f"array<struct<{EVENT}>>")))
     return parsed.select("path", file_key(F.col("path")).alias("match_id"), "e.*")
 
 
 def event_counts(events: DataFrame, key: str = "match_id") -> DataFrame:
     """Events of each file; -1 for one that can't be parsed."""
     bad = F.bool_or(F.col(CORRUPT).isNotNull())
-    return events.groupBy(key).agg(F.when(bad, F.lit(-1)).otherwise(F.count(F.lit(1))).alias("n_events"))
+    return events.groupBy(key).agg(F.when(bad, F.lit(-1)).otherwise(F.count_if(F.col("_T").isNotNull() | F.col(CORRUPT).isNull())).alias("n_events"))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

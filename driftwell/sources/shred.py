@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flatten, is_bot, region_of, size0
-from .schemas import BRONZE, CHARACTER_FIELDS, DAMAGE_FIELDS
+from .schemas import CHARACTER_FIELDS, DAMAGE_FIELDS, bronze_columns
 
 #: Event types that each table is made of.
 PHASE, STATE, KILL, LANDING, POSITION, DEFINITION = "LogPhaseChange", "LogGameStatePeriodic", "LogPlayerKillV2", "LogParachuteLanding", "LogPlayerPosition", "LogMatchDefinition"
 
 
 def _shape(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE[table].fields))
+    return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in bronze_columns(table)))
 
 
 def included(kind: str) -> Column:
