@@ -69,23 +69,18 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     nodes = nodes.join(there, "parent", "left").withColumn("up", F.when(F.col("has_parent"), F.col("parent")))
     inner = nodes.filter("up is not null").select(F.col("up").alias("node"), F.lit(True).alias("inner")).distinct()
     base = nodes.join(inner, "node", "left").select("node", "tree", "up", "score", F.coalesce("inner", F.lit(False)).alias("inner"))
-    state = cut(base.select("node", "tree", "inner", "up", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")))
-    jumps = []
-    limit = state.count()
-    while True:
-        step = state.filter("up is not null").select("node", "up")
-        if step.isEmpty():
-            break
+    moving = cut(base.select("node", "tree", "inner", "up", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")))
+    limit, jumps = moving.count(), []
+    settled, moving = moving.filter("up is null"), moving.filter("up is not null")
+    # Messages whose pointer has reached the root stay aside, so that later rounds hold only the deeper ones.
+    while not moving.isEmpty():
         if (1 << len(jumps)) > 2 * limit:  # only cycles are left
             break
-        jumps.append(step)
-        other = state.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("t2"))
-        moving = state.join(other, "up", "left")
-        state = cut(moving.select(
-            "node", "tree", "inner", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-        ))
-    leaves = state.filter("not inner and up is null").select("tree", F.col("node").alias("leaf"), "depth", "total")
+        jumps.append(moving.select("node", "up"))
+        other = settled.unionByName(moving).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("t2"))
+        moved = cut(moving.join(other, "up").select("node", "tree", "inner", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("total") + F.col("t2")).alias("total")))
+        settled, moving = settled.unionByName(moved.filter("up is null")), moved.filter("up is not null")
+    leaves = settled.filter("not inner").select("tree", F.col("node").alias("leaf"), "depth", "total")
     if branches is None:
         order = Window.partitionBy("tree").orderBy(F.col("total").desc(), "leaf")
         chosen = leaves.withColumn("rank", F.row_number().over(order))
