@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_key, tune
+from .common import cut, table, text_key, tune
 
 #: Base patterns, in the order in which they are listed: (kind, pattern, group that is measured, least length).
 BASE = [
@@ -99,7 +99,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     that repeat doc_id and text share one row. Other columns are not read.
     """
     keyed = docs.select(*text_key(), "text")
-    found = parts(keyed, "doc_id", "text_hash").distinct()
+    found = cut(parts(keyed, "doc_id", "text_hash").distinct())  # read three times below
     spans = found.filter("strong").unionByName(linked(found, ["doc_id", "text_hash"], scope))
     rank = F.array_position(F.array(*map(F.lit, ORDER)), F.col("kind"))
     one = F.struct(F.col("start"), rank.alias("rank"), F.col("kind"), F.col("stop"))
