@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage as cut  # noqa: F401
+
 #: Ceiling on what one Arrow batch hands to a Python worker; long rows make batches shorter.
 BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
 
@@ -26,29 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="driftwell-checkpoint-"))
-        configured = sc.getCheckpointDir()
-    return configured.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back.
-
-    Later jobs start from files that every executor can read, so a lost executor costs no recomputation of
-    what came before, and each use is a pruned columnar scan.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/driftwell-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_key() -> list:
     """Key of a row by content: rows that repeat both id and text are one document with one result."""
     return [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]

@@ -157,6 +157,11 @@ def op1_language(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """docs without those whose language can't be told (null texts, texts without a letter); learned as in op1."""
+    """docs without those whose language can't be told (null texts, texts without a letter); learned as in op1.
+
+    Where nothing is labelled nothing can be learned, and a letter is all that is asked for.
+    """
     model = train(docs.filter(~held_out()).select("doc_id", "text", "lang"))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     return identify(docs, model).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
