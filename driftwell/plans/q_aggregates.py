@@ -85,8 +85,8 @@ def heatmap(t):
 @query("item_performance", """
 with b as (select p_brand, o_orderpriority, l_extendedprice as d, l_orderkey, l_suppkey, l_returnflag = 'R' as returned,
 case when l_quantity < 10 then 'few' when l_quantity < 25 then 'some' else 'many' end as size from lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey where l_linestatus = 'F'),
-g as (select p_brand, o_orderpriority, size, count(*) as sales, count(distinct l_orderkey) as orders, count(distinct l_suppkey) as suppliers, round(median(d), 1) as median_price, round(avg(d), 1) as mean_price,
-round(quantile_cont(d, 0.9), 1) as p90_price, round(avg(case when returned then 1.0::double else 0.0::double end), 6) as return_rate from b group by 1, 2, 3)
+g as (select p_brand, o_orderpriority, size, count(*) as sales, count(distinct l_orderkey) as orders, count(distinct l_suppkey) as suppliers, round(median(d), 4) as median_price, round(avg(d), 7) as mean_price,
+round(quantile_cont(d, 0.9), 5) as p90_price, round(avg(case when returned then 1.0::double else 0.0::double end), 6) as return_rate from b group by 1, 2, 3)
 select *, sum(sales) over (partition by o_orderpriority)::bigint as priority_sales, round(sales / cast(sum(sales) over (partition by o_orderpriority) as double), 8) as sale_share, sales >= 100 as has_enough from g""")
 def item_performance(t):
     """Brands by priority and size: the weapon mart's plan on lineitems."""
@@ -94,8 +94,8 @@ def item_performance(t):
     rows = rows.join(t.part.select("p_partkey", "p_brand"), "p_partkey").join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     rows = rows.withColumn("size", bucket("l_quantity", [10, 25], ["few", "some", "many"]))
     g = rows.groupBy("p_brand", "o_orderpriority", "size").agg(
-        F.count(F.lit(1)).alias("sales"), F.count_distinct("o_orderkey").alias("orders"), F.count_distinct("l_suppkey").alias("suppliers"), F.round(F.median("d"), 1).alias("median_price"), F.round(F.avg("d"), 1).alias("mean_price"),
-        F.round(F.percentile("d", F.lit(0.9)), 1).alias("p90_price"), F.round(rate(F.col("l_returnflag") == "R"), 6).alias("return_rate"),
+        F.count(F.lit(1)).alias("sales"), F.count_distinct("o_orderkey").alias("orders"), F.count_distinct("l_suppkey").alias("suppliers"), F.round(F.median("d"), 4).alias("median_price"), F.round(F.avg("d"), 7).alias("mean_price"),
+        F.round(F.percentile("d", F.lit(0.9)), 5).alias("p90_price"), F.round(rate(F.col("l_returnflag") == "R"), 6).alias("return_rate"),
     )
     out = group_share(g, ["o_orderpriority"], "sales", "priority_sales", "sale_share")
     return out.withColumns({"sale_share": F.round("sale_share", 8), "has_enough": F.col("sales") >= 100})

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -22,7 +23,7 @@ def sql():
 
 def rows(frame, columns):
     def one(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return "null"
         return f"{float(x):.7g}" if isinstance(x, (bool, int, float)) or hasattr(x, "dtype") else str(x)
 
