@@ -18,6 +18,7 @@ import json
 import re
 import unicodedata
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -308,6 +309,7 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(np.asarray(starts, np.int64) - (ends - lens), lens)
 
 
+@lru_cache(maxsize=2)
 def compile_automaton(path: str) -> Automaton:
     """Compile a vocabulary file's merges, gadget by gadget."""
     spec = json.load(open(path, encoding="utf-8"))

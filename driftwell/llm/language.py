@@ -63,26 +63,33 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
-def fit(seen: np.ndarray, labels: list[str], seed: int = 7) -> Model:
-    """Nystroem landmarks and one-versus-rest kernel ridge regression. seen: rows x PLACES booleans."""
+def unit(bits: np.ndarray) -> np.ndarray:
+    """Packed presences as rows of length one."""
+    rows = np.unpackbits(bits, axis=1).astype(np.float32)
+    return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
+
+
+def fit(bits: np.ndarray, labels: list[str], seed: int = 7) -> Model:
+    """Nystroem landmarks and one-versus-rest kernel ridge regression. bits: rows x PLACES / 8 bytes of packed presences.
+
+    Presences are unpacked some rows at a time; the driver holds the landmarks and one block.
+    """
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((PLACES, 0), np.float32))
     y = np.array([languages.index(x) for x in labels])
     rng = np.random.default_rng(seed)
     chosen = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:LANDMARKS] for k in range(len(languages))])
-    x = seen.astype(np.float32)
-    x /= np.sqrt(np.maximum(seen.sum(1), 1))[:, None]
-    marks = x[chosen]
+    marks = unit(bits[chosen])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
-    features = (x @ marks.T).astype(np.float64) @ whiten
+    features = np.concatenate([(unit(bits[at : at + 64]) @ marks.T).astype(np.float64) @ whiten for at in range(0, len(bits), 64)])
     targets = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
     balance = (1.0 / np.bincount(y, minlength=len(languages)))[y][:, None]  # each language weighs the same
     left = features.T @ (balance * features) + RIDGE * np.eye(features.shape[1]) / len(chosen)
-    coefficients = whiten @ np.linalg.solve(left, features.T @ (balance * targets))
-    return Model(languages, (marks.T.astype(np.float64) @ coefficients).astype(np.float32))
+    coefficients = (whiten @ np.linalg.solve(left, features.T @ (balance * targets))).astype(np.float32)
+    return Model(languages, marks.T @ coefficients)
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS, key: str = "doc_id") -> Model:
@@ -112,8 +119,8 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, key: str = "doc_id") -> M
     kind = labelled.schema[key].dataType.simpleString()
     got = taken.mapInArrow(run, f"`{key}` {kind}, lang string, bits binary").collect()
     got.sort(key=lambda r: (r["lang"], str(r[key]), r["bits"]))
-    seen = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in got], bool).reshape(len(got), PLACES)
-    return fit(seen, [r["lang"] for r in got])
+    bits = np.frombuffer(b"".join(r["bits"] for r in got), np.uint8).reshape(len(got), PLACES // 8)
+    return fit(bits, [r["lang"] for r in got])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
