@@ -15,19 +15,19 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, mix64, table, text_key, tune, utf8_column
 
-LENGTH, SEED = 50, 14
+LENGTH, SEED = 50, 20
 #: Strings in a segment at most.
 RUN = 64
 #: Bytes of input whose segments one bucket holds, and segments in a shard.
-BUCKET_BYTES, SHARD = 3 << 20, 2048
+BUCKET_BYTES, SHARD = 3 << 20, 4096
 #: Bytes of text that are cut into segments at a time.
 BLOCK = 8 << 20
 
@@ -148,7 +148,7 @@ def _pack(data, offsets, ids, parts, buckets, base, length):
     out = []
     gone = np.flatnonzero(later)
     if len(gone):  # a smaller document of this very batch holds the same segment
-        out.append((int(bucket[gone[0]]), b"R" + zlib.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 1)))
+        out.append((int(bucket[gone[0]]), b"R" + zstandard.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 3)))
     sent = np.flatnonzero(~later)
     sent = sent[np.argsort(bucket[sent], kind="stable")]
     edges = np.flatnonzero(np.diff(bucket[sent], prepend=-1, append=-2))
@@ -156,7 +156,7 @@ def _pack(data, offsets, ids, parts, buckets, base, length):
         k = sent[a:b]
         text = data[_ragged(begin[k], (stop - begin)[k])]
         head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
-        body = zlib.compress(head.tobytes() + text.tobytes(), 1)
+        body = zstandard.compress(head.tobytes() + text.tobytes(), 3)
         marks = (least[k] >> np.uint64(32)).astype("<u4").tobytes()
         out.append((int(bucket[k[0]]), b"S" + struct.pack("<q", len(k)) + marks + body))
     return out
@@ -171,19 +171,18 @@ def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, lengt
     n = len(begin)
     total = int((size + 1).sum())
     first = np.cumsum(size + 1) - (size + 1)
-    line = np.zeros(total + length, np.uint16)
+    line = np.zeros(total + length, np.uint8)  # UTF-8 has no byte 255
     where = _ragged(first, size)
-    line[where] = text[_ragged(begin, size)].astype(np.uint16) + 1
+    line[where] = text[_ragged(begin, size)] + np.uint8(1)
     # Keys of 8 bytes at a time; ends are unlike each other, in the order of the segments.
-    rank = np.zeros(total, np.int64)
     suffix = np.arange(total)
     rest = np.repeat(size, size + 1) - (suffix - np.repeat(first, size + 1))  # bytes before the end
     owner = np.repeat(np.arange(n), size + 1)
     order = None
-    for at in range(0, length, 7):
+    for at in range(0, length, 8):
         key = np.zeros(total, np.uint64)
-        for k in range(7):
-            key = key * np.uint64(257) + line[np.minimum(suffix + at + k, total + length - 1)] * (rest > at + k)
+        for k in range(min(8, length - at)):
+            key = (key << np.uint64(8)) | (line[suffix + (at + k)] * (rest > at + k)).astype(np.uint64)
         if order is None:
             order = np.argsort(key, kind="stable")
             sorted_key = key[order]
@@ -201,11 +200,10 @@ def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, lengt
             fresh = np.ones(len(tied), bool)
             fresh[1:] = (block[1:] != block[:-1]) | (kb[1:] != kb[:-1])
             new[tied] |= fresh
-    rank = None  # noqa: F841
     ends = np.flatnonzero(rest == 0)
     is_end = rest[order] == 0
     order = np.concatenate([ends, order[~is_end]])
-    before = np.where(suffix == first[owner], 0, line[np.maximum(suffix - 1, 0)])[order]
+    before = np.where(suffix == first[owner], np.uint8(0), line[np.maximum(suffix - 1, 0)])[order]
     return order, before
 
 
@@ -215,25 +213,28 @@ def merge(transforms: list[np.ndarray], ends: list[int], length: int) -> tuple[n
     ends: numbers of segments in the shards. After pass h, suffixes are ordered by their first h bytes and blocks
     hold those that share them; segments' ends are unlike each other, so they are blocks of their own.
     """
-    shard = np.repeat(np.arange(len(transforms), dtype=np.int32), [len(t) for t in transforms])
-    starts = np.cumsum([0, *[len(t) for t in transforms]])[:-1]
+    few = np.uint8 if len(transforms) < 256 else np.uint16  # small keys are counted, not compared, by a stable argsort
+    shard = np.repeat(np.arange(len(transforms), dtype=few), [len(t) for t in transforms])
     joined = np.concatenate(transforms)
     n_ends = sum(ends)
     block = np.zeros(len(shard), np.int32)
-    seen = np.arange(len(shard))  # places in joined, in the merged order
-    end_shards = np.repeat(np.arange(len(ends), dtype=np.int32), ends)
+    char_at = joined  # the transforms' bytes in the merged order
+    end_shards = np.repeat(np.arange(len(ends), dtype=few), ends)
+    new = np.ones(len(shard), bool)
     for _ in range(length):
-        step = joined[seen]
-        order = np.argsort(step, kind="stable")
-        order = order[n_ends:] if n_ends else order  # suffixes that begin segments lead to ends, whose order is fixed
-        char, old = step[order], block[order]
-        shard = np.concatenate([end_shards, shard[order]])
-        new = np.ones(len(shard), bool)
+        # Suffixes that begin segments (byte 0) lead to ends, whose order is fixed.
+        order = np.argsort(char_at, kind="stable")[n_ends:]
+        char, old = char_at[order], block[order]
+        shard[n_ends:] = shard[order]
+        shard[:n_ends] = end_shards
         new[n_ends + 1 :] = (char[1:] != char[:-1]) | (old[1:] != old[:-1])
         block = np.cumsum(new, dtype=np.int32)
-        by_shard = np.argsort(shard, kind="stable")
-        seen = np.empty(len(shard), np.int64)
-        seen[by_shard] = np.arange(len(shard))
+        char_at = np.empty_like(joined)
+        if len(transforms) <= 6:
+            for k, own in enumerate(transforms):
+                char_at[shard == k] = own
+        else:
+            char_at[np.argsort(shard, kind="stable")] = joined
     return shard, new
 
 
@@ -270,11 +271,11 @@ def _bucket(length: int):
         for row in group["packed"].combine_chunks():
             raw = row.as_py()
             if raw[:1] == b"R":
-                gone.append(np.frombuffer(zlib.decompress(raw[1:]), "<i8").reshape(4, -1))
+                gone.append(np.frombuffer(zstandard.decompress(raw[1:]), "<i8").reshape(4, -1))
                 continue
             (n,) = struct.unpack("<q", raw[1:9])
             marks.append(np.frombuffer(raw, "<u4", n, 9))
-            body = np.frombuffer(zlib.decompress(raw[9 + 4 * n :]), np.uint8)
+            body = np.frombuffer(zstandard.decompress(raw[9 + 4 * n :]), np.uint8)
             docs.append(np.cumsum(body[: 8 * n].view("<i8")))
             places.append(np.cumsum(body[8 * n : 16 * n].view("<i8")))
             rows.append(body[16 * n : 24 * n].view("<i8"))
