@@ -21,8 +21,8 @@ WORDS, SIMILARITY = 5, 75
 BANDS, ROWS = 32, 4
 #: Shingles at a time; longer texts go through in blocks.
 BLOCK = 1 << 14
-#: Rounds in which a large bucket's members meet one drawn member; what is then still apart meets in full.
-DRAWS = 4
+#: Members in a block, and shingles (columns) that a block's product takes at a time.
+MEET, COLUMNS = 256, 1 << 13
 #: Members of a bucket that meet each other at once.
 SMALL = 24
 
@@ -183,14 +183,56 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) ->
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def meet(group, similarity: int):
+    """Links among one pair of blocks of a bucket's members, as each member's root: id, root. group: an Arrow table.
+
+    Intersections of all sets at once are a product of the incidence matrix with itself, some columns after others.
+    """
+    import pyarrow as pa
+
+    ids, comp, block = (group[c].to_numpy() for c in ("id", "c", "block"))
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    data, offsets = utf8_column(group["text"].combine_chunks())
+    s, n = shingle_sets(data, offsets)
+    owner = np.repeat(np.arange(len(n)), n)
+    _, column, often = np.unique(s, return_inverse=True, return_counts=True)
+    shared = often[column] > 1  # a shingle of one member is in no intersection
+    column, owner = np.unique(column[shared], return_inverse=True)[1], owner[shared]
+    common = np.zeros((len(n), len(n)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        m = np.zeros((len(n), COLUMNS), np.float32)
+        m[owner[a:b], column[a:b] - at] = 1
+        common += m @ m.T
+    union = n[:, None] + n[None, :] - common
+    link = (common > 0) & (100 * common >= similarity * union) & (comp[:, None] != comp[None, :])
+    if i != j:
+        link &= block[:, None] != block[None, :]
+    u, v = np.nonzero(link)
+    place = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
+    root = place.copy()
+    while len(u):
+        new = root.copy()
+        np.minimum.at(new, u, root[v])
+        if (new == root).all():
+            break
+        root = new
+    by_place = np.argsort(place)
+    moved = np.flatnonzero(root != place)
+    return pa.table({"a": group["id"].take(pa.array(moved)), "b": group["id"].take(pa.array(by_place[root[moved]]))})
+
+
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Components of docs under links of 100 * intersection >= similarity * union of their word shingle sets.
 
     Equal sets are one class, represented by its smallest doc_id. A band's bucket is settled without emitting all of
-    its pairs: its members meet the smallest of them, then, while they are in more than one component, another drawn
-    one, and what is still apart after ``DRAWS`` rounds meets each member of the bucket's other components. So
-    every two members of a bucket were compared or are connected by links, and no link between components is lost
-    but those that share no band (5e-6 at the threshold, less above).
+    its pairs: its members meet the smallest of them, then, if they are in more than one component, another drawn one.
+    Members of small buckets that are still apart meet in pairs. What is then apart in a large bucket meets in pairs
+    of blocks, in one matrix product each, which give back links but no pairs. So every two
+    members of a bucket were compared or are connected by links, and no link between components is lost but those
+    that share no band (5e-6 at the threshold, less above).
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable, itself included), kept. Null, empty and blank
     texts have no shingles and link with nothing. Rows that repeat a doc_id are one node: what one links, both link;
@@ -212,25 +254,33 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
     tested = cut(pair(members.join(leads, "lead"), "id", "lead", "n", "lead_n"))
     links = cut(verify(tested, texts, similarity))
-    for turn in range(1, DRAWS + 2):
-        components = connected_components(links)
+    kind = classes.schema["doc_id"].dataType.simpleString()
+    pointers = lambda c: c.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+    def undecided(components: DataFrame, turn: int) -> DataFrame:
+        """Members of buckets that hold more than one component, with one member drawn from each bucket."""
         named = members.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
         apart = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by(F.struct("id", "c", "n"), F.xxhash64("id", F.lit(turn))).alias("drawn")).filter("c0 < c1")
-        open_ = cut(named.join(apart.select("key", "drawn"), "key").select("key", "id", "n", "c", "size", "drawn"))
-        small = open_ if turn > DRAWS else open_.filter(F.col("size") <= SMALL)
-        x, y = small.alias("x"), small.alias("y")
-        cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & shape(F.col("x.id"), F.col("y.id"), F.col("x.n"), F.col("y.n")))
-        new = cross.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-        if turn <= DRAWS:
-            large = open_.filter((F.col("size") > SMALL) & (F.col("c") != F.col("drawn.c"))).select("id", "n", F.col("drawn.id").alias("d"), F.col("drawn.n").alias("m"))
-            new = new.unionByName(pair(large, "id", "d", "n", "m"))
-        new = cut(new.distinct().join(tested, ["a", "b"], "left_anti"))
-        more = cut(verify(new, texts, similarity))
-        tested, links = cut(tested.unionByName(new)), cut(links.unionByName(more))
-        left_large = turn <= DRAWS and not open_.filter(F.col("size") > SMALL).isEmpty()
-        if not left_large:
-            break
+        return cut(named.join(apart.select("key", "drawn"), "key").select("key", "id", "n", "c", "size", "drawn"))
+
     components = connected_components(links)
+    rest = undecided(components, 1)
+    x, y = rest.filter(F.col("size") <= SMALL).alias("x"), rest.filter(F.col("size") <= SMALL).alias("y")
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & shape(F.col("x.id"), F.col("y.id"), F.col("x.n"), F.col("y.n")))
+    drawn = rest.filter((F.col("size") > SMALL) & (F.col("c") != F.col("drawn.c"))).select("id", "n", F.col("drawn.id").alias("d"), F.col("drawn.n").alias("m"))
+    new = pair(drawn, "id", "d", "n", "m").unionByName(cross.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
+    more = cut(verify(cut(new.join(tested, ["a", "b"], "left_anti")), texts, similarity))
+    if not more.isEmpty():
+        components = connected_components(more.unionByName(pointers(components)))
+    large = undecided(components, 2).filter(F.col("size") > SMALL)
+    blocks = F.ceil(F.col("size") / MEET).cast("int")
+    placed = large.select("key", "id", "c", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "c", "block")
+    dealt = dealt.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+    last = cut(dealt.groupBy("key", "i", "j").applyInArrow(lambda g: meet(g, similarity), f"a {kind}, b {kind}"))
+    if not last.isEmpty():
+        components = connected_components(last.unionByName(pointers(components)))
     rep = classes.select("set_hash", F.col("doc_id").alias("id")).join(components, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     out = sig.select("doc_id", "n_shingles", "set_hash").join(cut(rep), "set_hash", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
