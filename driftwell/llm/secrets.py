@@ -68,38 +68,49 @@ def parts(docs: DataFrame, *keep: str) -> DataFrame:
     return source.mapInArrow(run, ", ".join([*fields, "kind string, part string, strong boolean, start long, stop long"]))
 
 
-def linked(found: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFrame:
-    """The weak parts of found that have a strong complementary part within scope code points of the same document.
+def beside(weak: DataFrame, others: DataFrame, keys: list[str], scope: int) -> DataFrame:
+    """The rows of weak that have a complementary part among others within scope code points of the same document.
 
-    An interval semi-join: a strong part lies in one bin of its document, a weak part looks into the bins that its
-    scope touches, and the exact distance is tested in the join. A key holds at most one bin's parts, however long
-    a document is.
+    An interval semi-join: a part lies in the bins of its document that it touches, a weak part looks into the bins
+    that its scope touches, and the exact distance is tested in the join. A key holds at most one bin's parts, however
+    long a document is. Of two weak parts neither may lie in the other: one token is not an id and a secret at once.
     """
     width = 4 * scope
-    strong = found.filter("strong").select(*keys, F.col("part").alias("s_part"), F.col("start").alias("s_start"), F.col("stop").alias("s_stop"))
-    # A long strong part is met from both ends.
-    strong = strong.withColumn("bin", F.explode(F.array_distinct(F.array(F.floor(F.col("s_start") / width), F.floor((F.col("s_stop") - 1) / width)))))
-    weak = found.filter("not strong").withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - scope) / width), F.floor((F.col("stop") + scope) / width))))
+    others = others.select(*keys, F.col("part").alias("s_part"), F.col("strong").alias("s_strong"), F.col("start").alias("s_start"), F.col("stop").alias("s_stop"))
+    others = others.withColumn("bin", F.explode(F.sequence(F.floor(F.col("s_start") / width), F.floor((F.col("s_stop") - 1) / width))))
+    weak = weak.withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - scope) / width), F.floor((F.col("stop") + scope) / width))))
     pairs = F.lit(False)
     for kind, _, _, complements in WEAK:
-        pairs = pairs | ((weak["kind"] == kind) & strong["s_part"].isin(*complements))
-    near = (strong["s_start"] <= weak["stop"] + scope) & (strong["s_stop"] >= weak["start"] - scope)
-    same = [weak[k].eqNullSafe(strong[k]) for k in keys] + [weak["bin"] == strong["bin"]]
-    condition = near & pairs
+        pairs = pairs | ((weak["kind"] == kind) & others["s_part"].isin(*complements))
+    near = (others["s_start"] <= weak["stop"] + scope) & (others["s_stop"] >= weak["start"] - scope)
+    apart = others["s_strong"] | (weak["kind"] == "endpoint") | (others["s_start"] >= weak["stop"]) | (others["s_stop"] <= weak["start"])
+    same = [weak[k].eqNullSafe(others[k]) for k in keys] + [weak["bin"] == others["bin"]]
+    condition = near & pairs & apart
     for c in same:
         condition = condition & c
-    return weak.join(strong, condition, "left_semi").drop("bin").distinct()
+    return weak.join(others, condition, "left_semi").drop("bin").distinct()
+
+
+def linked(found: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFrame:
+    """The weak parts of found that make up a credential with parts nearby, strong or weak.
+
+    An id and a secret within scope suffice, whatever their strength: a login beside a bare token links both. An
+    endpoint needs a strong part, or a weak one that is itself linked, within scope: an address beside a token that
+    no id accompanies stays out.
+    """
+    pair = cut(beside(found.filter("not strong and part <> 'endpoint'"), found.filter("part <> 'endpoint'"), keys, scope))  # read twice
+    return pair.unionByName(beside(found.filter("part = 'endpoint'"), found.filter("strong").unionByName(pair), keys, scope))
 
 
 def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Spans of secrets by document: doc_id, text_hash, spans array<struct<start, rank, kind, stop>> in order.
 
-    Base matches always count. Weak candidates (bare tokens, logins, endpoints) are reported only when a complementary
-    strong part lies within ``scope`` code points. Documents without spans, null and empty texts have no row. Rows
+    Base matches always count. Weak candidates (bare tokens, logins, endpoints) are reported only when complementary
+    parts, strong or weak, lie within ``scope`` code points (linked() has the rule). Documents without spans, null and empty texts have no row. Rows
     that repeat doc_id and text share one row. Other columns are not read.
     """
     keyed = docs.select(*text_key(), "text")
-    found = cut(parts(keyed, "doc_id", "text_hash").distinct())  # read three times below
+    found = cut(parts(keyed, "doc_id", "text_hash").distinct())  # read several times below
     spans = found.filter("strong").unionByName(linked(found, ["doc_id", "text_hash"], scope))
     rank = F.array_position(F.array(*map(F.lit, ORDER)), F.col("kind"))
     one = F.struct(F.col("start"), rank.alias("rank"), F.col("kind"), F.col("stop"))

@@ -203,6 +203,20 @@ def test_bare_tokens_after_equals_signs_and_long_ones(spark):
     assert not any(key in clean[d] or long in clean[d] for d in (1, 2, 3, 4))
 
 
+
+def test_weak_parts_alone_make_a_credential(spark):
+    bare, far = "Zk3" * 13, "." * 900
+    rows = [
+        (1, f"user: svc\n{bare}\nhttps://db.example/x"), (2, f"{bare} https://db.example/x"), (3, "user: svc https://db.example/x"), (4, f"user: svc {far} {bare}"), (5, f"user: {bare}"),
+        (6, f"user: svc {bare} {far} https://db.example/x"), (7, f"user: svc {'.' * 150} {bare} {'.' * 150} https://db.example/x"), (8, f"https://db.example/?user=svc&k={bare}"),
+        (9, f"token={'x' * 2000}.user=svc.{'x' * 2000}"),
+    ]
+    got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == ["login", "bare", "endpoint"] and got[7] == ["login", "bare", "endpoint"] and sorted(got[8]) == ["bare", "endpoint", "login"]
+    assert got[2] == got[3] == got[4] == got[5] == [] and got[6] == ["login", "bare"]
+    assert got[9] == ["assign", "login"]
+
+
 def test_lines(docs, empty):
     out = lines.dedup_lines(docs).collect()
     assert len(out) == len(ROWS)
