@@ -3,6 +3,8 @@
 Every string of ``LENGTH`` bytes has a minimizer, the least hash of its substrings of ``SEED`` bytes; equal strings have
 the same. Runs of strings with one minimizer are cut out as segments and dealt to buckets by it, so that all the places
 of a string meet in one bucket and buckets are independent. Copies of a segment are folded before they are shuffled.
+A minimizer with more bytes than a share of a bucket, as at the edges of a passage that many documents hold, would fill
+its bucket; its strings are dealt by a hash of the whole string instead, one by one, and compared by 128 bits of hash.
 
 In a bucket, segments that stand alone under their minimizer go. The others are dealt to shards; each shard's transform
 is built once, and the transforms are merged by refining their interleave (Holt and McMillan 2014): pass h places the
@@ -30,9 +32,14 @@ RUN = 64
 BUCKET_BYTES, SHARD = 3 << 20, 4096
 #: Bytes of text that are cut into segments at a time.
 BLOCK = 8 << 20
+#: Bytes of a minimizer's segments, after folding, from which its strings are dealt one by one. They are estimated from
+#: one in SAMPLE texts and all texts of LONG bytes; a wrong estimate moves strings to other buckets, never drops them.
+HOT_BYTES, SAMPLE, LONG = BUCKET_BYTES // 4, 16, 1 << 20
 
 _BYTE = mix64(np.arange(256, dtype=np.uint64) + np.uint64(1 << 41))
 _P = 0x9E3779B97F4A7C15 | 1
+#: A second hash, with other values and another base.
+_BYTE2, _P2 = mix64(np.arange(256, dtype=np.uint64) + np.uint64(1 << 43)), 0xD1342543DE82EF95
 
 
 def _seeds(data: np.ndarray, seed: int) -> np.ndarray:
@@ -89,33 +96,62 @@ def _ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
 
 
-def _codes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+def _codes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, values: np.ndarray = _BYTE, base: int = _P) -> np.ndarray:
     """A 64-bit hash of each stretch, from one running sum."""
-    powers = np.multiply.accumulate(np.full(len(data) + 1, _P, np.uint64))
-    back = np.multiply.accumulate(np.full(len(data) + 1, pow(_P, -1, 1 << 64), np.uint64))
+    powers = np.multiply.accumulate(np.full(len(data) + 1, base, np.uint64))
+    back = np.multiply.accumulate(np.full(len(data) + 1, pow(base, -1, 1 << 64), np.uint64))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers[:-1], out=total[1:])
+    np.cumsum(values[data] * powers[:-1], out=total[1:])
     return mix64((total[stop] - total[begin]) * back[begin] + (stop - begin).astype(np.uint64))
 
 
-def dealt(docs: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
-    """bucket, packed segments; and, with them, removals that are certain within one batch."""
+def hot_minimizers(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
+    """The minimizers whose segments come to HOT_BYTES or more, in order. At most 16 bytes for each HOT_BYTES of text."""
     import pyarrow as pa
 
+    sample, long = SAMPLE, LONG  # workers see the driver's values
+
     def run(batches):
-        for batch in batches:
-            data, offsets = utf8_column(batch.column(2))
-            ids, parts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            at = 0
-            while at < len(ids):
-                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
-                out = []
-                for lo, hi, base in _stretches(offsets, at, to, length):
-                    own = np.array([0, hi - lo]) if base is not None else offsets[at : to + 1] - offsets[at]
-                    out += _pack(data[lo:hi], own, ids[at:to], parts[at:to], buckets, base or 0, length)
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "packed"])
-                at = to
+        for data, offsets, ids, parts, base in _blocks(batches, length):
+            begin, n, least, of = segments(data, offsets, length)
+            if not len(begin):
+                continue
+            size = n + length - 1
+            _, first = np.unique(_codes(data, begin, begin + size), return_index=True)  # copies in a batch are folded
+            weight = np.where((np.diff(offsets) >= long) | (base > 0), 1, sample)
+            value, back = np.unique(least[first], return_inverse=True)
+            total = np.bincount(back, (size * weight[of])[first]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(total)], names=["minimizer", "bytes"])
+
+    drawn = docs.filter((F.octet_length("text") >= long) | (F.pmod(F.xxhash64("doc_id", "part"), F.lit(sample)) == 0))
+    sums = drawn.mapInArrow(run, "minimizer long, bytes long").groupBy("minimizer").agg(F.sum("bytes").alias("bytes"))
+    hot = [r[0] for r in sums.filter(F.col("bytes") >= HOT_BYTES).select("minimizer").collect()]
+    return np.sort(np.array(hot, np.int64).view(np.uint64))
+
+
+def _blocks(batches, length):
+    """Bytes, offsets, doc_ids, parts and place in a long text of what is cut into segments at a time."""
+    for batch in batches:
+        data, offsets = utf8_column(batch.column(2))
+        ids, parts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        at = 0
+        while at < len(ids):
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
+            for lo, hi, base in _stretches(offsets, at, to, length):
+                own = np.array([0, hi - lo]) if base is not None else offsets[at : to + 1] - offsets[at]
+                yield data[lo:hi], own, ids[at:to], parts[at:to], base or 0
+            at = to
+
+
+def dealt(docs: DataFrame, buckets: int, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
+    """bucket, packed segments and strings; and, with them, removals that are certain within one batch."""
+    import pyarrow as pa
+
+    def run(batches):
+        for data, offsets, ids, parts, base in _blocks(batches, length):
+            out = _pack(data, offsets, ids, parts, buckets, hot, base, length)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "packed"])
 
     return docs.mapInArrow(run, "bucket int, packed binary")
 
@@ -130,12 +166,20 @@ def _stretches(offsets, at, to, length):
         yield lo, min(high, lo + BLOCK + length - 1), lo - low
 
 
-def _pack(data, offsets, ids, parts, buckets, base, length):
+def _pack(data, offsets, ids, parts, buckets, hot, base, length):
     begin, n, least, of = segments(data, offsets, length)
     if not len(begin):
         return []
+    single = np.isin(least, hot)
+    if single.any():  # a hot minimizer's segments become strings
+        k = np.flatnonzero(single)
+        cool = ~single
+        begin, of = np.concatenate([begin[cool], _ragged(begin[k], n[k])]), np.concatenate([of[cool], np.repeat(of[k], n[k])])
+        single = np.arange(len(begin)) >= int(cool.sum())
+        n, least = np.concatenate([n[cool], np.ones(int(single.sum()), n.dtype)]), np.concatenate([least[cool], np.zeros(int(single.sum()), np.uint64)])
     stop = begin + n + length - 1
     code = _codes(data, begin, stop)
+    least = np.where(single, code, least)
     order = np.argsort(code, kind="stable")
     first = np.ones(len(order), bool)
     first[1:] = code[order][1:] != code[order][:-1]
@@ -147,13 +191,14 @@ def _pack(data, offsets, ids, parts, buckets, base, length):
     bucket = (mix64(least) % np.uint64(buckets)).astype(np.int64)
     out = []
     gone = np.flatnonzero(later)
-    if len(gone):  # a smaller document of this very batch holds the same segment
-        out.append((int(bucket[gone[0]]), b"R" + zstandard.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 3)))
-    sent = np.flatnonzero(~later)
-    sent = sent[np.argsort(bucket[sent], kind="stable")]
-    edges = np.flatnonzero(np.diff(bucket[sent], prepend=-1, append=-2))
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        k = sent[a:b]
+    if len(gone):  # a smaller document of this very batch holds the same segment; any bucket will do
+        out.append((int(mix64(ids[of[gone[:1]]].astype(np.uint64))[0] % np.uint64(buckets)), b"R" + zstandard.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 3)))
+    if single.any():
+        other = _codes(data, begin, stop, _BYTE2, _P2)
+        for k in _by_bucket(np.flatnonzero(~later & single), bucket):
+            strings = np.stack([code[k].view(np.int64), other[k].view(np.int64), ids[of[k]], parts[of[k]], place[k]]).astype("<i8")
+            out.append((int(bucket[k[0]]), b"H" + zstandard.compress(strings.tobytes(), 3)))
+    for k in _by_bucket(np.flatnonzero(~later & ~single), bucket):
         text = data[_ragged(begin[k], (stop - begin)[k])]
         head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
         body = zstandard.compress(head.tobytes() + text.tobytes(), 3)
@@ -162,6 +207,34 @@ def _pack(data, offsets, ids, parts, buckets, base, length):
     return out
 
 
+def _by_bucket(sent, bucket):
+    sent = sent[np.argsort(bucket[sent], kind="stable")]
+    edges = np.flatnonzero(np.diff(bucket[sent], prepend=-1, append=-2)) if len(sent) else np.zeros(1, np.int64)
+    return [sent[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _hot_ranges(strings: np.ndarray, length: int) -> np.ndarray:
+    """doc_id, part, start, stop of the strings (code, other code, doc_id, part, place) that a smaller doc_id holds too."""
+    order = np.lexsort((strings[2], strings[1], strings[0]))
+    code, other, doc, part, place = strings[:, order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (other[1:] != other[:-1])
+    first = np.flatnonzero(new)
+    gone = np.repeat(doc[first], np.diff(np.append(first, len(doc)))) < doc
+    return _joined(doc[gone], part[gone], place[gone], length)
+
+
+def _joined(doc: np.ndarray, part: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Strings at neighbouring places as ranges: doc_id, part, start, stop."""
+    order = np.lexsort((place, part, doc))
+    doc, part, place = doc[order], part[order], place[order]
+    new = np.ones(len(place), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]) | (place[1:] != place[:-1] + 1)
+    a = np.flatnonzero(new)
+    z = np.append(a[1:], len(place)) - 1 if len(place) else a
+    return np.stack([doc[a], part[a], place[a], place[z] + length])
+
+
 def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of a shard's segments in the order of their first ``length`` bytes (ends first), and their transform.
 
@@ -267,9 +340,12 @@ def _bucket(length: int):
     import pyarrow as pa
 
     def run(group):
-        marks, docs, places, rows, strings, texts, gone = [], [], [], [], [], [], []
-        for row in group["packed"].combine_chunks():
+        marks, docs, places, rows, strings, texts, gone, hot = [], [], [], [], [], [], [], []
+        for row in (x for chunk in group["packed"].chunks for x in chunk):
             raw = row.as_py()
+            if raw[:1] == b"H":
+                hot.append(np.frombuffer(zstandard.decompress(raw[1:]), "<i8").reshape(5, -1))
+                continue
             if raw[:1] == b"R":
                 gone.append(np.frombuffer(zstandard.decompress(raw[1:]), "<i8").reshape(4, -1))
                 continue
@@ -282,6 +358,8 @@ def _bucket(length: int):
             strings.append(body[24 * n : 25 * n].astype(np.int64))
             texts.append(body[25 * n :])
         parts = list(gone)
+        if hot:
+            parts.append(_hot_ranges(np.concatenate(hot, axis=1), length))
         if marks:
             mark, doc, place, row, n, text = (np.concatenate(x) for x in (marks, docs, places, rows, strings, texts))
             size = n + length - 1
@@ -326,7 +404,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = tune(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    packed = dealt(docs.filter(F.octet_length("text") >= length), buckets, length)
+    docs = docs.filter(F.octet_length("text") >= length)
+    packed = dealt(docs, buckets, hot_minimizers(docs, length), length)
     spread = packed.repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
     return spread.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
 

@@ -101,6 +101,23 @@ def test_suffixes(docs, empty, spark, monkeypatch):
     assert sorted(map(tuple, got)) == brute_substrings(rows)
 
 
+
+def test_suffixes_hot_minimizer_spreads(spark, monkeypatch):
+    rng = random.Random(7)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(80))
+    own = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60))
+    rows = [(d, own() + shared + own()) for d in range(400)] + [(400, "=" * 300), (401, "=" * 200 + shared)]
+    for name, value in (("BUCKET_BYTES", 2000), ("HOT_BYTES", 1000), ("SAMPLE", 1)):
+        monkeypatch.setattr(suffixes, name, value)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffixes.dedup_substrings(df).drop("kept").collect()
+    assert sorted(map(tuple, got)) == brute_substrings(rows)
+    docs = df.select("doc_id", F.lit(0).cast("long").alias("part"), "text").repartition(40)
+    hot = suffixes.hot_minimizers(docs)
+    most = lambda hot: max(r.n for r in suffixes.dealt(docs, 200, hot).groupBy("bucket").agg(F.sum(F.octet_length("packed")).alias("n")).collect())
+    assert len(hot) and most(hot) < 0.4 * most(hot[:0])
+
+
 def test_merge_equals_one_sort():
     rng = np.random.default_rng(3)
     lengths = rng.integers(55, 90, 40)
