@@ -34,7 +34,10 @@ def stream_shred(t):
 def stream_dedup(t):
     """The first event of a user, type and hour, wherever it arrives."""
     out, mark = fresh_path(t.spark, "dedup"), fresh_path(t.spark, "mark")
-    rows = dedup_stream(event_stream(t).withColumn("h", F.date_trunc("hour", "ts")), ["user_id", "event_type", "h"], "ts", "60 days")
+    ts = F.col("ts").cast("timestamp")
+    span = t.events.agg(F.unix_seconds(F.max(ts)) - F.unix_seconds(F.min(ts))).first()[0] or 0
+    delay = f"{span + 3600} seconds"  # files come in no order of time: no row may be late
+    rows = dedup_stream(event_stream(t).withColumn("h", F.date_trunc("hour", "ts")), ["user_id", "event_type", "h"], "ts", delay)
     drain(shred_stream(rows, lambda df: df.select("user_id", "event_type", "h"), out, mark))
     return t.spark.read.parquet(out).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 

@@ -143,3 +143,13 @@ def test_checks_let_nulls_pass(spark):
     df = spark.createDataFrame([(1, "a"), (None, None), (1, "z")], "k int, v string")
     assert quality.unique(df, "k").count() == 1 and quality.accepted_values(df, "v", ["a"]).count() == 1 and quality.accepted_range(df, "k", 2, 5).count() == 2
     assert quality.relationships(df, "k", spark.createDataFrame([(2,), (None,)], "p int"), "p").count() == 2 and quality.not_null(df, "k").count() == 1
+
+
+def test_stream_dedup_keeps_rows_of_any_age(spark):
+    from types import SimpleNamespace
+
+    from driftwell.plans.q_streams import stream_dedup
+
+    events = spark.range(120).selectExpr("id as event_id", "id % 2 as user_id", "'view' as event_type", "timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id * 3 as int)) as ts")
+    got = {r.user_id: r.n for r in stream_dedup(SimpleNamespace(spark=spark, events=events)).collect()}
+    assert got == {0: 60, 1: 60}
