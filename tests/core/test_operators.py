@@ -153,3 +153,16 @@ def test_stream_dedup_keeps_rows_of_any_age(spark):
     events = spark.range(120).selectExpr("id as event_id", "id % 2 as user_id", "'view' as event_type", "timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id * 3 as int)) as ts")
     got = {r.user_id: r.n for r in stream_dedup(SimpleNamespace(spark=spark, events=events)).collect()}
     assert got == {0: 60, 1: 60}
+
+
+def test_stream_pulse_reads_events_as_they_are_spread(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from driftwell.plans import q_streams
+
+    paths, read = [], q_streams.file_stream
+    monkeypatch.setattr(q_streams, "file_stream", lambda s, path, *a, **b: paths.append(path) or read(s, path, *a, **b))
+    events = spark.range(0, 240, 1, 4).selectExpr("id as event_id", "'view' as event_type", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, cast((id * 37) % 240 as int)) as ts")
+    got = q_streams.stream_pulse(SimpleNamespace(spark=spark, events=events)).collect()
+    assert sorted(r.window_s for r in got) == [1704067200 + 86400 * k for k in range(7)] and {r.events for r in got} == {24}
+    assert len(spark.read.parquet(paths[0]).inputFiles()) == 4
