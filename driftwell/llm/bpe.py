@@ -6,6 +6,9 @@ state, which loses its b-arc; wherever an a-arc led to a b-arc, a c-arc now lead
 target depends on its label only, so a state is shared by all the tokens that lead to it, and arcs that leave the
 same states share a column of the transition table. The table is therefore (states x columns) bits.
 
+A worker's tables are small: the bits, and the spelling tree as a double array (Aoe 1989), where rows of edges are
+shifted until they fit into each other's gaps.
+
 A word's symbols are spelled by exactly one accepted path. Texts are cut into words, equal words are encoded once
 a batch, and all words of a batch advance together, one table lookup for each step. Decoding emits the labels of
 the arcs that the ids name.
@@ -31,9 +34,9 @@ WHITE_SPACE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B
 #: Endings that the vocabulary's splitting pattern takes together with an apostrophe.
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 #: Code points encoded at a time, which bounds a worker's memory.
-CHUNK = 1 << 21
-#: Encoded words that a worker remembers before it starts anew.
-KNOWN = 300_000
+CHUNK = 1 << 19
+#: Encoded words that a worker remembers before it starts anew, and their code points.
+KNOWN, KNOWN_SIZE = 300_000, 6_000_000
 #: Words of more bytes than this advance alone.
 LONG = 64
 
@@ -68,8 +71,9 @@ class Automaton:
     column: np.ndarray  # of the arc, by token
     arcs: np.ndarray  # bits: states x columns
     length: np.ndarray  # base symbols of each token
-    parent: np.ndarray  # spelling tree, by node
-    symbol: np.ndarray
+    shift: np.ndarray  # spelling tree: place of a node's row of edges in the two below
+    owner: np.ndarray  # the node that an edge leaves
+    to: np.ndarray  # the node that it leads to
     inner: np.ndarray  # token spelled by a node inside a word, or -1
     final: np.ndarray  # token spelled by a node at a word's end, or -1
     _ready: dict = field(default_factory=dict, repr=False)
@@ -81,16 +85,18 @@ class Automaton:
 
     def ready(self) -> dict:
         if not self._ready:
-            goto = np.full((len(self.parent), 256), -1, np.int32)
-            goto[self.parent[1:], self.symbol[1:]] = np.arange(1, len(self.parent), dtype=np.int32)
             self._ready = {
-                "goto": goto, "class": classes(), "mix": mix64(np.arange(0x110000, dtype=np.uint64)),
-                "split": re.compile("|".join(map(re.escape, self.specials))) if self.specials else None,
+                "class": classes(), "split": re.compile("|".join(map(re.escape, self.specials))) if self.specials else None,
                 "labels": np.array(self.labels, dtype=object),
-                "known": {"of": {}, "flat": np.zeros(0, np.int32), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)},
+                "known": no_words(),
             }
         return self._ready
 
+    def step(self, node, symbol):
+        """The node below ``node`` by ``symbol``, or -1."""
+        at = self.shift[node] + symbol
+        return np.where(self.owner[at] == node, self.to[at], np.int32(-1))
+
     def follows(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Whether there is an arc for token in the state that last leads to."""
         col = self.column[token]
@@ -100,7 +106,7 @@ class Automaton:
 
     def _together(self, symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of words of nearly equal length: (words x places) with -1 after the end, and their numbers."""
-        r, (n, width) = self.ready(), symbols.shape
+        n, width = symbols.shape
         last = np.full((n, width + 1), -1, np.int32)
         for j in range(width):
             at = np.flatnonzero((lens > j) & (last[:, j] >= 0)) if j else np.flatnonzero(lens > 0)
@@ -108,7 +114,7 @@ class Automaton:
             for end in range(j + 1, width + 1):
                 if not len(at):
                     break
-                node = r["goto"][node, symbols[at, end - 1]]
+                node = self.step(node, symbols[at, end - 1])
                 token = np.where(lens[at] == end, self.final[node], self.inner[node])
                 good = np.flatnonzero((node >= 0) & (token >= 0))
                 if j and len(good):
@@ -128,15 +134,14 @@ class Automaton:
         return out, count
 
     def _alone(self, word: bytes) -> list[int]:
-        r, n = self.ready(), len(word)
-        goto, inner, final = r["goto"], self.inner, self.final
+        n, inner, final = len(word), self.inner, self.final
         last = [-1] * (n + 1)
         for j in range(n):
             if j and last[j] < 0:
                 continue
             node = 0
             for end in range(j + 1, n + 1):
-                node = goto[node, word[end - 1]]
+                node = int(self.step(node, word[end - 1]))
                 if node < 0:
                     break
                 t = int(final[node] if end == n else inner[node])
@@ -156,7 +161,7 @@ class Automaton:
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         low = 0
         for high in (4, 6, 8, 10, 12, 16, 24, 32, LONG):
-            for at in np.array_split(chosen := np.flatnonzero((lens > low) & (lens <= high)), max(1, len(chosen) // 65536)):
+            for at in np.array_split(chosen := np.flatnonzero((lens > low) & (lens <= high)), max(1, len(chosen) // 16384)):
                 if not len(at):
                     continue
                 places = starts[at][:, None] + np.arange(high)
@@ -213,7 +218,7 @@ class Automaton:
         place = ragged(begin, n)
         within = place - np.repeat(begin, n)
         powers = np.multiply.accumulate(np.full(int(n.max()), 0x9E3779B97F4A7C15 | 1, np.uint64))
-        values = r["mix"][cps[place]] * powers[within]
+        values = mix64(cps[place].astype(np.uint64)) * powers[within]
         first = np.concatenate([[0], np.cumsum(n)])[:-1]
         code = mix64(np.add.reduceat(values, first) + n.astype(np.uint64))
         _, where, back = np.unique(code, return_index=True, return_inverse=True)
@@ -228,8 +233,8 @@ class Automaton:
             offset = np.concatenate([[0], np.cumsum(1 + (cps >= 0x80) + (cps >= 0x800) + (cps >= 0x10000), dtype=np.int64)])
         at, to = (begin[where], stop[where]) if offset is None else (offset[begin[where]], offset[stop[where]])
         known = r["known"]
-        if len(known["of"]) > KNOWN:
-            known |= {"of": {}, "flat": np.zeros(0, np.int32), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)}
+        if len(known["of"]) > KNOWN or known["size"] > KNOWN_SIZE:
+            known |= no_words()
         names = [joined[b:e] for b, e in zip(begin[where].tolist(), stop[where].tolist(), strict=True)]
         held = np.fromiter((known["of"].get(x, -1) for x in names), np.int64, len(names))
         new = np.flatnonzero(held < 0)
@@ -237,6 +242,7 @@ class Automaton:
             flat, n_new = self.words(data, at[new], (to - at)[new])
             held[new] = len(known["of"]) + np.arange(len(new))
             known["of"].update(zip([names[k] for k in new.tolist()], held[new].tolist(), strict=True))
+            known["size"] += int(n[where][new].sum())
             known["at"] = np.concatenate([known["at"], len(known["flat"]) + np.cumsum(n_new) - n_new])
             known["n"], known["flat"] = np.concatenate([known["n"], n_new]), np.concatenate([known["flat"], flat])
         which = held[back]
@@ -284,6 +290,37 @@ class Automaton:
         return " ".join(self.ready()["labels"][ids].tolist())
 
 
+def double_array(parent: list[int], symbol: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges parent[k] -> k by symbol[k] (k from 1) as shifted rows: each node's shift, and the owner and target at a place."""
+    below: dict[int, list[int]] = {}
+    for k in range(1, len(parent)):
+        below.setdefault(parent[k], []).append(k)
+    shift = np.zeros(len(parent), np.int32)
+    size = 256 * len(below) + 2048
+    owner, to, at, window = np.full(size, -1, np.int32), np.full(size, -1, np.int32), 0, np.arange(256)[:, None]
+    for node, kids in sorted(below.items(), key=lambda x: -len(x[1])):
+        if len(kids) == 1:
+            break
+        own = np.array([symbol[k] for k in kids])
+        while not len(fits := np.flatnonzero((owner[at : at + 1024][window + own] < 0).all(1))):
+            at += 128  # what is free before it is left to lone edges
+        shift[node] = at + fits[0]
+        owner[shift[node] + own], to[shift[node] + own] = node, kids
+    lone = np.array([kids[0] for kids in below.values() if len(kids) == 1], np.int64)  # one edge fits any gap
+    gaps = np.flatnonzero(owner[256:] < 0)[: len(lone)] + 256
+    node = np.array(parent)[lone]
+    shift[node] = gaps - np.array(symbol)[lone]
+    owner[gaps], to[gaps] = node, lone
+    used = int(np.flatnonzero(owner >= 0)[-1]) + 257  # any symbol may be looked up at the last shift
+    owner, to = owner[:used].copy(), to[:used].copy()
+    return shift, owner, to
+
+
+def no_words() -> dict:
+    """An empty memory of encoded words: place by word, tokens of all words, and each word's own."""
+    return {"of": {}, "size": 0, "flat": np.zeros(0, np.int32), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)}
+
+
 def parts(text: str, kinds: np.ndarray):
     """A text in parts of about CHUNK code points at most, cut before white space only."""
     while len(text) > CHUNK:
@@ -377,7 +414,8 @@ def compile_automaton(path: str) -> Automaton:
         if not ends:
             inner[node] = k
     i32 = lambda x: np.array(x, np.int32)
-    return Automaton(labels, specials, i32(state), i32(column), np.ascontiguousarray(arcs[:states, : columns // 8 + 1]), i32(length), i32(parent), i32(symbol), i32(inner), i32(final))
+    table = np.ascontiguousarray(arcs[:states, : columns // 8 + 1])
+    return Automaton(labels, specials, i32(state), i32(column), table, i32(length), *double_array(parent, symbol), i32(inner), i32(final))
 
 
 def shared_automaton(spark, path: str):
