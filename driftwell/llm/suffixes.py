@@ -6,8 +6,10 @@ of a string meet in one bucket and buckets are independent. Copies of a segment
 A minimizer with more bytes than a share of a bucket, as at the edges of a passage that many documents hold, would fill
 its bucket; its strings are dealt by a hash of the whole string instead, one by one, and compared by 128 bits of hash.
 
-In a bucket, segments that stand alone under their minimizer go. The others are dealt to shards; each shard's transform
-is built once, and the transforms are merged by refining their interleave (Holt and McMillan 2014): pass h places the
+In a bucket, segments that stand alone under their minimizer go. Copies of a segment are one, held by the least of their
+documents; where a minimizer has no second segment that settles its strings. Of the others those go that share with no
+other segment the seed and half of the rest of a string on one side of it: every string that two segments share holds
+one of these. What is left is dealt to shards; each shard's transform is built once, and the transforms are merged by refining their interleave (Holt and McMillan 2014): pass h places the
 suffixes in the order of their first h bytes by one stable counting step through the transforms, without comparing or
 sorting suffixes again. Carrying the blocks of equal beginnings along gives the common prefixes (Egidi and Manzini
 2017): after ``LENGTH`` passes each block is a repeated interval, and its least document owns the string.
@@ -202,7 +204,7 @@ def _pack(data, offsets, ids, parts, buckets, hot, base, length):
         text = data[_ragged(begin[k], (stop - begin)[k])]
         head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
         body = zstandard.compress(head.tobytes() + text.tobytes(), 3)
-        marks = (least[k] >> np.uint64(32)).astype("<u4").tobytes()
+        marks = least[k].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 5:].tobytes()  # its three upper bytes; two minimizers under one mark cost time only
         out.append((int(bucket[k[0]]), b"S" + struct.pack("<q", len(k)) + marks + body))
     return out
 
@@ -323,8 +325,6 @@ def _owners(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarr
         transforms.append(before)
         ends.append(len(begin[own]))
     shard, new = merge(transforms, ends, length)
-    sa = np.empty(len(shard), np.int64)
-    sa[np.argsort(shard, kind="stable")] = np.concatenate(orders)
     sa_sorted = np.empty(len(shard), np.int64)
     place = np.argsort(shard, kind="stable")
     sa_sorted[place] = np.concatenate(orders)
@@ -336,6 +336,34 @@ def _owners(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarr
     return out
 
 
+def _meeting(text: np.ndarray, begin: np.ndarray, size: np.ndarray, mark: np.ndarray, length: int, seed: int = SEED) -> np.ndarray:
+    """The different segments that may share a string with another one.
+
+    A string has its seed and ``length - seed`` more bytes, so at least half of these on one side of it. Segments whose
+    seed with that half on the left, and with that half on the right, is nobody else's, share none.
+    """
+    several = np.unique(mark, return_inverse=True, return_counts=True)
+    of = np.flatnonzero(several[2][several[1]] > 1)
+    if not len(of):
+        return of
+    b, n, half = begin[of], size[of], (length - seed + 1) // 2
+    places = n - seed + 1
+    first = np.cumsum(places) - places
+    h = _seeds(text, seed)[_ragged(b, places)]
+    own = np.repeat(np.arange(len(of)), places)
+    within = np.arange(len(h)) - first[own]
+    least = np.minimum.reduceat(h, first)
+    hit = np.flatnonzero(h == least[own])
+    keep = np.bincount(own[hit], minlength=len(of)) != 1  # a seed that stands once is in every string; of several, any may be the shared one
+    at = np.zeros(len(of), np.int64)
+    at[own[hit]] = b[own[hit]] + within[hit]
+    for low, high in ((at - half, at + seed), (at, at + seed + half)):
+        inside = np.flatnonzero((low >= b) & (high <= b + n))
+        _, back, count = np.unique(_codes(text, low[inside], high[inside]), return_inverse=True, return_counts=True)
+        keep[inside[count[back] > 1]] = True
+    return of[keep]
+
+
 def _bucket(length: int):
     import pyarrow as pa
 
@@ -350,8 +378,8 @@ def _bucket(length: int):
                 gone.append(np.frombuffer(zstandard.decompress(raw[1:]), "<i8").reshape(4, -1))
                 continue
             (n,) = struct.unpack("<q", raw[1:9])
-            marks.append(np.frombuffer(raw, "<u4", n, 9))
-            body = np.frombuffer(zstandard.decompress(raw[9 + 4 * n :]), np.uint8)
+            marks.append(np.frombuffer(raw, np.uint8, 3 * n, 9).reshape(-1, 3) @ np.array([1, 1 << 8, 1 << 16]))
+            body = np.frombuffer(zstandard.decompress(raw[9 + 3 * n :]), np.uint8)
             docs.append(np.cumsum(body[: 8 * n].view("<i8")))
             places.append(np.cumsum(body[8 * n : 16 * n].view("<i8")))
             rows.append(body[16 * n : 24 * n].view("<i8"))
@@ -365,7 +393,7 @@ def _bucket(length: int):
             size = n + length - 1
             begin = np.cumsum(size) - size
             order = np.argsort(mark, kind="stable")
-            edges = np.flatnonzero(np.diff(mark[order].astype(np.int64), prepend=-1))
+            edges = np.flatnonzero(np.diff(mark[order], prepend=-1))
             low, high = np.minimum.reduceat(doc[order], edges), np.maximum.reduceat(doc[order], edges)
             count = np.diff(np.append(edges, len(order)))
             chosen = np.sort(order[np.repeat(low < high, count)])
@@ -378,10 +406,14 @@ def _bucket(length: int):
                 _, lead, back = np.unique(code, return_index=True, return_inverse=True)
                 holder = np.full(len(lead), np.iinfo(np.int64).max)
                 np.minimum.at(holder, back, doc)
-                owner = _owners(text, begin[lead], size[lead], holder, length)
-                first = np.cumsum(size[lead] + 1) - (size[lead] + 1)
-                at = _ragged(first[back], n)
-                gone_at = owner[at] < np.repeat(doc, n)
+                met = _meeting(text, begin[lead], size[lead], mark[chosen][lead], length)
+                first = np.cumsum(n[lead]) - n[lead]
+                owner = np.repeat(holder, n[lead])  # of each string; the least document of its segment, if no other has it
+                if len(met):
+                    line = np.cumsum(size[lead][met] + 1) - (size[lead][met] + 1)
+                    merged = _owners(text, begin[lead][met], size[lead][met], holder[met], length)
+                    owner[_ragged(first[met], n[lead][met])] = merged[_ragged(line, n[lead][met])]
+                gone_at = owner[_ragged(first[back], n)] < np.repeat(doc, n)
                 where = _ragged(place, n)[gone_at]
                 of, own = np.repeat(doc, n)[gone_at], np.repeat(row, n)[gone_at]
                 if len(where):
@@ -406,8 +438,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     buckets = max(1, -(-total // BUCKET_BYTES))
     docs = docs.filter(F.octet_length("text") >= length)
     packed = dealt(docs, buckets, hot_minimizers(docs, length), length)
-    spread = packed.repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket")
-    return spread.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
+    return packed.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
