@@ -11,15 +11,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, table, tune
+from .common import cut, mix64, table, tune
 
 #: Places that n-grams are hashed to, and the longest n-gram.
 PLACES, LONGEST = 1 << 15, 3
-#: Bounds of what is fitted on: training rows of a language, and landmarks of a language.
-TRAIN_ROWS, LANDMARKS = 400, 64
+#: Bounds of what is fitted on: languages (the most frequent ones), training rows of a language and of all, landmarks of
+#: a language and of all.
+LANGUAGES, TRAIN_ROWS, ALL_ROWS, LANDMARKS, ALL_LANDMARKS = 256, 400, 16_384, 64, 1024
 RIDGE = 1e-2
 #: Code points at a time; a text of any length is read whole, a stretch after another.
 STRETCH = 1 << 18
@@ -79,7 +80,8 @@ def fit(bits: np.ndarray, labels: list[str], seed: int = 7) -> Model:
         return Model([], np.zeros((PLACES, 0), np.float32))
     y = np.array([languages.index(x) for x in labels])
     rng = np.random.default_rng(seed)
-    chosen = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:LANDMARKS] for k in range(len(languages))])
+    each = min(LANDMARKS, ALL_LANDMARKS // len(languages))
+    chosen = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:each] for k in range(len(languages))])
     marks = unit(bits[chosen])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
@@ -93,19 +95,25 @@ def fit(bits: np.ndarray, labels: list[str], seed: int = 7) -> Model:
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS, key: str = "doc_id") -> Model:
-    """Fit on about ``rows`` labelled texts of each language, chosen by a hash of ``key``.
+    """Fit on ``rows`` different labelled texts of each language at most, chosen by a hash of key and text.
 
-    labelled: key, text, lang. Rows with null lang or text are left out. The share taken of a language follows from
-    its count, so that what reaches the driver is bounded by rows x languages bit rows of PLACES / 8 bytes.
+    labelled: key, text, lang. Rows with null lang or text are left out. The ``LANGUAGES`` most frequent languages are
+    learned. Texts are drawn by the share that a language's count gives, rows that repeat key and text count once, and of
+    more than ``rows`` texts the least hashes stay: at most ALL_ROWS bit rows of PLACES / 8 bytes reach the driver,
+    whatever repeats.
     """
     import pyarrow as pa
 
     spark = tune(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null")
-    counts = labelled.groupBy("lang").count()
-    unit = F.shiftrightunsigned(F.xxhash64(key, F.lit("train")), 11) / float(1 << 53)
-    taken = labelled.join(F.broadcast(counts), "lang") if counts.count() <= 10_000 else labelled.join(counts, "lang")
-    taken = taken.filter(unit < rows / F.col("count")).select(key, "lang", "text")
+    counts = cut(labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES))  # a bound of the model
+    rows = min(rows, ALL_ROWS // max(1, counts.count()))
+    draw = F.xxhash64(key, "text", F.lit("train"))
+    drawn = labelled.join(F.broadcast(counts), "lang").withColumn("draw", draw)
+    drawn = drawn.filter(F.shiftrightunsigned("draw", 11) / float(1 << 53) < 1.25 * rows / F.col("count"))
+    drawn = drawn.groupBy("lang", "draw").agg(F.min(F.struct(key, "text")).alias("x"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    taken = drawn.withColumn("place", place).filter(F.col("place") <= rows).select(f"x.{key}", "lang", "x.text")
 
     def run(batches):
         for batch in batches:

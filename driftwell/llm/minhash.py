@@ -21,8 +21,8 @@ WORDS, SIMILARITY = 5, 75
 BANDS, ROWS = 32, 4
 #: Shingles at a time; longer texts go through in blocks.
 BLOCK = 1 << 14
-#: Members in a block, and shingles (columns) that a block's product takes at a time.
-MEET, COLUMNS = 256, 1 << 13
+#: Members in a block and their shingles, on average, and shingles (columns) that a block's product takes at a time.
+MEET, MEET_SHINGLES, COLUMNS = 256, 1 << 18, 1 << 13
 #: Members of a bucket that meet each other at once.
 SMALL = 24
 
@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable, itself included), kept. Null, empty and blank
     texts have no shingles and link with nothing. Rows that repeat a doc_id are one node: what one links, both link;
-    each gives a row. Other columns of docs are not read. A null doc_id links nothing; its component is null.
+    each gives a row. Other columns of docs are not read. A null doc_id links
+    nothing: its component is null, and it is kept. Very long texts meet in smaller blocks. An empty table gives no rows.
     """
     sig = cut(signatures(docs))
     classes = cut(sig.filter("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r")).select("set_hash", "r.*"))
@@ -260,8 +261,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     def undecided(components: DataFrame, turn: int) -> DataFrame:
         """Members of buckets that hold more than one component, with one member drawn from each bucket."""
         named = members.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-        apart = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by(F.struct("id", "c", "n"), F.xxhash64("id", F.lit(turn))).alias("drawn")).filter("c0 < c1")
-        return cut(named.join(apart.select("key", "drawn"), "key").select("key", "id", "n", "c", "size", "drawn"))
+        apart = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by(F.struct("id", "c", "n"), F.xxhash64("id", F.lit(turn))).alias("drawn"), F.sum("n").alias("shingles")).filter("c0 < c1")
+        return cut(named.join(apart.select("key", "drawn", "shingles"), "key").select("key", "id", "n", "c", "size", "drawn", "shingles"))
 
     components = connected_components(links)
     rest = undecided(components, 1)
@@ -273,7 +274,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     if not more.isEmpty():
         components = connected_components(more.unionByName(pointers(components)))
     large = undecided(components, 2).filter(F.col("size") > SMALL)
-    blocks = F.ceil(F.col("size") / MEET).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / MEET, F.col("shingles") / MEET_SHINGLES)).cast("int")
     placed = large.select("key", "id", "c", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "c", "block")
@@ -283,8 +284,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         components = connected_components(last.unionByName(pointers(components)))
     rep = classes.select("set_hash", F.col("doc_id").alias("id")).join(components, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     out = sig.select("doc_id", "n_shingles", "set_hash").join(cut(rep), "set_hash", "left")
-    out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op8_superminhash(spark, sf_dir: str) -> DataFrame:

@@ -18,8 +18,8 @@ BASE = [
 #: Weak candidates: reported only when a complementary part lies in the same scope. (kind, pattern, part, its complements)
 WEAK = [
     ("bare", re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/_=-])"), "secret", ("id",)),
-    ("login", re.compile(r"""(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,64}""", re.I | re.A), "id", ("secret",)),
-    ("endpoint", re.compile(r"""(?:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|redis|amqps?|mongodb)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{3,200}""", re.A), "endpoint", ("id", "secret")),
+    ("login", re.compile(r"""(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.I | re.A), "id", ("secret",)),
+    ("endpoint", re.compile(r"""(?:https?|jdbc:[a-z]{2,}|postgres(?:ql)?|mysql|redis|amqps?|mongodb)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{3,}""", re.A), "endpoint", ("id", "secret")),
 ]
 #: What part a base kind is.
 PART = {"assign": "secret", "access": "id", "hex": "secret"}

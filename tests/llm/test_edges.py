@@ -391,14 +391,3 @@ def test_long_text_is_cut_at_white_space(monkeypatch):
     assert automaton.encode([LONG])[0].tolist() == whole.tolist()
 
 
-def test_pipeline(docs, spark):
-    import corpus_pipeline as p
-
-    rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    seen = []
-    for name, stage in p.STAGES:
-        rows = p.cut(stage(spark, rows, ""))
-        seen.append((name, rows.count()))
-    counts = dict(seen)
-    assert counts["language"] == 8 and counts["exact"] == 6 and counts["near"] == 5 and counts["secrets"] == 5
-    assert {r.doc_id for r in rows.select("doc_id").collect()} == {1, 5, 8, 9, 12} or counts["near"] == 5
