@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the cluster set it; a temporary folder only where nothing is set."""
+    """spark.checkpoint.dir as the cluster set it, or a folder below the warehouse, which all executors share too."""
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="driftwell-checkpoint-"))
-        configured = sc.getCheckpointDir()
-    return configured.rstrip("/")
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/driftwell-staging").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str = "table") -> str:
