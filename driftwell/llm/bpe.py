@@ -36,7 +36,7 @@ ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 #: Code points encoded at a time, which bounds a worker's memory.
 CHUNK = 1 << 19
 #: Encoded words that a worker remembers before it starts anew, and their code points.
-KNOWN, KNOWN_SIZE = 300_000, 6_000_000
+KNOWN, KNOWN_SIZE = 300_000, 4_000_000
 #: Words of more bytes than this advance alone.
 LONG = 64
 
@@ -223,7 +223,8 @@ class Automaton:
         code = mix64(np.add.reduceat(values, first) + n.astype(np.uint64))
         _, where, back = np.unique(code, return_index=True, return_inverse=True)
         same = cps[place] == cps[np.minimum(np.repeat(begin[where][back], n) + within, len(cps) - 1)]
-        if not (same.all() and (n == n[where][back]).all()):  # two words with one hash: name words by themselves
+        clash = not (same.all() and (n == n[where][back]).all())
+        if clash:  # two words with one hash: tell words apart by themselves, and remember none
             _, where, back = np.unique([joined[b:e] for b, e in zip(begin, stop, strict=True)], return_index=True, return_inverse=True)
         blob = joined.encode("utf-8", "surrogatepass")
         data = np.frombuffer(blob, np.uint8)
@@ -232,22 +233,33 @@ class Automaton:
         else:
             offset = np.concatenate([[0], np.cumsum(1 + (cps >= 0x80) + (cps >= 0x800) + (cps >= 0x10000), dtype=np.int64)])
         at, to = (begin[where], stop[where]) if offset is None else (offset[begin[where]], offset[stop[where]])
-        known = r["known"]
-        if len(known["of"]) > KNOWN or known["size"] > KNOWN_SIZE:
-            known |= no_words()
-        names = [joined[b:e] for b, e in zip(begin[where].tolist(), stop[where].tolist(), strict=True)]
-        held = np.fromiter((known["of"].get(x, -1) for x in names), np.int64, len(names))
-        new = np.flatnonzero(held < 0)
-        if len(new):
-            flat, n_new = self.words(data, at[new], (to - at)[new])
-            held[new] = len(known["of"]) + np.arange(len(new))
-            known["of"].update(zip([names[k] for k in new.tolist()], held[new].tolist(), strict=True))
-            known["size"] += int(n[where][new].sum())
-            known["at"] = np.concatenate([known["at"], len(known["flat"]) + np.cumsum(n_new) - n_new])
-            known["n"], known["flat"] = np.concatenate([known["n"], n_new]), np.concatenate([known["flat"], flat])
-        which = held[back]
-        counts = known["n"][which]
-        ids = known["flat"][ragged(known["at"][which], counts)]
+        known, size, word = r["known"], n[where], begin[where]
+        if clash or len(known["code"]) > KNOWN or len(known["cps"]) > KNOWN_SIZE:
+            known = r["known"] = no_words()
+        code = code[where]  # ascending, unless words clash
+        slot = np.minimum(np.searchsorted(known["code"], code), max(0, len(known["code"]) - 1))
+        held = np.zeros(len(code), bool)
+        if len(known["code"]) and not clash:
+            taken = known["code"][slot] == code
+            k = np.flatnonzero(taken & (known["size"][slot] == size))
+            if len(k):  # what has the hash of a known word must be that word
+                alike = cps[ragged(word[k], size[k])] == known["cps"][ragged(known["from"][slot[k]], size[k])]
+                held[k] = np.logical_and.reduceat(alike, np.cumsum(size[k]) - size[k])
+        else:
+            taken = held
+        new = np.flatnonzero(~held)
+        flat, n_new = self.words(data, at[new], (to - at)[new])
+        tokens, first, counts = np.concatenate([known["flat"], flat]), np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        first[held], counts[held] = known["at"][slot[held]], known["n"][slot[held]]
+        first[new], counts[new] = len(known["flat"]) + np.cumsum(n_new) - n_new, n_new
+        add = np.flatnonzero(~held & ~taken)
+        if len(add) and not clash:
+            order = np.argsort(np.concatenate([known["code"], code[add]]), kind="stable")
+            more = {"code": code[add], "size": size[add], "from": len(known["cps"]) + np.cumsum(size[add]) - size[add], "at": first[add], "n": counts[add]}
+            r["known"] = {name: np.concatenate([known[name], x])[order] for name, x in more.items()}
+            r["known"] |= {"cps": np.concatenate([known["cps"], cps[ragged(word[add], size[add])]]), "flat": tokens}
+        counts = counts[back]
+        ids = tokens[ragged(first[back], counts)]
         of = np.searchsorted(edges, begin, "right") - 1
         return ids, np.bincount(of, weights=counts, minlength=len(texts)).astype(np.int64)
 
@@ -317,8 +329,9 @@ def double_array(parent: list[int], symbol: list[int]) -> tuple[np.ndarray, np.n
 
 
 def no_words() -> dict:
-    """An empty memory of encoded words: place by word, tokens of all words, and each word's own."""
-    return {"of": {}, "size": 0, "flat": np.zeros(0, np.int32), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)}
+    """An empty memory of encoded words, by hash: their code points (size of them from a place on) and tokens."""
+    none = np.zeros(0, np.int64)
+    return {"code": np.zeros(0, np.uint64), "size": none, "from": none, "at": none, "n": none, "cps": np.zeros(0, np.uint32), "flat": np.zeros(0, np.int32)}
 
 
 def parts(text: str, kinds: np.ndarray):

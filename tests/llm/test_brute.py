@@ -285,3 +285,17 @@ def test_pipeline_on_empty_and_null_tables(spark):
             assert name == "packing" or out.columns == docs.columns
             docs = out
         assert docs.count() == (0 if not rows or rows[0][1] is None else 1)
+
+
+def test_words_that_share_a_hash(monkeypatch):
+    """Known words are told apart by their code points, not by their hash."""
+    from driftwell.llm import bpe
+
+    path = vocabulary("word_bpe_49k.json")
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 9))) for _ in range(200)]
+    want = [x.tolist() for x in bpe.compile_automaton(path).encode(texts)]
+    monkeypatch.setattr(bpe, "mix64", lambda x: np.asarray(x).astype(np.uint64) % np.uint64(97))
+    monkeypatch.setattr(bpe, "CHUNK", 3)
+    crowded = bpe.Automaton(**{k: v for k, v in bpe.compile_automaton(path).__dict__.items() if k != "_ready"})
+    assert [x.tolist() for x in crowded.encode(texts)] == want
