@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,21 @@ def quantiles(value: str, probabilities: Sequence[float], exact: bool = True):
     return F.percentile_approx(value, [float(p) for p in probabilities], 10_000)
 
 
+def with_distincts(df: DataFrame, by: Sequence[str], aggs: Sequence, distincts: dict[str, str]) -> DataFrame:
+    """Aggregates with counts of distinct values (output name: column).
+
+    A count of distinct values beside others makes Spark repeat each row once a column, and carry the other aggregates'
+    buffers through two shuffles. Here values are made distinct first, each column by itself, and the small results are
+    joined by group. Groups may have null keys.
+    """
+    out = df.groupBy(*by).agg(*aggs)
+    for name, column in distincts.items():
+        seen = df.select(*by, F.col(column).alias("_v")).distinct().groupBy(*(F.col(c).alias(f"_{c}") for c in by)).agg(F.count("_v").alias(name))
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+        out = out.join(seen, same).drop(*(f"_{c}" for c in by))
+    return out
+
+
 def nested_teams(df: DataFrame, match: str, team: str, player: str, placement: str) -> DataFrame:
     """Each match's teams with their best placement and their players in order."""
     teams = df.groupBy(match, team).agg(F.min(placement).alias("best"), F.sort_array(F.collect_list(player)).alias("players"))

@@ -3,36 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, how: str = "left", tiebreak: Sequence[str] = (), values: Sequence[str] | None = None, suffix: str = "") -> DataFrame:
+def asof_join(
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, how: str = "left", tiebreak: Sequence[str] = (), values: Sequence[str] | None = None, suffix: str = "",
+    split: float | None = None,
+) -> DataFrame:
     """Each left row with the latest right row of the same key at or before it.
 
     Both sides are shuffled and sorted once by key and time; a window carries the last right row, as one struct so that
     its nulls stay its own. At equal times the right row counts. ``tiebreak``: right columns that order rows of the same
-    time; the last wins. Left rows with a null key or time come back with nulls (``how='inner'``: not at all).
+    time; the last wins. Left rows with a null key or time come back with nulls (``how='inner'``: not at all); they take
+    no part in the shuffle.
+
+    ``split``: seconds of time that one window holds, for keys with more rows than a task should sort. Each stretch of a
+    key then starts with the last right row of the stretches before it, of which only one row each is carried.
     """
     values = [c for c in right.columns if c not in by] if values is None else list(values)
     payload = F.struct(*(F.col(c) for c in dict.fromkeys([*values, *tiebreak])))
     time = lambda c: F.col(c).cast("timestamp")
     keys = [F.col(c) for c in by]
-    l = left.select(*keys, time(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*map(F.col, left.columns)).alias("_left"))
-    r = right.filter(F.col(right_ts).isNotNull()).select(*keys, time(right_ts).alias("_ts"), F.lit(0).alias("_side"), payload.alias("_right"))
-    for c in by:
-        r = r.filter(F.col(c).isNotNull())
+    whole = lambda ts: reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*by, ts)])
+    l = left.filter(whole(left_ts)).select(*keys, time(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*map(F.col, left.columns)).alias("_left"))
+    r = right.filter(whole(right_ts)).select(*keys, time(right_ts).alias("_ts"), F.lit(0).alias("_side"), payload.alias("_right"))
+    part, ties = list(by), [F.col(f"_right.{c}") for c in tiebreak]
+    if split:
+        part = [*by, "_bin"]
+        l, r = (x.withColumn("_bin", F.floor(F.unix_micros("_ts") / F.lit(split * 1e6))) for x in (l, r))
+        marks = r.groupBy(*part).agg(F.max_by("_right", F.struct("_ts", *ties)).alias("_right")).unionByName(l.select(*part).distinct(), allowMissingColumns=True)
+        marks = marks.groupBy(*part).agg(F.first("_right", True).alias("_right"))  # a row a stretch
+        earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.timestamp_micros((F.col("_bin") * F.lit(split * 1e6)).cast("long"))
+        carried = marks.select(*part, start.alias("_ts"), F.lit(-1).alias("_side"), F.last("_right", True).over(earlier).alias("_right")).filter("_right is not null")
+        r = r.unionByName(carried)
     both = l.unionByName(r, allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy("_ts", "_side", *(F.col(f"_right.{c}") for c in tiebreak)).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*part).orderBy("_ts", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
     joined = both.withColumn("_last", F.last("_right", ignorenulls=True).over(order)).filter("_side = 1")
-    whole = F.col("_ts").isNotNull()
-    for c in by:
-        whole = whole & F.col(c).isNotNull()
-    joined = joined.withColumn("_last", F.when(whole, F.col("_last")))
     if how == "inner":
         joined = joined.filter(F.col("_last").isNotNull())
-    return joined.select("_left.*", *(F.col(f"_last.{c}").alias(c + suffix) for c in values))
+    joined = joined.select("_left.*", *(F.col(f"_last.{c}").alias(c + suffix) for c in values))
+    if how == "inner":
+        return joined
+    return joined.unionByName(left.filter(~whole(left_ts)), allowMissingColumns=True).select(*joined.columns)
 
 
 def asof_lookup(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, values: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import fresh_path, stage
 from .windows import competition_rank, over
 
 
@@ -68,25 +68,26 @@ def rating_history(participants: DataFrame, match: str, ts: str, team: str, play
     spark = participants.sparkSession
     rows = rated_teams(participants, match, ts, team, player, placement)
     rows = stage(rows.withColumn("seq", F.row_number().over(over(["account_id"], ["match_start_ts", "match_id"])).cast("long")))
-    todo, done = rows, []
+    todo, out, rounds = rows, fresh_path(spark, "ratings"), 0
     state = spark.createDataFrame([], "account_id string, mu double, sigma double, games long").withColumn("account_id", F.col("account_id").cast(rows.schema["account_id"].dataType))
     for _ in range(max_rounds):
         if todo.isEmpty():
             break
         known = todo.join(state, "account_id", "left").withColumns({"mu_pre": F.coalesce("mu", F.lit(params.mu)), "sigma_pre": F.coalesce("sigma", F.lit(params.sigma)), "games_played_before": F.coalesce("games", F.lit(0).cast("long"))}).drop("mu", "sigma", "games")
         waiting = known.filter(F.col("seq") != F.col("games_played_before") + 1).select("match_id").distinct()
-        rated = stage(update_round(known.join(waiting, "match_id", "left_anti"), params))
-        done.append(rated)
+        rated = update_round(known.join(waiting, "match_id", "left_anti"), params)
+        shape, rounds = rated.schema, rounds + 1
+        rated.write.parquet(f"{out}/round={rounds}")
+        rated = spark.read.schema(shape).parquet(f"{out}/round={rounds}")
         todo = stage(todo.join(rated.select("match_id").distinct(), "match_id", "left_anti"))
         new = rated.select("account_id", F.col("mu_post").alias("mu"), F.col("sigma_post").alias("sigma"), F.col("seq").alias("games"))
         state = stage(state.join(new.select("account_id"), "account_id", "left_anti").unionByName(new))
     else:
         raise RuntimeError("more rounds than max_rounds")
-    if not done:
-        done = [update_round(rows.withColumns({"mu_pre": F.lit(params.mu), "sigma_pre": F.lit(params.sigma), "games_played_before": F.lit(0).cast("long")}), params)]
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
+    if rounds:  # one scan, however many rounds
+        out = spark.read.schema(shape).parquet(*[f"{out}/round={n}" for n in range(1, rounds + 1)])
+    else:
+        out = update_round(rows.withColumns({"mu_pre": F.lit(params.mu), "sigma_pre": F.lit(params.sigma), "games_played_before": F.lit(0).cast("long")}), params)
     ordinal = lambda k: F.col(f"mu_{k}") - F.lit(params.spread) * F.col(f"sigma_{k}")
     return out.select(
         "account_id", "match_id", "match_start_ts", "team_id", "team_rank", "teams_in_match", "games_played_before", "mu_pre", "sigma_pre", ordinal("pre").alias("ordinal_pre"), "mu_post", "sigma_post",

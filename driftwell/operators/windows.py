@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.exprs import distance, seconds_between
+from ..sources.staging import stage
 
 
 def ordering(order: Sequence[Column | str]) -> list[Column]:
@@ -95,16 +96,17 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def ordered_cut(df: DataFrame, key: str, order: Sequence[str], fraction: float) -> tuple[DataFrame, DataFrame]:
     """The first ``int(n * fraction)`` keys of an order, and the others, as two frames of df's rows.
 
-    Keys are numbered by range partitions: only the partitions' row counts are summed in order, no task sees all keys.
+    Keys are numbered within range partitions, which are written once with their number; of the partitions only the row
+    counts are summed in order, so no task sees all keys.
     """
     order = [c for c in order if c != key]
     keys = df.select(*order, key).distinct()
-    spark = df.sparkSession
-    total = keys.count()
-    ranges = keys.repartitionByRange(*order, key) if total else keys  # the key comes last unless it is the order
-    numbered = ranges.sortWithinPartitions(*order, key).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    schema = ranges.schema.add("_n", "long")
-    numbered = spark.createDataFrame(numbered, schema)
-    cut = int(total * fraction)
-    head = numbered.filter(F.col("_n") < cut).select(key)
+    ranges = stage(keys.repartitionByRange(*order, key).withColumn("_p", F.spark_partition_id()))
+    cut = int(ranges.count() * fraction)
+    sizes = ranges.groupBy("_p").agg(F.count(F.lit(1)).alias("_rows"))  # a row a partition
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_p", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    own = Window.partitionBy("_p").orderBy(*order, key)
+    numbered = ranges.withColumn("_own", F.row_number().over(own)).join(F.broadcast(sizes), "_p")
+    head = stage(numbered.filter(F.col("_before") + F.col("_own") <= cut).select(key))
     return df.join(head, key, "left_semi"), df.join(head, key, "left_anti")

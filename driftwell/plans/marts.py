@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, distance, rate, safe_div, shrink_rate, surrogate_key
-from ..operators.aggregates import grid_heatmap
+from ..operators.aggregates import grid_heatmap, quantiles, with_distincts
 from ..operators.joins import asof_join, mirror_pairs, since_join
 from ..operators.windows import group_share, others_in_group, step_distance
 from ..sources.schemas import Config
@@ -21,11 +21,15 @@ def build_weapon_performance(fact_kill: DataFrame, dim_weapon: DataFrame, exact:
     arms = dim_weapon.filter("is_firearm").select("weapon_sk", "weapon_name", "weapon_class")
     base = fact_kill.filter(F.col("is_analytical") & F.col("is_human_vs_human")).join(arms, "weapon_sk")
     d = "killer_distance_m"
-    median, p90 = (F.median(d), F.percentile(d, F.lit(0.9))) if exact else (F.percentile_approx(d, 0.5, 10_000), F.percentile_approx(d, 0.9, 10_000))
-    rows = base.groupBy("weapon_name", "weapon_class", "perspective", F.coalesce("range_bucket", F.lit("unknown")).alias("range_bucket")).agg(
-        F.count(F.lit(1)).alias("kills"), F.count_distinct("match_id").alias("matches"), F.count_distinct("killer_account_id").alias("distinct_killers"), F.round(median, 1).alias("median_distance_m"),
-        F.round(F.avg(d), 1).alias("mean_distance_m"), F.round(p90, 1).alias("p90_distance_m"), rate(F.col("killer_through_wall")).alias("through_wall_rate"),
+    base = base.withColumn("range_bucket", F.coalesce("range_bucket", F.lit("unknown")))
+    aggs = [
+        F.count(F.lit(1)).alias("kills"), quantiles(d, [0.5, 0.9], exact).alias("q"), F.round(F.avg(d), 1).alias("mean_distance_m"), rate(F.col("killer_through_wall")).alias("through_wall_rate"),
         rate(F.col("victim_in_vehicle")).alias("victim_in_vehicle_rate"), F.round(F.avg("zone_phase"), 2).alias("mean_zone_phase"),
+    ]
+    rows = with_distincts(base, ["weapon_name", "weapon_class", "perspective", "range_bucket"], aggs, {"matches": "match_id", "distinct_killers": "killer_account_id"})
+    rows = rows.select(
+        "weapon_name", "weapon_class", "perspective", "range_bucket", "kills", "matches", "distinct_killers", F.round(F.col("q")[0], 1).alias("median_distance_m"), "mean_distance_m",
+        F.round(F.col("q")[1], 1).alias("p90_distance_m"), "through_wall_rate", "victim_in_vehicle_rate", "mean_zone_phase",
     )
     return group_share(rows, ["perspective"], "kills", "perspective_kills", "kill_share").withColumn("has_enough_kills", F.col("kills") >= 100)
 

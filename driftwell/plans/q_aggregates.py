@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, classify, grid_cell, rate, safe_div, seconds_between, surrogate_key
-from ..operators.aggregates import grid_heatmap, nested_teams, quantiles
+from ..operators.aggregates import grid_heatmap, nested_teams, quantiles, with_distincts
 from ..operators.windows import group_share, others_in_group
 from .catalog import query
 
@@ -93,10 +93,9 @@ def item_performance(t):
     rows = t.lineitem.filter("l_linestatus = 'F'").select(F.col("l_partkey").alias("p_partkey"), F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", F.col("l_extendedprice").alias("d"), "l_quantity", "l_returnflag")
     rows = rows.join(t.part.select("p_partkey", "p_brand"), "p_partkey").join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     rows = rows.withColumn("size", bucket("l_quantity", [10, 25], ["few", "some", "many"]))
-    g = rows.groupBy("p_brand", "o_orderpriority", "size").agg(
-        F.count(F.lit(1)).alias("sales"), F.count_distinct("o_orderkey").alias("orders"), F.count_distinct("l_suppkey").alias("suppliers"), F.round(F.median("d"), 4).alias("median_price"), F.round(F.avg("d"), 7).alias("mean_price"),
-        F.round(F.percentile("d", F.lit(0.9)), 5).alias("p90_price"), F.round(rate(F.col("l_returnflag") == "R"), 6).alias("return_rate"),
-    )
+    aggs = [F.count(F.lit(1)).alias("sales"), quantiles("d", [0.5, 0.9]).alias("q"), F.round(F.avg("d"), 7).alias("mean_price"), F.round(rate(F.col("l_returnflag") == "R"), 6).alias("return_rate")]
+    g = with_distincts(rows, ["p_brand", "o_orderpriority", "size"], aggs, {"orders": "o_orderkey", "suppliers": "l_suppkey"})
+    g = g.withColumns({"median_price": F.round(F.col("q")[0], 4), "p90_price": F.round(F.col("q")[1], 5)}).drop("q")
     out = group_share(g, ["o_orderpriority"], "sales", "priority_sales", "sale_share")
     return out.withColumns({"sale_share": F.round("sale_share", 8), "has_enough": F.col("sales") >= 100})
 

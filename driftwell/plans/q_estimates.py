@@ -178,7 +178,10 @@ def pit_features(t):
     return features(t).select("o_orderkey", F.round("prior_mean", 7).alias("prior_mean"), "prior_n", (F.col("prior_n") > 0).alias("has_history"), (F.col("o_totalprice") >= F.coalesce("prior_mean", F.lit(0.0))).alias("above"))
 
 
-@query("pit_check", "select cast(0 as bigint) as violations, count(*) as checked from orders")
+@query("pit_check", """
+with f as (select o_custkey as c, o_orderkey as k, o_orderdate as d, avg(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows between unbounded preceding and 1 preceding) as m from orders),
+r as (select f.k, any_value(f.m) as m, avg(o.o_totalprice) as again from f left join orders o on o.o_custkey = f.c and (o.o_orderdate < f.d or (o.o_orderdate = f.d and o.o_orderkey < f.k)) group by f.k)
+select count(*) filter (where (m is null) <> (again is null) or abs(m - again) > 1e-6) as violations, count(*) as checked from r""")
 def pit_check(t):
     """Features against a recomputation by a join; no row differs."""
     f = features(t)

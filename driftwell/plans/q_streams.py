@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..sources.staging import fresh_path
 from ..sources.tables import compact, delete_where, read_version, snapshot_write, upsert_new
-from ..streaming.streams import dedup_stream, drain, file_stream, pulse, shred_stream, upsert_batch
+from ..streaming.streams import dedup_stream, drain, file_stream, pulse, read_upserted, shred_stream, upsert_batch
 from .catalog import query
 
 
@@ -60,7 +63,33 @@ def stream_upsert(t):
     root, mark = fresh_path(t.spark, "upsert"), fresh_path(t.spark, "mark")
     rows = event_stream(t).select("user_id", "event_type", F.lit(True).alias("there"))
     drain(rows.writeStream.foreachBatch(upsert_batch(root, ["user_id", "event_type"])).option("checkpointLocation", mark).trigger(availableNow=True).start())
-    return read_version(t.spark, root)
+    return read_upserted(t.spark, root, rows.schema)
+
+
+@query("stream_restart", """
+select 'view' as stream, user_id, count(*) as n, sum(event_id)::bigint as ids from events where event_type = 'view' group by user_id
+union all select 'purchase', user_id, count(*), sum(event_id)::bigint from events where event_type = 'purchase' group by user_id""")
+def stream_restart(t):
+    """Two streams over one source, each with its own checkpoint: one is stopped after a batch and goes on by itself."""
+    source, out = event_stream(t), None
+    for name, stops in (("view", False), ("purchase", True)):
+        root, mark = fresh_path(t.spark, name), fresh_path(t.spark, "mark")
+        rows = source.filter(F.col("event_type") == name).select(F.lit(name).alias("stream"), "user_id", "event_id")
+        write = upsert_batch(root, ["event_id"])
+
+        def once(batch, number, write=write):
+            if number > 0:
+                raise InterruptedError("stopped")
+            write(batch, number)
+
+        start = lambda sink, rows=rows, mark=mark: rows.writeStream.foreachBatch(sink).option("checkpointLocation", mark).trigger(availableNow=True).start()
+        if stops:
+            with contextlib.suppress(StreamingQueryException):
+                drain(start(once))
+        drain(start(write))
+        table = read_upserted(t.spark, root, rows.schema)
+        out = table if out is None else out.unionByName(table)
+    return out.groupBy("stream", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query("snapshot_versions", """
@@ -79,10 +108,10 @@ def snapshots(t):
     return out
 
 
-@query("compaction", "select o_orderstatus, count(*) as n, 1 as files from orders group by 1")
+@query("compaction", "select o_orderstatus, count(*) as n, (select cast(ceil(count(*) / 2500.0) as int) from orders) as files from orders group by 1")
 def compaction(t):
     """Many small files rewritten as few; the rows stay."""
     root = fresh_path(t.spark, "small")
     snapshot_write(t.orders.repartition(12), root)
-    version, _, after = compact(t.spark, root, target_rows=100_000_000)
+    version, _, after = compact(t.spark, root, target_rows=2500)
     return read_version(t.spark, root, version).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("files", F.lit(after))

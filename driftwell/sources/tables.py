@@ -53,14 +53,14 @@ def write_predictions(df: DataFrame, path: str, version: str) -> None:
 # ---- snapshots: a folder root/version=N for each state of a table
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions that are there, in order. Only folder names are read."""
+def versions(spark: SparkSession, root: str, name: str = "version") -> list[int]:
+    """Numbers of the folders name=N that are there, in order. Only folder names are read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("version="))
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{name}="))
 
 
 def snapshot_write(df: DataFrame, root: str) -> int:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.joins import merge_insert
-from ..sources.tables import read_version, snapshot_write, versions
+from ..sources.tables import snapshot_write, versions, write_table
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int | None = None, **options) -> DataFrame:
@@ -43,18 +42,29 @@ def pulse(df: DataFrame, ts: str, width: str, delay: str, by: Sequence[str] = ()
 
 
 def upsert_batch(root: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that inserts rows whose key is new; running a batch again changes nothing."""
+    """A foreachBatch sink that inserts rows whose key is new. A batch writes its new rows alone, to a folder of its own
+    number, so that running it again changes nothing. read_upserted() reads the table."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        if not versions(spark, root):
-            snapshot_write(batch.dropDuplicates(list(keys)), root)
-        else:
-            snapshot_write(merge_insert(read_version(spark, root), batch, keys), root)
+    def write(batch: DataFrame, number: int) -> None:
+        spark, new = batch.sparkSession, batch.dropDuplicates(list(keys))
+        earlier = [f"{root}/batch={n}" for n in versions(spark, root, "batch") if n != number]
+        if earlier:
+            new = new.join(spark.read.schema(batch.schema).parquet(*earlier).select(*keys), list(keys), "left_anti")
+        write_table(new, f"{root}/batch={number}")
 
     return write
 
 
+def read_upserted(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The table that upsert_batch() keeps."""
+    return spark.read.schema(schema).parquet(*[f"{root}/batch={n}" for n in versions(spark, root, "batch")])
+
+
+def fold_upserted(spark: SparkSession, root: str, schema: StructType) -> int:
+    """Write what upsert_batch() has left as one snapshot, for readers that want few files; the batches stay."""
+    return snapshot_write(read_upserted(spark, root, schema), root)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait for a query that stops when nothing is left; raise what stopped it otherwise."""
     query.awaitTermination()

@@ -166,3 +166,34 @@ def test_stream_pulse_reads_events_as_they_are_spread(spark, monkeypatch):
     got = q_streams.stream_pulse(SimpleNamespace(spark=spark, events=events)).collect()
     assert sorted(r.window_s for r in got) == [1704067200 + 86400 * k for k in range(7)] and {r.events for r in got} == {24}
     assert len(spark.read.parquet(paths[0]).inputFiles()) == 4
+
+
+@pytest.mark.parametrize("split", [3.0, 60.0])
+def test_asof_in_stretches_equals_asof(spark, split):
+    rng = random.Random(3)
+    some = lambda n, c: spark.createDataFrame([(rng.choice([1, 2, None]), i, rng.choice([None, *range(90)])) for i in range(n)], f"k int, {c} int, s int").select("k", c, F.timestamp_seconds("s").alias(f"{c}_ts"))
+    left, right = some(200, "l"), some(70, "r")
+    for how in ("left", "inner"):
+        a, b = (sorted(map(tuple, joins.asof_join(left, right, ["k"], "l_ts", "r_ts", how=how, tiebreak=["r"], split=x).collect()), key=str) for x in (None, split))
+        assert a == b and a
+
+
+def test_window_mismatch_blocks(spark):
+    df = spark.range(600).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 101).cast("double")).alias("v"))
+    df = windows.prior_window(df, ["k"], ["o"], {"m": F.avg("v")})
+    assert quality.window_mismatch(df, ["k"], ["o"], "v", "m", block=16).count() == 0
+    wrong = df.withColumn("m", F.when(F.col("o").isin(5, 400), F.col("m") + 1).when(F.col("o") == 11, None).otherwise(F.col("m")))
+    assert sorted(r.o for r in quality.window_mismatch(wrong, ["k"], ["o"], "v", "m", block=16).collect()) == [5, 11, 400]
+
+
+def test_upserts_replay(spark, tmp_path):
+    from driftwell.streaming import streams
+
+    root, write = f"file://{tmp_path}/t", None
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    write = streams.upsert_batch(root, ["k"])
+    for number, rows in ((0, [(1, "a"), (1, "a")]), (1, [(1, "b"), (2, "c")]), (1, [(1, "b"), (2, "c")]), (2, [(3, "d")])):
+        write(frame(rows), number)
+    shape = frame([]).schema
+    assert sorted(map(tuple, streams.read_upserted(spark, root, shape).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert streams.fold_upserted(spark, root, shape) == 0
