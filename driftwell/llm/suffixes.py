@@ -1,10 +1,12 @@
 """Removal of repeated byte strings by merging shard Burrows-Wheeler transforms.
 
-Every string of ``LENGTH`` bytes has a minimizer, the least hash of its substrings of ``SEED`` bytes; equal strings have
-the same. Runs of strings with one minimizer are cut out as segments and dealt to buckets by it, so that all the places
-of a string meet in one bucket and buckets are independent. Copies of a segment are folded before they are shuffled.
-A minimizer with more bytes than a share of a bucket, as at the edges of a passage that many documents hold, would fill
-its bucket; its strings are dealt by a hash of the whole string instead, one by one, and compared by 128 bits of hash.
+Texts are written once as compressed blocks. Every string of ``LENGTH`` bytes has a minimizer, the least hash of its
+substrings of ``SEED`` bytes; equal strings have the same. Runs of strings with one minimizer are segments. First only the
+minimizers are counted, a few bytes each: a segment whose minimizer no other document has is never sent. The others are
+dealt to buckets by minimizer, so that all the places of a string meet in one bucket and buckets are independent. Copies
+of a segment are folded before they are shuffled. A minimizer with more bytes than a share of a bucket, as at the edges
+of a passage that many documents hold, would fill its bucket; its strings are dealt by a hash of the whole string
+instead, one by one, and compared by 128 bits of hash.
 
 In a bucket, segments that stand alone under their minimizer go. Copies of a segment are one, held by the least of their
 documents; where a minimizer has no second segment that settles its strings. Of the others those go that share with no
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import zstandard
@@ -32,11 +35,12 @@ LENGTH, SEED = 50, 20
 RUN = 64
 #: Bytes of input whose segments one bucket holds, and segments in a shard.
 BUCKET_BYTES, SHARD = 3 << 20, 4096
-#: Bytes of text that are cut into segments at a time.
-BLOCK = 8 << 20
-#: Bytes of a minimizer's segments, after folding, from which its strings are dealt one by one. They are estimated from
-#: one in SAMPLE texts and all texts of LONG bytes; a wrong estimate moves strings to other buckets, never drops them.
-HOT_BYTES, SAMPLE, LONG = BUCKET_BYTES // 4, 16, 1 << 20
+#: Bytes of text that are cut into segments at a time, and in a written block (more where a text has more).
+BLOCK, PACKED = 8 << 20, 3 << 20
+#: Bytes of a minimizer's segments, folded within blocks, from which its strings are dealt one by one.
+HOT_BYTES = BUCKET_BYTES // 4
+#: Rows of a block are numbered below this, blocks of a partition below its square.
+ROWS = 1 << 11
 
 _BYTE = mix64(np.arange(256, dtype=np.uint64) + np.uint64(1 << 41))
 _P = 0x9E3779B97F4A7C15 | 1
@@ -107,55 +111,144 @@ def _codes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, values: np.nda
     return mix64((total[stop] - total[begin]) * back[begin] + (stop - begin).astype(np.uint64))
 
 
-def hot_minimizers(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
-    """The minimizers whose segments come to HOT_BYTES or more, in order. At most 16 bytes for each HOT_BYTES of text."""
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """doc_id, text (not null), skip, copy as blocks: block, ids, skip, sizes (bytes of each text), packed (their bytes,
+    zstd), copy."""
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    sample, long = SAMPLE, LONG  # workers see the driver's values
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for data, offsets, ids, parts, base in _blocks(batches, length):
-            begin, n, least, of = segments(data, offsets, length)
-            if not len(begin):
-                continue
-            size = n + length - 1
-            _, first = np.unique(_codes(data, begin, begin + size), return_index=True)  # copies in a batch are folded
-            weight = np.where((np.diff(offsets) >= long) | (base > 0), 1, sample)
-            value, back = np.unique(least[first], return_inverse=True)
-            total = np.bincount(back, (size * weight[of])[first]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(total)], names=["minimizer", "bytes"])
-
-    drawn = docs.filter((F.octet_length("text") >= long) | (F.pmod(F.xxhash64("doc_id", "part"), F.lit(sample)) == 0))
-    sums = drawn.mapInArrow(run, "minimizer long, bytes long").groupBy("minimizer").agg(F.sum("bytes").alias("bytes"))
-    hot = [r[0] for r in sums.filter(F.col("bytes") >= HOT_BYTES).select("minimizer").collect()]
-    return np.sort(np.array(hot, np.int64).view(np.uint64))
-
-
-def _blocks(batches, length):
-    """Bytes, offsets, doc_ids, parts and place in a long text of what is cut into segments at a time."""
-    for batch in batches:
-        data, offsets = utf8_column(batch.column(2))
-        ids, parts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-        at = 0
-        while at < len(ids):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
-            for lo, hi, base in _stretches(offsets, at, to, length):
-                own = np.array([0, hi - lo]) if base is not None else offsets[at : to + 1] - offsets[at]
-                yield data[lo:hi], own, ids[at:to], parts[at:to], base or 0
-            at = to
-
-
-def dealt(docs: DataFrame, buckets: int, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
-    """bucket, packed segments and strings; and, with them, removals that are certain within one batch."""
+        block = TaskContext.get().partitionId() * ROWS * ROWS
+        for batch in batches:
+            data, offsets = utf8_column(batch.column(1))
+            at = 0
+            while at < batch.num_rows:
+                to = min(max(at + 1, int(np.searchsorted(offsets, offsets[at] + PACKED, "right")) - 1), at + ROWS)
+                ids, skip, copy = ([batch.column(j).slice(at, to - at).to_pylist()] for j in (0, 2, 3))
+                packed = zstandard.compress(data[offsets[at] : offsets[to]].tobytes(), 3)
+                columns = [pa.array([block]), pa.array(ids, pa.list_(batch.column(0).type)), pa.array(skip, pa.list_(pa.bool_())), pa.array([np.diff(offsets[at : to + 1])], pa.list_(pa.int64()))]
+                columns += [pa.array([packed], pa.binary()), pa.array(copy, pa.list_(pa.bool_()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "skip", "sizes", "packed", "copy"])
+                at, block = to, block + 1
+
+    return rows.select("doc_id", "text", "skip", "copy").mapInArrow(run, f"block long, ids array<{kind}>, skip array<boolean>, sizes array<long>, packed binary, copy array<boolean>")
+
+
+def _read(batch) -> Iterator[tuple[int, np.ndarray, np.ndarray, list, np.ndarray]]:
+    """block, bytes, offsets, ids (as they are) and skip of each row of blocks_of()."""
+    block, ids, skip, sizes = (batch.column(j).to_pylist() for j in range(4))
+    for i, packed in enumerate(batch.column(4)):
+        data = np.frombuffer(zstandard.decompress(packed.as_buffer()), np.uint8)
+        yield block[i], data, np.concatenate([[0], np.cumsum(sizes[i])]).astype(np.int64), ids[i], np.array(skip[i], bool)
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray, skip: np.ndarray, length: int) -> list:
+    """Segments of what is searched in a block: (bytes, offsets, first row, place in a long text, segments), some at a time."""
+    out, at = [], 0
+    while at < len(skip):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1)
+        for lo, hi, base in _stretches(offsets, at, to, length):
+            own = np.array([0, hi - lo]) if base is not None else offsets[at : to + 1] - offsets[at]
+            found = segments(data[lo:hi], own, length)
+            good = ~skip[at + found[3]]
+            out.append((data[lo:hi], own, at, base or 0, tuple(x[good] for x in found)))
+        at = to
+    return out
+
+
+def _minimizers(cut_up: list, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different minimizers of a block in the order of their buckets, and the buckets."""
+    value = np.unique(np.concatenate([x[4][2] for x in cut_up]) if cut_up else np.zeros(0, np.uint64))
+    bucket = (mix64(value) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return value[order], bucket[order]
+
+
+def _seen(buckets: int, length: int):
+    """A block's minimizers, by bucket: block, bucket, 4 bytes of each, and whether two rows have it, and its folded bytes."""
     import pyarrow as pa
 
     def run(batches):
-        for data, offsets, ids, parts, base in _blocks(batches, length):
-            out = _pack(data, offsets, ids, parts, buckets, hot, base, length)
+        for batch in batches:
+            out = []
+            for block, data, offsets, _, skip in _read(batch):
+                cut_up = _cut(data, offsets, skip, length)
+                value, bucket = _minimizers(cut_up, buckets)
+                if not len(value):
+                    continue
+                sort, order = np.sort(value), np.argsort(value)
+                size, low, high = np.zeros(len(value), np.int64), np.full(len(value), 1 << 62), np.full(len(value), -1)
+                for text, _, first, _, (begin, n, least, of) in cut_up:
+                    at = order[np.searchsorted(sort, least)]
+                    np.minimum.at(low, at, first + of)
+                    np.maximum.at(high, at, first + of)
+                    again = np.flatnonzero(np.bincount(at, minlength=len(value))[at] > 1)
+                    lone = np.ones(len(at), bool)
+                    if len(again):  # copies count once
+                        lone[again] = False
+                        lone[again[np.unique(_codes(text, begin[again], begin[again] + n[again] + length - 1), return_index=True)[1]]] = True
+                    size += np.bincount(at[lone], (n[lone] + length - 1), minlength=len(value)).astype(np.int64)
+                marks, several = (value >> np.uint64(32)).astype("<u4"), low < high
+                for k in _by_bucket(np.arange(len(value)), bucket):
+                    rest = zstandard.compress(several[k].astype(np.uint8).tobytes() + size[k].astype("<u4").tobytes(), 3)
+                    out.append((int(bucket[k[0]]), block, marks[k].tobytes(), rest))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "block", "marks", "rest"])
+
+    return run
+
 
-    return docs.mapInArrow(run, "bucket int, packed binary")
+def _told(hot_bytes: int):
+    """For each packet of a bucket: two bits a minimizer, whether another row has it, and whether it is hot."""
+    import pyarrow as pa
+
+    def run(group):
+        marks = [np.frombuffer(x.as_buffer(), "<u4") for chunk in group["marks"].chunks for x in chunk]
+        rest = [np.frombuffer(zstandard.decompress(x.as_buffer()), np.uint8) for chunk in group["rest"].chunks for x in chunk]
+        lens = np.array([len(x) for x in marks])
+        several = np.concatenate([r[:n] for r, n in zip(rest, lens, strict=True)])
+        size = np.concatenate([r[n:].view("<u4") for r, n in zip(rest, lens, strict=True)]).astype(np.int64)
+        _, back, count = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+        shared = (count > 1) | (np.bincount(back, several) > 0)
+        hot = shared & (np.bincount(back, size) >= hot_bytes)
+        ends = np.cumsum(lens)
+        bits = [np.packbits(np.stack([shared[back[e - n : e]], hot[back[e - n : e]]])).tobytes() for e, n in zip(ends, lens, strict=True)]
+        return pa.table({"block": group["block"], "bucket": group["bucket"], "bits": pa.array(bits, pa.binary())})
+
+    return run
+
+
+def dealt(blocks: DataFrame, buckets: int, length: int = LENGTH, hot_bytes: int | None = None) -> DataFrame:
+    """bucket, packed segments and strings; and, with them, removals that are certain within one block."""
+    import pyarrow as pa
+
+    hot_bytes = HOT_BYTES if hot_bytes is None else hot_bytes
+    seen = blocks.mapInArrow(_seen(buckets, length), "bucket int, block long, marks binary, rest binary")
+    told = seen.groupBy("bucket").applyInArrow(_told(hot_bytes), "block long, bucket int, bits binary")
+    told = told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "bits"))).alias("told"))
+    both = blocks.join(told, "block").select("block", "ids", "skip", "sizes", "packed", "told")
+
+    def run(batches):
+        for batch in batches:
+            for (block, data, offsets, ids, skip), told in zip(_read(batch), batch.column(5).to_pylist(), strict=True):
+                cut_up = _cut(data, offsets, skip, length)
+                value, bucket = _minimizers(cut_up, buckets)
+                flags = np.zeros((2, len(value)), bool)
+                for k, t in zip(_by_bucket(np.arange(len(value)), bucket), told, strict=True):
+                    flags[:, k] = np.unpackbits(np.frombuffer(t["bits"], np.uint8))[: 2 * len(k)].reshape(2, -1)
+                sort, order = np.sort(value), np.argsort(value)
+                ids = np.array([0 if x is None else x for x in ids], np.int64)
+                for text, own, first, base, (begin, n, least, of) in cut_up:
+                    at = order[np.searchsorted(sort, least)]
+                    go = flags[0][at]
+                    rows = np.arange(first, first + len(own) - 1)
+                    out = _pack(text, own, ids[rows], block * ROWS + rows, buckets, (begin[go], n[go], least[go], of[go]), flags[1][at][go], base, length)
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "packed"])
+
+    return both.mapInArrow(run, "bucket int, packed binary")
 
 
 def _stretches(offsets, at, to, length):
@@ -168,11 +261,11 @@ def _stretches(offsets, at, to, length):
         yield lo, min(high, lo + BLOCK + length - 1), lo - low
 
 
-def _pack(data, offsets, ids, parts, buckets, hot, base, length):
-    begin, n, least, of = segments(data, offsets, length)
+def _pack(data, offsets, ids, parts, buckets, found, single, base, length):
+    """Packets of segments (start, strings, minimizer, text). single: whether the segment's strings go one by one."""
+    begin, n, least, of = found
     if not len(begin):
         return []
-    single = np.isin(least, hot)
     if single.any():  # a hot minimizer's segments become strings
         k = np.flatnonzero(single)
         cool = ~single
@@ -428,17 +521,13 @@ def _bucket(length: int):
     return run
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_ranges(blocks: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
     """doc_id, part, start, stop (bytes) of stretches whose every string of ``length`` bytes starts in a smaller doc_id too.
 
-    docs: doc_id (long), part (long, tells apart texts of one doc_id), text. Ranges of a text may touch or overlap.
+    part: the block's number times ROWS, and the row's in it. Ranges of a text may touch or overlap. Buckets follow the
+    input, partitions the session's settings.
     """
-    spark = tune(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    docs = docs.filter(F.octet_length("text") >= length)
-    packed = dealt(docs, buckets, hot_minimizers(docs, length), length)
-    return packed.groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
+    return dealt(blocks, buckets, length).groupBy("bucket").applyInArrow(_bucket(length), "doc_id long, part long, start long, stop long")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -447,59 +536,45 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Texts are UTF-8 bytes; null counts as empty; strings never cross documents; they are judged on the input. Texts
     that are equal as a whole are one to the search, with their smallest doc_id; the others of them go whole. Rows
     that repeat doc_id and text have the same result; rows that share a doc_id don't remove from each other. Rows with
-    null doc_id lose and take nothing. Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
+    null doc_id lose and take nothing. Empty tables give no rows, other columns are not read, and a text of any length is
+    cut in stretches that overlap. Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
     """
     import pyarrow as pa
 
     tune(docs.sparkSession)
     rows = docs.select(*text_key(), F.coalesce("text", F.lit("")).alias("text"))
-    digest = [F.col("text_hash"), F.xxhash64(F.lit(1), "text").alias("other_hash")]
-    # Texts that share a doc_id are told apart by their place among its hashes; as a rule there are none.
-    several = rows.filter("doc_id is not null").select("doc_id", "text_hash").groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x < y")
-    shared = cut(rows.select("doc_id", "text_hash").join(several.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_set("text_hash")).alias("hashes")))
-    rows = rows.join(F.broadcast(shared) if shared.count() <= 100_000 else shared, "doc_id", "left")
-    rows = rows.withColumn("part", F.when(F.col("hashes").isNull(), 0).otherwise(F.array_position("hashes", F.col("text_hash"))).cast("long")).drop("hashes")
-    keys = rows.filter(F.octet_length("text") >= length).filter("doc_id is not null").select("doc_id", *digest)
-    least = keys.groupBy("text_hash", "other_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    least = cut(least)
-    copies = keys.join(least, ["text_hash", "other_hash"]).filter("doc_id > first").select("doc_id", "text_hash").distinct()
-    copies = cut(copies)
-    small = copies.count() <= 200_000  # 16 bytes each
-    once = rows.filter("doc_id is not null").join(F.broadcast(copies) if small else copies, ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").cast("long").alias("doc_id"), "part", "text")
-    ranges = repeated_ranges(once, length).groupBy("doc_id", "part").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    ranges = cut(ranges.withColumnsRenamed({"doc_id": "range_id", "part": "range_part"}))
-    marked = rows.join(ranges, (F.col("doc_id") == F.col("range_id")) & (F.col("part") == F.col("range_part")), "left")
-    gone = (F.broadcast(copies) if small else copies).select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash"))
-    marked = marked.join(gone, (F.col("doc_id") == F.col("copy_id")) & (F.col("text_hash") == F.col("copy_hash")), "left")
-    marked = marked.select("doc_id", "text", "ranges", F.col("copy_id").isNotNull().alias("copy"))
+    keys = rows.filter(F.octet_length("text") >= length).filter("doc_id is not null").select("doc_id", "text_hash", F.xxhash64(F.lit(1), "text").alias("other_hash"))
+    least = cut(keys.groupBy("text_hash", "other_hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    copies = cut(keys.join(least, ["text_hash", "other_hash"]).filter("doc_id > first").select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")).distinct())
+    copy = (F.col("doc_id") == F.col("copy_id")) & (F.col("text_hash") == F.col("copy_hash"))
+    flagged = rows.join(F.broadcast(copies) if copies.count() <= 200_000 else copies, copy, "left")  # 16 bytes each
+    # 0: searched, 1: neither searched nor changed, 2: a copy, which goes whole.
+    state = F.when(F.col("copy_id").isNotNull(), 2).when(F.col("doc_id").isNull() | (F.octet_length("text") < length), 1).otherwise(0)
+    blocks = cut(blocks_of(flagged.select("doc_id", "text", (state > 0).alias("skip"), (state == 2).alias("copy"))))
+    total = blocks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).agg(F.sum("n")).first()[0] or 0
+    ranges = repeated_ranges(blocks, max(1, -(-total // BUCKET_BYTES)), length)
+    ranges = ranges.groupBy(F.floor(F.col("part") / ROWS).alias("range_block")).agg(F.collect_list(F.struct((F.col("part") % ROWS).alias("row"), "start", "stop")).alias("ranges"))
+    marked = blocks.join(cut(ranges), F.col("block") == F.col("range_block"), "left").select("block", "ids", "skip", "sizes", "packed", "copy", "ranges")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            data, offsets = utf8_column(batch.column(1))
-            lists = batch.column(2)
-            ends = np.cumsum([0, *[k or 0 for k in pa.compute.list_value_length(lists).to_pylist()]])
-            flat = lists.flatten()
-            starts, stops = (flat.field(j).to_numpy(zero_copy_only=False) for j in (0, 1))
-            copy = batch.column(3).to_pylist()
-            out = []
-            for i in range(batch.num_rows):
-                x = data[offsets[i] : offsets[i + 1]]
-                a, b = starts[ends[i] : ends[i + 1]], stops[ends[i] : ends[i + 1]]
-                if copy[i]:
-                    a, b = np.array([0]), np.array([len(x)])
-                if not len(a):
-                    out.append((len(x), 0, 0, x.tobytes()))
-                    continue
-                cover = np.zeros(len(x) + 1, np.int32)
-                np.add.at(cover, a, 1)
-                np.add.at(cover, b, -1)
+            for (_, data, offsets, ids, _), copy, found in zip(_read(batch), batch.column(5).to_pylist(), batch.column(6), strict=True):
+                cover = np.zeros(len(data) + 1, np.int32)
+                if found.is_valid and len(found):
+                    row, start, stop = (found.values.field(j).to_numpy(zero_copy_only=False) for j in range(3))
+                    np.add.at(cover, offsets[row] + start, 1)
+                    np.add.at(cover, offsets[row] + stop, -1)
                 hit = np.cumsum(cover[:-1]) > 0
-                spans = int(hit[0]) + int((hit[1:] & ~hit[:-1]).sum())
-                out.append((len(x), int(hit.sum()), spans, x[~hit].tobytes()))
-            columns = [pa.array([o[j] for o in out], pa.int64()) for j in range(3)]
-            columns += [pa.array([hashlib.sha256(o[3]).hexdigest() for o in out], pa.string()), pa.array([o[3] for o in out], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                out = []
+                for i, gone in enumerate(copy):
+                    x, h = data[offsets[i] : offsets[i + 1]], hit[offsets[i] : offsets[i + 1]]
+                    h = np.ones(len(x), bool) if gone else h
+                    spans = int(h[0]) + int((h[1:] & ~h[:-1]).sum()) if len(h) else 0
+                    out.append((len(x), int(h.sum()), spans, x[~h].tobytes()))
+                columns = [pa.array([o[j] for o in out], pa.int64()) for j in range(3)]
+                columns += [pa.array([hashlib.sha256(o[3]).hexdigest() for o in out], pa.string()), pa.array([o[3] for o in out], pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(1).type.value_type), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return marked.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

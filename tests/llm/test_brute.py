@@ -206,12 +206,14 @@ def test_texts_longer_than_a_block(monkeypatch, block):
     own = lambda n: "".join(rng.choice("ABCDEF") for _ in range(n))
     rows = [(1, own(200) + shared), (2, shared[100:] + own(300) + shared[:120]), (3, own(90) + "=" * 500), (4, "=" * 120 + shared)]
     monkeypatch.setattr(suffixes, "BLOCK", block)
-    batch = pa.record_batch([pa.array([d for d, _ in rows]), pa.array([0] * 4, pa.int64()), pa.array([t for _, t in rows])], names=["doc_id", "part", "text"])
     packets = defaultdict(list)
-    for data, offsets, ids, parts, base in suffixes._blocks([batch], 50):
-        assert len(data) <= block + 49 or len(ids) > 1
-        for bucket, packed in suffixes._pack(data, offsets, ids, parts, 3, np.zeros(0, np.uint64), base, 50):
-            packets[bucket].append(packed)
+    for k, (d, text) in enumerate(rows):  # a block each
+        data = np.frombuffer(text.encode(), np.uint8)
+        cut_up = suffixes._cut(data, np.array([0, len(data)]), np.zeros(1, bool), 50)
+        assert len(cut_up) == -(-len(data) // block) and all(len(x[0]) <= block + 49 for x in cut_up)
+        for part, own, _, base, found in cut_up:
+            for bucket, packed in suffixes._pack(part, own, np.array([d]), np.array([k]), 3, found, np.zeros(len(found[0]), bool), base, 50):
+                packets[bucket].append(packed)
     cover = {d: np.zeros(len(t), bool) for d, t in rows}
     for packed in packets.values():
         for r in suffixes._bucket(50)(pa.table({"packed": pa.array(packed, pa.binary())})).to_pylist():

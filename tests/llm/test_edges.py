@@ -107,15 +107,22 @@ def test_suffixes_hot_minimizer_spreads(spark, monkeypatch):
     shared = "".join(rng.choice("abcdefgh") for _ in range(80))
     own = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(60))
     rows = [(d, own() + shared + own()) for d in range(400)] + [(400, "=" * 300), (401, "=" * 200 + shared)]
-    for name, value in (("BUCKET_BYTES", 2000), ("HOT_BYTES", 1000), ("SAMPLE", 1)):
+    for name, value in (("BUCKET_BYTES", 2000), ("HOT_BYTES", 1000)):
         monkeypatch.setattr(suffixes, name, value)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = suffixes.dedup_substrings(df).drop("kept").collect()
     assert sorted(map(tuple, got)) == brute_substrings(rows)
-    docs = df.select("doc_id", F.lit(0).cast("long").alias("part"), "text").repartition(40)
-    hot = suffixes.hot_minimizers(docs)
-    most = lambda hot: max(r.n for r in suffixes.dealt(docs, 200, hot).groupBy("bucket").agg(F.sum(F.octet_length("packed")).alias("n")).collect())
-    assert len(hot) and most(hot) < 0.4 * most(hot[:0])
+    blocks = suffixes.blocks_of(df.select("doc_id", "text", F.lit(False).alias("skip"), F.lit(False).alias("copy")).repartition(40))
+    most = lambda hot: max(r.n for r in suffixes.dealt(blocks, 200, hot_bytes=hot).groupBy("bucket").agg(F.sum(F.octet_length("packed")).alias("n")).collect())
+    assert most(1000) < 0.4 * most(1 << 40)
+
+
+def test_lonely_segments_are_not_sent(spark):
+    rng = random.Random(8)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows = [(d, own(3000)) for d in range(30)]
+    sent = lambda rows: suffixes.dealt(suffixes.blocks_of(spark.createDataFrame([(*r, False, False) for r in rows], "doc_id long, text string, skip boolean, copy boolean").repartition(5)), 4).count()
+    assert sent(rows) == 0 and sent([*rows, (99, own(10) + rows[3][1][500:700])]) > 0
 
 
 def test_merge_equals_one_sort():
