@@ -1,18 +1,21 @@
 """Near-duplicate embeddings by a random-projection tree forest.
 
 Each tree splits recursively along the difference of two random sample points, at the sample's median, with a spill band
-around it whose vectors go to both sides. Vectors are compared within leaves, in double precision, by matrix products.
+around it whose vectors go to both sides. The upper levels are fitted on one bounded sample; leaves that are still too
+large are split further by trees fitted on a sample of their own rows, level by level, until leaves have one size
+whatever the input. Vectors are compared within leaves, in double precision, by matrix products.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table, tune
+from .common import cut, mix64, table, tune
 from .components import connected_components
 
 COSINE = 0.95
@@ -21,10 +24,16 @@ TREES = 8
 SPILL = 0.06
 #: Vectors that a leaf should hold, and a node's sample points below which it isn't split.
 LEAF, LEAST = 512, 32
-#: Rows that the trees are fitted on at most, of each vector length. All rows are indexed.
-SAMPLE_ROWS = 20_000
-#: Larger leaves are compared in blocks of about this many vectors, each pair of blocks by itself.
+#: Rows that the upper levels are fitted on at most, and the vector lengths (the most frequent ones) that they are fitted
+#: for; other lengths begin with one leaf a tree. All rows are indexed.
+SAMPLE_ROWS, WIDTHS = 20_000, 8
+#: Leaves of more vectors are split further. Those that can't be (they hold near-equal vectors) are compared in blocks of
+#: about this many, each pair of blocks by itself.
 BLOCK = 2048
+#: Rows that a split of one leaf is fitted on, about, and rows of a leaf that a task sends down the new tree.
+OWN_ROWS, ROUTED_ROWS = 1024, 50_000
+#: Levels of further splits; each makes leaves some 30 times smaller.
+LEVELS = 16
 #: Oversized leaves (8 bytes each) that may be broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -64,7 +73,7 @@ class Forest:
         return np.concatenate(rows), np.concatenate(out)
 
 
-def fit_forest(sample: np.ndarray, total: int, seed: int, first_leaf: int = 0) -> tuple[Forest, int]:
+def fit_forest(sample: np.ndarray, total: int, seed: int, first_leaf: int = 0, trees: int = TREES, size: int = LEAF, least: int = LEAST) -> tuple[Forest, int]:
     """Fit on unit rows that stand for ``total`` vectors; also how many leaves there are."""
     rng = np.random.default_rng(seed)
     direction, low, high, child, leaves = [], [], [], [], 0
@@ -72,17 +81,17 @@ def fit_forest(sample: np.ndarray, total: int, seed: int, first_leaf: int = 0) -
 
     def grow(x: np.ndarray) -> int:
         nonlocal leaves
-        if len(x) * scale > LEAF and len(x) >= LEAST:
+        if len(x) * scale > size and len(x) >= least:
             for _ in range(4):
                 a, b = x[rng.choice(len(x), 2, replace=False)]
                 d = a - b
-                if (size := np.sqrt(d @ d)) > 1e-9:
-                    p = x @ (d / size)
+                if (far := np.sqrt(d @ d)) > 1e-9:
+                    p = x @ (d / far)
                     lo, hi = np.quantile(p, [0.5 - SPILL, 0.5 + SPILL])
                     left, right = x[p <= hi], x[p >= lo]
                     if max(len(left), len(right)) < 0.9 * len(x):
                         node = len(direction)
-                        direction.append(d / size)
+                        direction.append(d / far)
                         low.append(lo)
                         high.append(hi)
                         child.append([0, 0])
@@ -91,11 +100,62 @@ def fit_forest(sample: np.ndarray, total: int, seed: int, first_leaf: int = 0) -
         leaves += 1
         return -leaves
 
-    roots = [grow(sample) for _ in range(TREES)]
+    roots = [grow(sample) for _ in range(trees)]
     width = sample.shape[1]
     return Forest(roots, np.array(direction).reshape(-1, width), np.array(low), np.array(high), np.array(child, np.int64).reshape(-1, 2), first_leaf), leaves
 
 
+def _matrix(vectors) -> np.ndarray:
+    """Unit rows of an Arrow list column whose lists have one length."""
+    vectors = vectors.combine_chunks()
+    return unit_rows(vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1))
+
+
+def split_further(routed: DataFrame, block: int, size: int, least: int, own_rows: int, seed: int) -> DataFrame:
+    """routed (id, v, weight, codes) with the codes of smaller leaves in place of those of more than ``block`` vectors.
+
+    Each level draws about ``own_rows`` of each large leaf, fits one tree on them, and sends the leaf's rows down, at most
+    ROUTED_ROWS of a leaf in a task. A leaf that no direction splits keeps its rows under a code that is not tried again.
+    """
+    import pyarrow as pa
+
+    kind = routed.schema["id"].dataType.simpleString()
+    vectors, placed, stuck, changed = routed.select("id", "v"), routed.select("id", F.explode("codes").alias("leaf")), None, False
+    for level in range(LEVELS):
+        large = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block)
+        large = cut(large if stuck is None else large.join(stuck, "leaf", "left_anti"))
+        if large.isEmpty():
+            break
+        rows = placed.join(large, "leaf").join(vectors, "id").withColumn("salts", F.ceil(F.col("size") / ROUTED_ROWS))
+        drawn = F.shiftrightunsigned(F.xxhash64("id", "leaf", F.lit(seed + level)), 11) / float(1 << 53) < own_rows / F.col("size")
+
+        def fit(group):
+            leaf, total = group["leaf"][0].as_py(), group["size"][0].as_py()
+            forest, leaves = fit_forest(_matrix(group["v"]), total, abs(leaf) % (1 << 31) + seed + level, 0, 1, size, least)
+            return pa.table({"leaf": pa.array([leaf]), "tree": pa.array([pickle.dumps(forest)], pa.binary()), "leaves": pa.array([leaves]), "salts": group["salts"].slice(0, 1)})
+
+        def send(key, group, trees):
+            if not trees.num_rows or not group.num_rows:
+                return pa.table({"id": group["id"].slice(0, 0), "leaf": pa.array([], pa.int64())})
+            at, new = pickle.loads(trees["tree"][0].as_py()).leaves(_matrix(group["v"]))
+            parent = np.uint64(group["leaf"][0].as_py() & (2**64 - 1))
+            code = (mix64(mix64(parent + np.zeros(len(new), np.uint64)) + new.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+            return pa.table({"id": group["id"].take(pa.array(at)), "leaf": pa.array(code)})
+
+        fitted = cut(rows.filter(drawn).select("leaf", "size", "salts", "v").groupBy("leaf").applyInArrow(fit, "leaf long, tree binary, leaves long, salts long"))
+        split = fitted.filter("leaves > 1")
+        dealt = rows.join(split.select("leaf"), "leaf", "left_semi").select("leaf", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), "id", "v")
+        trees = split.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "tree")
+        moved = dealt.groupBy("leaf", "salt").cogroup(trees.groupBy("leaf", "salt")).applyInArrow(send, f"id {kind}, leaf long")
+        still = large.join(split, "leaf", "left_anti").select("leaf")
+        stuck = cut(still if stuck is None else still.unionByName(stuck))
+        placed, changed = cut(placed.join(split.select("leaf"), "leaf", "left_anti").unionByName(moved)), True
+    if not changed:
+        return routed
+    codes = placed.groupBy("id").agg(F.sort_array(F.collect_set("leaf")).alias("codes"))  # some TREES times the spill
+    return cut(routed.drop("codes").join(codes, "id").select("id", "v", "weight", "codes"))
+
+
 def _compare(least: float):
     import pyarrow as pa
 
@@ -104,8 +164,7 @@ def _compare(least: float):
         n = group.num_rows
         ids = group["id"].combine_chunks().to_numpy(zero_copy_only=False)
         block, weight = group["block"].to_numpy(), group["weight"].to_numpy()
-        vectors = group["v"].combine_chunks()
-        x = unit_rows(vectors.flatten().to_numpy(zero_copy_only=False).reshape(n, -1))
+        x = _matrix(group["v"])
         codes = group["codes"].combine_chunks()
         lens = np.asarray(codes.value_lengths())
         code = np.full((n, int(lens.max())), -1, np.int64)
@@ -154,8 +213,8 @@ def _compare(least: float):
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", seed: int = 11) -> DataFrame:
     """Links and components of vectors whose cosine, in double precision, is at least ``cosine``.
 
-    Equal vectors are one class with a weight. The forest is fitted on ``SAMPLE_ROWS`` rows at most; every class is
-    indexed in every tree, oversized leaves are compared in pairs of blocks, and a pair that shares several leaves is
+    Equal vectors are one class with a weight. The forest's upper levels are fitted on ``SAMPLE_ROWS`` rows at most; every
+    class is indexed in every tree, large leaves are split further, what can't be split is compared in pairs of blocks, and a pair that shares several leaves is
     counted in the first. A task returns each vector's links and its local component, never the pairs. A link below
     the threshold is never reported; one above is missed only if spill splits part the two in all ``TREES`` trees.
 
@@ -172,8 +231,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
     rows = rows.withColumn("fine", fine & F.col("id").isNotNull()).withColumn("h", F.xxhash64("v"))
     classes = cut(rows.filter("fine").groupBy("h", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")))
     forests, leaves = {}, 0
-    for width, total in sorted(map(tuple, classes.groupBy(F.size("v")).count().collect())):
-        share = min(1.0, SAMPLE_ROWS / total)
+    widths = classes.groupBy(F.size("v").alias("width")).count().orderBy(F.col("count").desc(), "width").limit(WIDTHS).collect()
+    for width, total in sorted(map(tuple, widths)):
+        share = min(1.0, SAMPLE_ROWS / len(widths) / total)
         unit = F.shiftrightunsigned(F.xxhash64("rep", F.lit(seed)), 11) / float(1 << 53)
         sample = np.array([r.v for r in classes.filter((F.size("v") == width) & (unit < share)).select("rep", "v").orderBy("rep").collect()], np.float64).reshape(-1, width)
         if len(sample):
@@ -189,9 +249,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(widths)
             for width in np.unique(widths):
                 at = np.flatnonzero(widths == width)
-                if width not in held.value:  # no row of this length was drawn: all of them meet in one leaf
+                if width not in held.value:  # a rare length: a leaf for each tree, to be split where it is large
                     for k in at:
-                        codes[k] = np.array([(1 << 40) + int(width)])
+                        codes[k] = (1 << 40) + int(width) * TREES + np.arange(TREES)
                     continue
                 x = unit_rows(flat[(ends[at] - width)[:, None] + np.arange(width)])
                 r, leaf = held.value[int(width)].leaves(x)
@@ -202,6 +262,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.list_(pa.int64()))], names=["id", "v", "weight", "codes"])
 
     routed = cut(classes.select(F.col("rep").alias("id"), "v", "weight").mapInArrow(route, f"id {kind}, v array<double>, weight long, codes array<long>"))
+    routed = split_further(routed, BLOCK, LEAF, LEAST, OWN_ROWS, seed)
     sizes = routed.select(F.explode("codes").alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > BLOCK)
     sizes = cut(sizes.select("leaf", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     placed = routed.withColumn("leaf", F.explode("codes")).join(F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes, "leaf", "left")

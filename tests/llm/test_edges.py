@@ -335,6 +335,25 @@ def test_forest(spark):
     assert forest.near_vectors(df.filter("false")).count() == 0
 
 
+def test_forest_splits_large_leaves(spark, monkeypatch):
+    """With a sample far too small for its input, leaves still end at one size; links equal brute force to 0.9."""
+    for name, value in (("SAMPLE_ROWS", 150), ("BLOCK", 200), ("LEAF", 100), ("OWN_ROWS", 400), ("WIDTHS", 1)):
+        monkeypatch.setattr(forest, name, value)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(4000, 16))
+    x = np.concatenate([base, base[:500] + 0.04 * rng.normal(size=(500, 16)), base[7:8].repeat(250, 0) + 1e-4 * rng.normal(size=(250, 16))])
+    short = rng.normal(size=(400, 9))  # a rarer length, which no upper level is fitted for
+    short = np.concatenate([short, short[:90] + 0.05 * rng.normal(size=(90, 9))]).tolist()
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(len(x) + k, v) for k, v in enumerate(short)]
+    out = {r.vec_id: r for r in forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(out) == len(rows)
+    for lo, vectors in ((0, x), (len(x), np.array(short))):
+        u = forest.unit_rows(np.array(vectors))
+        true = (u @ u.T >= 0.95).sum(1) - 1
+        found = np.array([out[lo + i].n_links for i in range(len(u))])
+        assert (found <= true).all() and found.sum() >= 0.9 * true.sum() > 0
+
+
 def test_chat(spark):
     hard = r"\### Assistant: </turn> ok"
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 1, "assistant", "twice"), (2, None, None, hard), (None, 0, "assistant", hard), (2, 0, "a: b", "###"), (3, 5, "assistant", "x"), (3, 5, "assistant", "x")]
