@@ -39,6 +39,8 @@ BUCKET_BYTES, SHARD = 3 << 20, 4096
 BLOCK, PACKED = 8 << 20, 3 << 20
 #: Bytes of a minimizer's segments, folded within blocks, from which its strings are dealt one by one.
 HOT_BYTES = BUCKET_BYTES // 4
+#: Bytes of segments in a bucket that are merged at a time.
+MERGED = 1 << 20
 #: Rows of a block are numbered below this, blocks of a partition below its square.
 ROWS = 1 << 11
 
@@ -457,6 +459,25 @@ def _meeting(text: np.ndarray, begin: np.ndarray, size: np.ndarray, mark: np.nda
     return of[keep]
 
 
+def _settled(text: np.ndarray, mark: np.ndarray, doc: np.ndarray, part: np.ndarray, place: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
+    """doc_id, part, start, stop of the strings of segments that a smaller doc_id holds too. text: segment after segment."""
+    size = n + length - 1
+    begin = np.cumsum(size) - size
+    # Segments with the same bytes are one, held by the least of their documents.
+    _, lead, back = np.unique(_codes(text, begin, begin + size), return_index=True, return_inverse=True)
+    holder = np.full(len(lead), np.iinfo(np.int64).max)
+    np.minimum.at(holder, back, doc)
+    met = _meeting(text, begin[lead], size[lead], mark[lead], length)
+    first = np.cumsum(n[lead]) - n[lead]
+    owner = np.repeat(holder, n[lead])  # of each string; the least document of its segment, if no other has it
+    if len(met):
+        line = np.cumsum(size[lead][met] + 1) - (size[lead][met] + 1)
+        merged = _owners(text, begin[lead][met], size[lead][met], holder[met], length)
+        owner[_ragged(first[met], n[lead][met])] = merged[_ragged(line, n[lead][met])]
+    gone = owner[_ragged(first[back], n)] < np.repeat(doc, n)
+    return _joined(np.repeat(doc, n)[gone], np.repeat(part, n)[gone], _ragged(place, n)[gone], length)
+
+
 def _bucket(length: int):
     import pyarrow as pa
 
@@ -489,32 +510,14 @@ def _bucket(length: int):
             edges = np.flatnonzero(np.diff(mark[order], prepend=-1))
             low, high = np.minimum.reduceat(doc[order], edges), np.maximum.reduceat(doc[order], edges)
             count = np.diff(np.append(edges, len(order)))
-            chosen = np.sort(order[np.repeat(low < high, count)])
-            if len(chosen):
-                text = text[_ragged(begin[chosen], size[chosen])]
-                doc, place, row, n, size = doc[chosen], place[chosen], row[chosen], n[chosen], size[chosen]
-                begin = np.cumsum(size) - size
-                # Segments with the same bytes are one, held by the least of their documents.
-                code = _codes(text, begin, begin + size)
-                _, lead, back = np.unique(code, return_index=True, return_inverse=True)
-                holder = np.full(len(lead), np.iinfo(np.int64).max)
-                np.minimum.at(holder, back, doc)
-                met = _meeting(text, begin[lead], size[lead], mark[chosen][lead], length)
-                first = np.cumsum(n[lead]) - n[lead]
-                owner = np.repeat(holder, n[lead])  # of each string; the least document of its segment, if no other has it
-                if len(met):
-                    line = np.cumsum(size[lead][met] + 1) - (size[lead][met] + 1)
-                    merged = _owners(text, begin[lead][met], size[lead][met], holder[met], length)
-                    owner[_ragged(first[met], n[lead][met])] = merged[_ragged(line, n[lead][met])]
-                gone_at = owner[_ragged(first[back], n)] < np.repeat(doc, n)
-                where = _ragged(place, n)[gone_at]
-                of, own = np.repeat(doc, n)[gone_at], np.repeat(row, n)[gone_at]
-                if len(where):
-                    new = np.ones(len(where), bool)
-                    new[1:] = (of[1:] != of[:-1]) | (own[1:] != own[:-1]) | (where[1:] != where[:-1] + 1)
-                    b = np.flatnonzero(new)
-                    e = np.append(b[1:], len(where)) - 1
-                    parts.append(np.stack([of[b], own[b], where[b], where[e] + length]))
+            chosen = order[np.repeat(low < high, count)]  # in the order of marks
+            # Marks are independent of each other: some at a time bound the memory.
+            fresh = np.diff(mark[chosen], prepend=-1) != 0
+            before = np.cumsum(size[chosen]) - size[chosen]
+            share = np.maximum.accumulate(np.where(fresh, before, 0)) // MERGED
+            for own in np.split(chosen, np.flatnonzero(np.diff(share)) + 1) if len(chosen) else []:
+                text_own = text[_ragged(begin[own], size[own])]
+                parts.append(_settled(text_own, mark[own], doc[own], row[own], place[own], n[own], length))
         done = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
         return pa.table({name: pa.array(done[k], pa.int64()) for k, name in enumerate(("doc_id", "part", "start", "stop"))})
 
