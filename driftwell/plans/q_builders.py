@@ -47,8 +47,8 @@ def mart_weapon_performance(t):
 # ---- orders as a player's matches
 
 PEOPLE = {
-    "match_id": "o_custkey % 300", "account_id": "o_orderkey", "map_name": "c_mktsegment", "is_analytical": "o_orderstatus <> 'P'", "is_bot": "o_orderpriority = '5-LOW'", "landing_x_m": "o_totalprice / 4e1",
-    "landing_y_m": "case when o_orderkey % 11 > 0 then c_acctbal end", "human_placement_pct": "case when o_orderkey % 13 > 0 then (o_orderkey % 100) / 1e2 end", "human_kills": "o_orderkey % 7", "time_survived": "o_totalprice / 1e2",
+    "match_id": "o_custkey % 300", "account_id": "o_orderkey", "map_name": "c_mktsegment", "is_analytical": "o_orderstatus <> 'P'", "is_bot": "o_orderpriority = '5-LOW'", "landing_x_m": "o_totalprice / 4.0013e1",
+    "landing_y_m": "case when o_orderkey % 11 > 0 then c_acctbal * 1.00071e0 end", "human_placement_pct": "case when o_orderkey % 13 > 0 then (o_orderkey % 97) / 9.7313e1 + 1.7e-3 end", "human_kills": "o_orderkey % 7", "time_survived": "o_totalprice / 1e2",
     "survived_to_end": "o_orderkey % 10 = 0", "total_distance": "o_totalprice / 1e1",
 }
 PEOPLE_SQL = as_sql(PEOPLE, "orders join customer on c_custkey = o_custkey")
