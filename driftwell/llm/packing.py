@@ -267,8 +267,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, unit: int = UNIT,
 
     def run(batches):
         for batch in batches:
-            lists = [np.frombuffer(x, "<u4").astype(np.int32) for x in batch.column(7).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(lists, pa.list_(pa.int32()))], names=batch.schema.names)
+            ids = batch.column(7).cast(pa.binary())  # of whole ids: its bytes are the lists' values
+            ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
+            values = np.frombuffer(ids.buffers()[2] or b"", "<i4")[ends[0] : ends[-1]]
+            lists = pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], lists], names=batch.schema.names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")

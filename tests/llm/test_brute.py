@@ -271,7 +271,7 @@ def test_pipeline_stages_equal_brute_force(spark):
     for r in out:
         ids = [*tk.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
         part = ids[r.start : r.start + r.length]
-        assert zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids) and len(part) == r.length
+        assert zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids) and r.ids == part and len(part) == r.length
         whole[r.doc_id] += r.length
     assert {d: n for d, n in whole.items()} == {r.doc_id: r.doc_tokens for r in out} and set(whole) == set(texts)
 
