@@ -5,10 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def outside_values(column: str, values: Sequence) -> Column:
+    """Whether a row has another value; nulls pass."""
+    return F.col(column).isNotNull() & ~F.col(column).isin(*values)
+
+
+def outside_range(column: str, least=None, most=None) -> Column:
+    """Whether a row lies outside the inclusive bounds; nulls pass."""
+    bad = F.lit(False)
+    if least is not None:
+        bad = bad | (F.col(column) < least)
+    if most is not None:
+        bad = bad | (F.col(column) > most)
+    return bad
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
@@ -24,17 +39,12 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Rows with another value; nulls pass."""
-    return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+    return df.filter(outside_values(column, values))
 
 
 def accepted_range(df: DataFrame, column: str, least=None, most=None) -> DataFrame:
     """Rows outside the inclusive bounds; nulls pass."""
-    bad = F.lit(False)
-    if least is not None:
-        bad = bad | (F.col(column) < least)
-    if most is not None:
-        bad = bad | (F.col(column) > most)
-    return df.filter(bad)
+    return df.filter(outside_range(column, least, most))
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
@@ -49,6 +59,13 @@ def run_checks(checks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def row_checks(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """run_checks() for conditions that a row violates by itself: one scan and one aggregate for all of a table's checks."""
+    counts = df.agg(*(F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions.values())))
+    rows = [F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, name in enumerate(conditions)]
+    return counts.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
 def duplicate_rate(df: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Share of rows that repeat a key."""
     groups = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("n"))

@@ -18,11 +18,12 @@ union all select 'lineitem order and line unique', count(*) from (select l_order
 def dq_report(t):
     """Violations of each kind of assertion."""
     parents = t.customer.filter("c_mktsegment <> 'BUILDING'")
-    return q.run_checks([
-        ("orders.o_custkey not null", q.not_null(t.orders, "o_custkey")), ("orders.o_orderkey unique", q.unique(t.orders, "o_orderkey")), ("orders.o_orderstatus accepted", q.accepted_values(t.orders, "o_orderstatus", ["F", "O"])),
-        ("lineitem.l_discount range", q.accepted_range(t.lineitem, "l_discount", 0, 0.05)), ("orders.o_custkey parent", q.relationships(t.orders, "o_custkey", parents, "c_custkey")),
+    by_row = q.row_checks(t.orders, {"orders.o_custkey not null": F.col("o_custkey").isNull(), "orders.o_orderstatus accepted": q.outside_values("o_orderstatus", ["F", "O"])})
+    by_row = by_row.unionByName(q.row_checks(t.lineitem, {"lineitem.l_discount range": q.outside_range("l_discount", 0, 0.05)}))
+    return by_row.unionByName(q.run_checks([
+        ("orders.o_orderkey unique", q.unique(t.orders, "o_orderkey")), ("orders.o_custkey parent", q.relationships(t.orders, "o_custkey", parents, "c_custkey")),
         ("lineitem order and line unique", q.unique_combination(t.lineitem, ["l_orderkey", "l_linenumber"])),
-    ])
+    ]))
 
 
 WANT, MARKED, THERE = "select distinct o_orderkey as k from orders where o_orderstatus <> 'P'", "select distinct o_orderkey as k from orders where o_orderpriority <> '5-LOW'", "select distinct l_orderkey as k from lineitem"
