@@ -100,7 +100,8 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
 def format_paths(messages: DataFrame, chosen: DataFrame, learn: str = "assistant") -> DataFrame:
     """One formatted conversation a path: tree, leaf, rank, formatted, mask array<struct<a, b>>.
 
-    messages: node, role, text. Null roles and texts count as empty.
+    messages: node, role, text. Null roles and texts count as empty. A conversation is one string in the end, so its
+    turns meet in one task, however many they are.
     """
     import pyarrow as pa
 

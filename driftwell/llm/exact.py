@@ -26,20 +26,20 @@ def content_sort(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     Sampled splitters (of the leading characters and a hash) range-partition the normalised texts, each partition is
     sorted, externally where memory ends, and a window compares neighbours in full. Texts that more than ``run_rows``
     rows share are counted first, by hash, and dealt to salted runs; only the runs' leaders are compared again, so
-    no task gets a hot text whole. Of equal texts the row with the most code points stays, then that with the
-    smallest doc_id, then the smallest original text.
+    no task gets a hot text whole, not even where rows repeat an id too. Of equal texts the row with the most code points
+    stays, then that with the smallest doc_id, then the smallest original text.
 
     Returns, a row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256 and text_hash (xxhash64 of the
     original text). Null texts count as empty; empty texts form a group like any other. Rows that repeat doc_id and
     text are equal rows: each is counted, and the first of them is the one kept. Other columns of docs are not read.
     """
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length(F.coalesce("text", F.lit(""))).alias("size"), normalised().alias("norm"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length(F.coalesce("text", F.lit(""))).alias("size"), normalised().alias("norm"), F.monotonically_increasing_id().alias("line"))
     rows = rows.withColumn("norm_hash", F.xxhash64("norm"))
     hot = rows.groupBy("norm_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > run_rows).withColumn("runs", F.ceil(F.col("n") / run_rows).cast("int"))
     # At most rows / run_rows hashes are hot. They are counted, so that few are broadcast and the texts stay where they are.
     hot = cut(hot.select("norm_hash", "runs"))
     rows = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot, "norm_hash", "left")
-    rows = rows.withColumn("salt", F.when(F.col("runs").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("runs")).cast("int")))
+    rows = rows.withColumn("salt", F.when(F.col("runs").isNull(), 0).otherwise(F.pmod(F.xxhash64("line"), F.col("runs")).cast("int")))
     rows = rows.withColumn("lead", F.substring("norm", 1, LEAD))
     key = ["lead", "norm_hash", "salt"]
     placed = rows.repartitionByRange(*key)
@@ -56,7 +56,7 @@ def exact_dedup(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """content_sort() with the leaders of salted runs merged. Its digests, without texts, are written between the two."""
     runs = cut(content_sort(docs, run_rows))
     leaders = runs.filter("salted and place = 1")
-    order = Window.partitionBy("text_sha256").orderBy(F.col("size").desc(), F.col("keep_id").asc_nulls_last(), "text_hash")
+    order = Window.partitionBy("text_sha256").orderBy(F.col("size").desc(), F.col("keep_id").asc_nulls_last(), "text_hash", "salt")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     merged = leaders.select(
         "text_sha256", "salt", F.first("keep_id").over(whole).alias("final_id"), F.first("salt").over(whole).alias("final_salt"),

@@ -13,13 +13,13 @@ from .common import cut, table, text_key
 
 #: Lines in the rolling window, one boundary in how many lines on average, and lines that a removable chunk has at least.
 WINDOW, EVERY, LEAST = 2, 4, 2
-#: Repeated hashes, or documents that lose lines, that may be broadcast (some ten bytes each).
-BROADCAST_ROWS = 100_000
+#: Bytes that may be broadcast.
+BROADCAST_BYTES = 4 << 20
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast if it has few rows. df is a written table, so that counting it costs little."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def few(df: DataFrame, size) -> DataFrame:
+    """df, marked for broadcast if it is small. size: bytes of a row. df is a written table, so the sum costs little."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def repeated_chunks(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """
     several = chunks(docs).filter(F.col("stop") - F.col("start") >= least).filter(F.trim("chunk") != "").withColumn("h", F.xxhash64("chunk"))
     again = cut(several.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
-    found = cut(several.join(few(again), "h", "left_semi").distinct())
+    found = cut(several.join(few(again, F.lit(8)), "h", "left_semi").distinct())
     place = F.struct("doc_id", "text_hash", "start")
     first = cut(found.groupBy("h", "chunk").agg(F.min(place).alias("first")))
     f, k = found.alias("f"), first.alias("k")
@@ -58,7 +58,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     text are one document. Other columns are not read.
     """
     gone = repeated_chunks(docs, least).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"))
-    gone = few(cut(gone)).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
+    gone = few(cut(gone), 16 + 8 * F.size("gone")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     rows = docs.select(*text_key(), "text")
     rows = rows.join(gone, rows["doc_id"].eqNullSafe(F.col("gone_id")) & (rows["text_hash"] == F.col("gone_hash")), "left")
     lines = F.split("text", "\n")
