@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import rate
+from ..functions.exprs import bucket, rate
 from ..operators import evaluate as ev
 from ..operators.models import base_rate, fit_classifier, predict, temporal_split
 from ..operators.quality import window_mismatch
@@ -172,6 +172,18 @@ def features(t):
     return rows.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "prior_mean", "prior_n")
 
 
+@query("auc_by_games", PIT + """,
+h as (select case when prior_n = 0 then '0' when prior_n < 5 then '1-4' when prior_n < 10 then '5-9' when prior_n < 30 then '10-29' else '30+' end as history, coalesce(prior_mean, 0) as score, o_totalprice >= 150000 as y from p),
+r as (select history, y, rank() over (partition by history order by score) + (count(*) over (partition by history, score) - 1) / 2e0 as place from h),
+g as (select history, count(*) filter (where y) as n_pos, count(*) filter (where not y) as n_neg, sum(place) filter (where y) as places from r group by 1)
+select history, n_pos, n_neg, round((places - n_pos * (n_pos + 1) / 2e0) / (n_pos * n_neg), 6) as auc from g where n_pos > 0 and n_neg > 0""")
+def auc_by_games(t):
+    """How well the mean of earlier orders tells large ones, by how many there were before."""
+    rows = features(t).select("prior_n", F.coalesce("prior_mean", F.lit(0.0)).alias("score"), (F.col("o_totalprice") >= 150000).alias("large"))
+    history = bucket("prior_n", [1, 5, 10, 30], ["0", "1-4", "5-9", "10-29", "30+"])
+    return ev.auc_by_history(rows, "score", "large", history).filter("auc is not null").withColumn("auc", F.round("auc", 6))
+
+
 @query("pit_features", PIT + " select o_orderkey, round(prior_mean, 7) as prior_mean, prior_n, prior_n > 0 as has_history, o_totalprice >= coalesce(prior_mean, 0) as above from p")
 def pit_features(t):
     """Features as of each order, and a label."""
