@@ -64,30 +64,37 @@ def update_round(ready: DataFrame, p: RatingParams) -> DataFrame:
 
 
 def rating_history(participants: DataFrame, match: str, ts: str, team: str, player: str, placement: str, params: RatingParams = RatingParams(), max_rounds: int = 100_000) -> DataFrame:
-    """One row a player and rated match with mu, sigma and ordinal before and after. One job a round; only counts reach the driver."""
+    """One row a player and rated match with mu, sigma and ordinal before and after.
+
+    A row arrives at its match once the player's match before it is rated; a match is rated once all its rows are there.
+    A round rates those matches, and reads the rows that follow theirs. Only rows that wait for others are written again;
+    the driver sees whether any match was ready.
+    """
     spark = participants.sparkSession
     rows = rated_teams(participants, match, ts, team, player, placement)
-    rows = stage(rows.withColumn("seq", F.row_number().over(over(["account_id"], ["match_start_ts", "match_id"])).cast("long")))
-    todo, out, rounds = rows, fresh_path(spark, "ratings"), 0
-    state = spark.createDataFrame([], "account_id string, mu double, sigma double, games long").withColumn("account_id", F.col("account_id").cast(rows.schema["account_id"].dataType))
+    rows = rows.withColumns({"seq": F.row_number().over(over(["account_id"], ["match_start_ts", "match_id"])).cast("long"), "players": F.count(F.lit(1)).over(over(["match_id"]))})
+    rows = stage(rows)
+    fresh = {"mu_pre": F.lit(params.mu), "sigma_pre": F.lit(params.sigma), "games_played_before": F.lit(0).cast("long")}
+    waiting, out, rounds = rows.filter("seq = 1").withColumns(fresh), fresh_path(spark, "ratings"), 0
     for _ in range(max_rounds):
-        if todo.isEmpty():
+        there = waiting.withColumn("there", F.count(F.lit(1)).over(over(["match_id"])))
+        ready = there.filter("there = players").drop("there", "players")
+        rated = update_round(ready, params)
+        path, shape = f"{out}/round={rounds + 1}", rated.schema
+        rated.write.parquet(path)
+        rated = spark.read.schema(shape).parquet(path)
+        if rated.isEmpty():
             break
-        known = todo.join(state, "account_id", "left").withColumns({"mu_pre": F.coalesce("mu", F.lit(params.mu)), "sigma_pre": F.coalesce("sigma", F.lit(params.sigma)), "games_played_before": F.coalesce("games", F.lit(0).cast("long"))}).drop("mu", "sigma", "games")
-        waiting = known.filter(F.col("seq") != F.col("games_played_before") + 1).select("match_id").distinct()
-        rated = update_round(known.join(waiting, "match_id", "left_anti"), params)
-        shape, rounds = rated.schema, rounds + 1
-        rated.write.parquet(f"{out}/round={rounds}")
-        rated = spark.read.schema(shape).parquet(f"{out}/round={rounds}")
-        todo = stage(todo.join(rated.select("match_id").distinct(), "match_id", "left_anti"))
-        new = rated.select("account_id", F.col("mu_post").alias("mu"), F.col("sigma_post").alias("sigma"), F.col("seq").alias("games"))
-        state = stage(state.join(new.select("account_id"), "account_id", "left_anti").unionByName(new))
+        rounds += 1
+        after = rated.select("account_id", (F.col("seq") + 1).alias("seq"), F.col("mu_post").alias("mu_pre"), F.col("sigma_post").alias("sigma_pre"), F.col("seq").alias("games_played_before"))
+        arrived = rows.join(after, ["account_id", "seq"]).select(*waiting.columns)
+        waiting = stage(there.filter("there < players").drop("there").unionByName(arrived))
     else:
         raise RuntimeError("more rounds than max_rounds")
     if rounds:  # one scan, however many rounds
         out = spark.read.schema(shape).parquet(*[f"{out}/round={n}" for n in range(1, rounds + 1)])
     else:
-        out = update_round(rows.withColumns({"mu_pre": F.lit(params.mu), "sigma_pre": F.lit(params.sigma), "games_played_before": F.lit(0).cast("long")}), params)
+        out = update_round(rows.withColumns(fresh), params)
     ordinal = lambda k: F.col(f"mu_{k}") - F.lit(params.spread) * F.col(f"sigma_{k}")
     return out.select(
         "account_id", "match_id", "match_start_ts", "team_id", "team_rank", "teams_in_match", "games_played_before", "mu_pre", "sigma_pre", ordinal("pre").alias("ordinal_pre"), "mu_post", "sigma_post",
