@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact, fim, forest, language, lines, minhash, packing, secrets, suffixes, winnow
+from . import bpe, chat, exact, fim, forest, language, lines, merkle, minhash, packing, secrets, suffixes, winnow
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_bpe_automaton": bpe.op10_bpe,
     "op11_winnow": winnow.op11_winnow,
     "op12_fim": fim.op12_fim,
+    "op13_merkle": merkle.op13_merkle,
 }
-ORACLE_SQL = {"op5_line_chunks": lines.OP5_SQL, "op7_content_sort": exact.OP7_SQL, "op12_fim": fim.OP12_SQL}
+ORACLE_SQL = {"op5_line_chunks": lines.OP5_SQL, "op7_content_sort": exact.OP7_SQL, "op12_fim": fim.OP12_SQL, "op13_merkle": merkle.OP13_SQL}
