@@ -23,7 +23,8 @@ def manifests(t) -> DataFrame:
     rosters = lines.groupBy("l_orderkey", "l_returnflag").agg(F.min("l_linenumber").alias("rank"), F.sort_array(F.collect_list("member")).alias("members"), F.sort_array(F.collect_list("person")).alias("persons"))
     roster = F.to_json(e("""struct('roster' as type, concat('r', l_orderkey, l_returnflag) as id, struct(if(rank = 1, 'true', 'False') as won, struct(ascii(l_returnflag) as teamId, rank) as stats) as attributes,
         struct(struct(members as data) as participants) as relationships)"""))
-    included = rosters.groupBy("l_orderkey").agg(F.concat(F.flatten(F.collect_list("persons")), F.collect_list(roster)).alias("objects"))
+    included = rosters.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_returnflag", "persons", roster.alias("roster")))).alias("r"))
+    included = included.select("l_orderkey", F.concat(F.flatten("r.persons"), F.col("r.roster")).alias("objects"))  # rosters in order of their flags
     data = F.to_json(e("""struct(concat('m', o_orderkey) as id, struct(cast(o_totalprice as bigint) as duration, o_orderstatus as matchType, if(o_orderkey % 3 > 0, o_orderpriority, null) as mapName,
         if(o_orderkey % 3 > 0, o_orderkey % 2 = 0, null) as isCustomMatch) as attributes)"""))
     text = F.concat(F.lit('{"data":'), data, F.lit(',"included":['), F.coalesce(F.array_join("objects", ","), F.lit("")), F.lit("]}"))
@@ -41,7 +42,7 @@ def shred_matches(t):
 
 @query("shred_players", """
 select 'm' || l_orderkey as match_id, 'p' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey as participant_id, case when l_suppkey % 5 = 0 then 'ai.' else 'account.' end || l_suppkey as account_id, 'n' || l_suppkey as player_name, l_suppkey % 5 = 0 as is_bot,
-ascii(l_returnflag) as team_id, l_linenumber as win_place, trunc(l_quantity)::bigint as kills, l_extendedprice as damage_dealt, case when l_tax > 0.05 then 'alive' else 'byplayer' end as death_type from lineitem join orders on o_orderkey = l_orderkey""")
+max(ascii(l_returnflag)) over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey) as team_id, l_linenumber as win_place, trunc(l_quantity)::bigint as kills, l_extendedprice as damage_dealt, case when l_tax > 0.05 then 'alive' else 'byplayer' end as death_type from lineitem join orders on o_orderkey = l_orderkey""")
 def shred_players(t):
     return shred.shred_match_player(manifests(t)).select("match_id", "participant_id", "account_id", "player_name", "is_bot", "team_id", "win_place", "kills", "damage_dealt", "death_type")
 

@@ -46,18 +46,35 @@ def match_definitions(events: DataFrame) -> DataFrame:
     return rows.select("match_id", F.col("d.MatchId").alias("telemetry_match_id"), F.nullif("d.PingQuality", F.lit("")).alias("ping_quality"))
 
 
+def team_map() -> Column:
+    """A manifest's participants with their teams, as a map; who stands in several rosters has the last one's team.
+
+    Entries are sorted by participant, the last roster first, and all but the first of each participant go.
+    """
+    rosters = F.transform(included("roster"), lambda r, i: F.transform(
+        F.coalesce(r["relationships"]["participants"]["data"], F.array().cast("array<struct<id: string>>")),
+        lambda p: F.struct(p["id"].alias("id"), (-i).alias("roster"), r["attributes"]["stats"]["teamId"].alias("team")),
+    ))
+    entries = F.sort_array(F.filter(F.flatten(rosters), lambda e: e["id"].isNotNull()))
+    last = F.transform(F.array(entries), lambda a: F.filter(a, lambda e, i: (i == 0) | (F.get(a, i - 1)["id"] != e["id"])))[0]
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["id"], e["team"])))
+
+
 def shred_match_player(manifests: DataFrame) -> DataFrame:
-    """One row a participant; the team comes from the roster that refers to it."""
-    one = manifests.select(F.col("data.id").alias("match_id"), "included")
-    teams = one.select("match_id", F.explode(included("roster")).alias("r")).select("match_id", F.col("r.attributes.stats.teamId").alias("team_id"), F.explode("r.relationships.participants.data.id").alias("participant_id"))
-    people = one.select("match_id", F.explode(included("participant")).alias("p")).select("match_id", F.col("p.id").alias("participant_id"), "p.attributes.stats.*")
+    """One row a participant; the team comes from the last roster that refers to it, null if none does.
+
+    Teams are looked up in the manifest's own map, row by row: there is no join, and a manifest is read once.
+    """
+    one = manifests.select(F.col("data.id").alias("match_id"), team_map().alias("teams"), included("participant").alias("people"))
+    people = one.select("match_id", "teams", F.explode("people").alias("p"))
+    people = people.select("match_id", F.try_element_at("teams", F.col("p.id")).alias("team_id"), F.col("p.id").alias("participant_id"), "p.attributes.stats.*")
     names = {
         "playerId": "account_id", "name": "player_name", "winPlace": "win_place", "killPlace": "kill_place", "DBNOs": "dbnos", "damageDealt": "damage_dealt", "deathType": "death_type",
         "headshotKills": "headshot_kills", "longestKill": "longest_kill", "roadKills": "road_kills", "teamKills": "team_kills", "vehicleDestroys": "vehicle_destroys",
         "weaponsAcquired": "weapons_acquired", "walkDistance": "walk_distance", "rideDistance": "ride_distance", "swimDistance": "swim_distance", "timeSurvived": "time_survived",
     }
     people = people.drop("teamId", "rank").withColumnsRenamed(names).withColumn("is_bot", is_bot("account_id"))
-    return _shape(people.join(teams, ["match_id", "participant_id"], "left"), "match_player")
+    return _shape(people, "match_player")
 
 
 def shred_roster(manifests: DataFrame) -> DataFrame:
