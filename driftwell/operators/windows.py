@@ -93,20 +93,24 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def ordered_cut(df: DataFrame, key: str, order: Sequence[str], fraction: float) -> tuple[DataFrame, DataFrame]:
-    """The first ``int(n * fraction)`` keys of an order, and the others, as two frames of df's rows.
+def numbered(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """df with each row's place in a total order, from 0.
 
-    Keys are numbered within range partitions, which are written once with their number; of the partitions only the row
-    counts are summed in order, so no task sees all keys.
+    Rows are numbered within range partitions, which are written once with their number; of the partitions only the row
+    counts are summed in order, so no task sees all rows.
     """
-    order = [c for c in order if c != key]
-    keys = df.select(*order, key).distinct()
-    ranges = stage(keys.repartitionByRange(*order, key).withColumn("_p", F.spark_partition_id()))
-    cut = int(ranges.count() * fraction)
+    ranges = stage(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     sizes = ranges.groupBy("_p").agg(F.count(F.lit(1)).alias("_rows"))  # a row a partition
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_p", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    own = Window.partitionBy("_p").orderBy(*order, key)
-    numbered = ranges.withColumn("_own", F.row_number().over(own)).join(F.broadcast(sizes), "_p")
-    head = stage(numbered.filter(F.col("_before") + F.col("_own") <= cut).select(key))
+    own = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
+    return ranges.withColumn("_own", own).join(F.broadcast(sizes), "_p").withColumn(out, F.col("_before") + F.col("_own") - 1).drop("_p", "_own", "_before")
+
+
+def ordered_cut(df: DataFrame, key: str, order: Sequence[str], fraction: float) -> tuple[DataFrame, DataFrame]:
+    """The first ``int(n * fraction)`` keys of an order, and the others, as two frames of df's rows."""
+    order = [c for c in order if c != key]
+    keys = stage(numbered(df.select(*order, key).distinct(), [*order, key], "_place"))
+    cut = int(keys.count() * fraction)
+    head = keys.filter(F.col("_place") < cut).select(key)
     return df.join(head, key, "left_semi"), df.join(head, key, "left_anti")

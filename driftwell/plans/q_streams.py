@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..sources.staging import fresh_path
-from ..sources.tables import compact, delete_where, read_version, snapshot_write, upsert_new
+from ..sources.tables import compact, delete_where, file_sizes, read_version, snapshot_write, upsert_new
 from ..streaming.streams import dedup_stream, drain, file_stream, pulse, read_upserted, shred_stream, upsert_batch
 from .catalog import query
 
@@ -108,10 +108,15 @@ def snapshots(t):
     return out
 
 
-@query("compaction", "select o_orderstatus, count(*) as n, (select cast(ceil(count(*) / 2500.0) as int) from orders) as files from orders group by 1")
+@query("compaction", "select o_orderstatus, count(*) as n, true as fewer, true as large_stays, true as all_once from orders group by 1")
 def compaction(t):
-    """Many small files rewritten as few; the rows stay."""
+    """One large file and many small ones: the small are put together by their bytes, the large stays, and so do the rows."""
     root = fresh_path(t.spark, "small")
-    snapshot_write(t.orders.repartition(12), root)
-    version, _, after = compact(t.spark, root, target_rows=2500)
-    return read_version(t.spark, root, version).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("files", F.lit(after))
+    large, small = t.orders.filter("o_orderstatus = 'F'").coalesce(1), t.orders.filter("o_orderstatus <> 'F'").repartition(12)
+    snapshot_write(large.unionByName(small), root)
+    old = file_sizes(read_version(t.spark, root)).orderBy(F.col("bytes").desc()).limit(1).first()
+    version, before, after = compact(t.spark, root, target_bytes=old["bytes"])
+    new = read_version(t.spark, root, version)
+    counts = new.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) == F.count_distinct("o_orderkey")).alias("all_once"))
+    stays = file_sizes(new).agg(F.bool_or(F.col("path") == old["path"]).alias("large_stays"))
+    return counts.join(F.broadcast(stays)).withColumn("fewer", F.lit(1 < after < before))

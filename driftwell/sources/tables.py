@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.evaluate import running
 from ..operators.joins import merge_insert
+from ..operators.windows import numbered
 from .schemas import BRONZE
+from .staging import stage
+
+#: Bytes that may be broadcast.
+BROADCAST_BYTES = 4 << 20
 
 
 def read_bronze(spark: SparkSession, root: str, table: str, foreign: bool = False) -> DataFrame:
@@ -53,27 +60,56 @@ def write_predictions(df: DataFrame, path: str, version: str) -> None:
 # ---- snapshots: a folder root/version=N for each state of a table
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def versions(spark: SparkSession, root: str, name: str = "version") -> list[int]:
     """Numbers of the folders name=N that are there, in order. Only folder names are read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, path = _files(spark, root)
     if not fs.exists(path):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(path)]
     return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{name}="))
 
 
-def snapshot_write(df: DataFrame, root: str) -> int:
-    """Write the table's next version; earlier ones stay readable."""
-    new = max(versions(df.sparkSession, root), default=-1) + 1
-    write_table(df, f"{root}/version={new}", mode="errorifexists")
+def publish(spark: SparkSession, written: str, final: str) -> None:
+    """Give a finished folder its name, all at once: until then no reader sees any of it, and it never replaces another.
+
+    That is one rename, atomic where the store has atomic renames.
+    """
+    fs, source = _files(spark, written)
+    target = spark._jvm.org.apache.hadoop.fs.Path(final)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise FileExistsError(final)
+
+
+def snapshot_write(df: DataFrame, root: str, kept: DataFrame | None = None) -> int:
+    """Write the table's next version; earlier ones stay readable. A write that dies leaves no version behind.
+
+    kept: paths of earlier versions' files that belong to the new version as they are.
+    """
+    spark = df.sparkSession
+    new = max(versions(spark, root), default=-1) + 1
+    hidden = f"{root}/_writing-{uuid.uuid4().hex}"
+    write_table(df, f"{hidden}/version", mode="errorifexists")
+    if kept is not None:
+        write_table(kept.select("path"), f"{hidden}/kept", mode="errorifexists")
+        publish(spark, f"{hidden}/kept", f"{root}/kept/version={new}")
+    publish(spark, f"{hidden}/version", f"{root}/version={new}")
     return new
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """A version of the table, the newest unless one is named."""
     version = max(versions(spark, root)) if version is None else version
-    return spark.read.parquet(f"{root}/version={version}")
+    fs, listed = _files(spark, f"{root}/kept/version={version}")
+    paths = [r.path for r in spark.read.schema("path string").parquet(listed.toString()).collect()] if fs.exists(listed) else []  # names of files, as any scan lists them
+    rows = spark.read.parquet(f"{root}/version={version}")
+    return spark.read.schema(rows.schema).parquet(f"{root}/version={version}", *paths) if paths else rows
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -86,10 +122,43 @@ def upsert_new(spark: SparkSession, root: str, source: DataFrame, keys: Sequence
     return snapshot_write(merge_insert(read_version(spark, root), source, keys), root)
 
 
-def compact(spark: SparkSession, root: str, target_rows: int = 1_000_000) -> tuple[int, int, int]:
-    """Rewrite the newest version in files of about target_rows: version, files before, files after."""
+def file_sizes(df: DataFrame) -> DataFrame:
+    """path, bytes of each file that df reads rows from. No column is read, only what the scan knows of its files."""
+    return df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).groupBy("path").agg(F.max("bytes").alias("bytes"))
+
+
+def packed(sizes: DataFrame, target_bytes: int) -> DataFrame:
+    """path, bytes, bin: files in an order of their own (by hash of the path), cut where ``target_bytes`` are full.
+
+    Running sums come from ranges of the order, not from one task. A bin holds at most the target and one file more.
+    """
+    rows = sizes.withColumn("at", F.xxhash64("path"))
+    return running(rows, "at", ["bytes"]).select("path", "bytes", F.floor(F.col("before_bytes") / target_bytes).cast("long").alias("bin"))
+
+
+def compact(spark: SparkSession, root: str, target_bytes: int = 128 << 20) -> tuple[int, int, int]:
+    """Put the newest version's small files together: version, files before, files after.
+
+    Files of three quarters of the target and more stay where they are, and so does a file that finds no company; the new
+    version names them. The others are packed by their bytes, and each bin is written as one file, however many cores
+    there are. If there is nothing to put together, no version is written. Never more files than before.
+    """
     df = read_version(spark, root)
-    before = len(df.inputFiles())
-    files = max(1, -(-df.count() // target_rows))
-    version = snapshot_write(df.coalesce(files) if files < before else df.repartition(files), root)
-    return version, before, len(read_version(spark, root, version).inputFiles())
+    sizes = stage(file_sizes(df))
+    bins = stage(packed(sizes.filter(F.col("bytes") < target_bytes * 3 // 4), target_bytes))
+    full = bins.groupBy("bin").agg(F.count(F.lit(1)).alias("files")).filter("files > 1")
+    full = stage(numbered(full, ["bin"], "to"))  # bins from 0 without gaps
+    before, after = sizes.count(), full.count()
+    if after == 0:
+        return max(versions(spark, root)), before, before
+    moved = stage(bins.join(full, "bin").select("path", "to"))
+    kept = sizes.join(moved, "path", "left_anti")
+    small = sum_of(moved, F.octet_length("path") + 16) <= BROADCAST_BYTES
+    rows = df.withColumn("_path", F.col("_metadata.file_path")).join((F.broadcast(moved) if small else moved).withColumnRenamed("path", "_path"), "_path")
+    version = snapshot_write(rows.repartitionById(after, F.col("to").cast("int")).select(*df.columns), root, kept)
+    return version, before, after + kept.count()
+
+
+def sum_of(df: DataFrame, size: Column) -> int:
+    """The sum of an expression over all rows, 0 for none."""
+    return df.agg(F.sum(size)).first()[0] or 0

