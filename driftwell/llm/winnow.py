@@ -16,6 +16,14 @@ from .common import cut, table
 K, WINDOW = 16, 32
 #: The greatest 31-bit number: hashes have 31 bits, and positions count down from it, so that the least is the rightmost.
 TOP = (1 << 31) - 1
+HASH = TOP << 32
+#: Ranges that ids are cut into, for each shuffle partition of the session.
+RANGES = 4
+
+
+def none_() -> Column:
+    """No picks."""
+    return F.array().cast("array<bigint>")
 
 
 def _let(value: Column, body) -> Column:
@@ -38,8 +46,7 @@ def _minima(points: Column, start: Column, stop: Column, at_least: Column) -> Co
     windows = F.greatest(grams - (WINDOW - 1), at_least)
 
     def gram(i):
-        h = F.shiftrightunsigned(F.xxhash64(F.substring(points, i * 4 + 1, F.lit(4 * K))), 33)
-        return F.shiftleft(h, 32).bitwiseOR((F.lit(TOP) - i).cast("long"))
+        return F.xxhash64(F.substring(points, i * 4 + 1, F.lit(4 * K))).bitwiseAND(HASH).bitwiseOR((F.lit(TOP) - i).cast("long"))
 
     def four(a, step):
         return F.transform(a, lambda x, i: F.least(x, F.get(a, i + step), F.get(a, i + 2 * step), F.get(a, i + 3 * step)))
@@ -47,14 +54,14 @@ def _minima(points: Column, start: Column, stop: Column, at_least: Column) -> Co
     hashes = F.transform(F.sequence(start, start + grams - 1), gram)
     sixteen = _let(_let(hashes, lambda a: four(a, 1)), lambda a: four(a, 4))
     both = _let(sixteen, lambda a: F.zip_with(a, F.slice(a, F.lit(17), F.greatest(F.size(a) - 16, F.lit(0))), lambda x, y: F.least(x, y)))
-    return F.when(windows > 0, F.slice(both, F.lit(1), windows)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(windows > 0, F.slice(both, F.lit(1), windows)).otherwise(none_())
 
 
 def picks(text: Column) -> Column:
     """A text's fingerprint: hash << 32 | TOP - position of each pick, in order of position. An empty text has none."""
     n = F.length(text)
     found = _let(_points(text), lambda b: F.array_distinct(_minima(b, F.lit(0), n, F.lit(1))))
-    return F.when(n > 0, found).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n > 0, found).otherwise(none_())
 
 
 def positions(found: Column) -> Column:
@@ -85,32 +92,48 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 # ---- neighbours in order of ids
 
-#: Key of a document. A null id has a place of its own, so that keys join by equality.
-KEY = ["key_id", "key_null", "text_hash"]
+#: Key of a document, in the order of the circle: null ids last, greater ids first, texts of one id by their hash.
+PLACE = ["no_id", "down", "text_hash"]
 
 
-def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+def _placed(docs: DataFrame, *more: Column) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("key_id"), F.col("doc_id").isNull().alias("key_null"), F.xxhash64(text).alias("text_hash"), *more)
+    return docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), F.bitwise_not(F.coalesce("doc_id", F.lit(0)).cast("long")).alias("down"), F.xxhash64(text).alias("text_hash")).alias("place"), *more)
 
 
-def neighbours(keys: DataFrame) -> DataFrame:
-    """keys (KEY, n) with prev (the key before in descending order of ids, null last; in a circle) and prev_n.
+def _starts(places: DataFrame) -> DataFrame:
+    """One row: starts, the first place of each range that places are cut into, in order, in blocks, and their number.
 
-    Keys are dealt to ranges; each range is a window of its own, and its first row's predecessor is the last row of the
-    range before, found among one row a range.
+    A range for each partition of a range shuffle, so there are as many as the session asks for, whatever the rows.
     """
-    order = [F.col("key_null"), F.col("key_id").desc(), F.col("text_hash")]
-    placed = cut(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
-    me = F.struct(*KEY, "n")
-    own = Window.partitionBy("part").orderBy(*order)
-    lasts = placed.groupBy("part").agg(F.max_by(me, F.struct(F.col("key_null"), -F.col("key_id").cast("decimal(20,0)"), "text_hash")).alias("last"))
-    by_part = Window.orderBy("part")
-    everything = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = lasts.select("part", F.coalesce(F.lag("last").over(by_part), F.last("last").over(everything)).alias("end"))  # a row a range
-    rows = placed.withColumn("prev", F.lag(me).over(own)).join(F.broadcast(ends), "part")
-    prev = F.coalesce("prev", "end")
-    return rows.select(*KEY, prev.alias("prev"))
+    n = RANGES * int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = places.repartitionByRange(n, "place").groupBy(F.spark_partition_id().alias("range")).agg(F.min("place").alias("place"))
+    block = max(1, int(n**0.5))
+    firsts = ranges.agg(F.sort_array(F.collect_list("place")).alias("all"))
+    blocks = F.transform(F.sequence(F.lit(0), F.expr(f"(size(all) - 1) div {block}").cast("int")), lambda k: F.slice("all", k * block + 1, F.lit(block)))
+    return cut(firsts.filter(F.size("all") > 0).select(blocks.alias("blocks"), F.transform(blocks, lambda b: b[0]).alias("heads"), F.size("all").alias("ranges"), F.lit(block).alias("block")))
+
+
+def in_circle(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Each document (place, text, doc_id) with range, and the first of each range once more as guest of the range before.
+
+    So within a range, in order of guest and place, each document but the guest stands before its next one. The second
+    frame counts documents that repeat (place, copies), if there are any; of those, one row stands for all.
+    """
+    keys = cut(_placed(docs).groupBy("place").agg(F.count(F.lit(1)).alias("copies")))
+    rows, repeated = _placed(docs, "doc_id", F.coalesce("text", F.lit("")).alias("text")), keys.filter("copies > 1")
+    if repeated.isEmpty():
+        repeated = None
+    else:
+        rows = rows.groupBy("place").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    rows = rows.crossJoin(F.broadcast(_starts(keys.select("place"))))  # one row
+    before = lambda a: F.size(F.filter(a, lambda s: s <= F.col("place"))) - 1
+    rows = rows.withColumn("k", before("heads")).withColumn("b", F.get("blocks", F.col("k"))).withColumn("j", before("b"))
+    own = F.col("k") * F.col("block") + F.col("j")
+    first = F.get("b", F.col("j")) == F.col("place")
+    last = F.when(own > 0, own - 1).otherwise(F.col("ranges") - 1)
+    seats = F.when(first, F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")), F.struct(last.alias("range"), F.lit(True).alias("guest")))).otherwise(F.array(F.struct(own.alias("range"), F.lit(False).alias("guest"))))
+    return rows.select("place", "doc_id", "text", F.explode(seats).alias("s")).select("place", "doc_id", "text", "s.range", "s.guest"), repeated
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
@@ -120,37 +143,28 @@ def with_edits(docs: DataFrame) -> DataFrame:
     order of their hash. The edited text has the last third (rounded down) of the code points replaced by the first as
     many of the next document's. Returns doc_id, n_chars, edited, picks, edited_picks, next_hashes.
 
-    Texts are shuffled once. The next document sends only the beginning that is asked for, and its hashes. Windows that
-    lie before the edit are computed once for both texts. Rows that repeat doc_id and text are one document with one
+    Texts are shuffled once, to ranges of ids, and fingerprinted there; the next document is a row's neighbour. Windows
+    that lie before the edit are computed once for both texts. Rows that repeat doc_id and text are one document with one
     result for each row. Null texts are empty, null ids come last. An empty table gives an empty table; a document alone
     is its own next one. Other columns are not read.
     """
-    text = F.coalesce("text", F.lit(""))
-    keys = cut(_keyed(docs, F.length(text).alias("n")).groupBy(*KEY).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")))
-    repeated = not keys.filter("copies > 1").isEmpty()
-    texts = _keyed(docs, text.alias("text"))
-    if repeated:
-        texts = texts.groupBy(*KEY).agg(F.first("text").alias("text"))
-    base = texts.join(neighbours(keys), KEY)
-    heads = base.select(
-        *(F.col(f"prev.{c}").alias(c) for c in KEY), F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev.n") / 3).cast("int")).alias("head"), hashes(picks(F.col("text"))).alias("next_hashes"),
-    )
-    rows = base.select(*KEY, "text").join(heads, KEY)
-    rows = rows.withColumn("n", F.length("text")).withColumn("stays", (F.col("n") - F.floor(F.col("n") / 3)).cast("int"))
-    rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, stays)"), F.col("head")))
-    n, e, stays = F.col("n"), F.length("edited"), F.col("stays")
-    shared = F.greatest(stays - (K + WINDOW - 2), F.lit(0))  # windows before the edit
-    one = F.when(shared > 0, F.lit(0)).otherwise(F.lit(1))
-    before = F.when(shared > 0, _let(_points(F.expr("substring(text, 1, stays)")), lambda b: _minima(b, F.lit(0), stays, F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
-    rest = lambda c, size: F.when(size > 0, _let(_points(F.col(c)), lambda b: _minima(b, shared, size, one))).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.withColumn("before", F.array_distinct(before))
-    rows = rows.select(
-        *KEY, n.cast("long").alias("n_chars"), "edited", F.array_distinct(F.concat("before", rest("text", n))).alias("picks"),
-        F.array_distinct(F.concat("before", rest("edited", e))).alias("edited_picks"), "next_hashes",
-    )
-    if repeated:
-        rows = rows.join(keys.select(*KEY, "copies"), KEY).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")
-    return rows.select(F.when(~F.col("key_null"), F.col("key_id")).alias("doc_id"), "n_chars", "edited", "picks", "edited_picks", "next_hashes")
+    rows, repeated = in_circle(docs)
+    rows = rows.repartition("range").withColumn("n", F.length("text"))  # what follows is computed where the rows arrive
+    rows = rows.withColumn("stays", (F.col("n") - F.floor(F.col("n") / 3)).cast("int"))
+    shared = F.greatest(F.col("stays") - (K + WINDOW - 2), F.lit(0))  # windows before the edit
+    both = lambda m: F.struct(F.array_distinct(m).alias("picks"), F.size(F.array_distinct(F.slice(m, F.lit(1), F.col("shared")))).alias("inside"))
+    rows = rows.withColumn("shared", shared)
+    rows = rows.withColumn("f", F.when(F.col("n") > 0, _let(_let(_points(F.col("text")), lambda b: _minima(b, F.lit(0), F.col("n"), F.lit(1))), both)).otherwise(F.struct(none_().alias("picks"), F.lit(0).alias("inside"))))
+    rows = rows.select("range", "guest", "place", "doc_id", "text", "n", "stays", "shared", "f.picks", F.slice("f.picks", F.lit(1), F.col("f.inside")).alias("before"))
+    following = Window.partitionBy("range").orderBy("guest", "place")
+    rows = rows.withColumn("next", F.lead(F.struct("text", "picks")).over(following)).filter("not guest")
+    rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, stays)"), F.expr("substring(next.text, 1, n - stays)"))).withColumn("e", F.length("edited"))
+    one = F.when(F.col("shared") > 0, F.lit(0)).otherwise(F.lit(1))
+    rest = F.when(F.col("e") > 0, _let(_points(F.col("edited")), lambda b: _minima(b, F.col("shared"), F.col("e"), one))).otherwise(none_())
+    rows = rows.select("place", "doc_id", F.col("n").cast("long").alias("n_chars"), "edited", "picks", F.array_distinct(F.concat("before", rest)).alias("edited_picks"), hashes(F.col("next.picks")).alias("next_hashes"))
+    if repeated is not None:
+        rows = rows.join(repeated, "place", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))))
+    return rows.select("doc_id", "n_chars", "edited", "picks", "edited_picks", "next_hashes")
 
 
 def op11_winnow(spark, sf_dir: str) -> DataFrame:
