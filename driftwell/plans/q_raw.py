@@ -6,7 +6,7 @@ the five event types that are read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import shred
@@ -62,8 +62,8 @@ def shred_humans(t):
     return shred.human_accounts(manifests(t), 2).groupBy("match_id").agg(F.count("account_id").alias("humans"), F.max("place").alias("last_place"))
 
 
-def telemetry(t) -> DataFrame:
-    """The events as JSON text of five types, parsed; match_id as the file's name would give it."""
+def event_text() -> Column:
+    """An event as JSON text, of five types."""
     who = lambda name, account: f"struct({account} as accountId, concat('{name}', user_id) as name, user_id % 4 as teamId, value as health, event_id % 3 = 0 as isInVehicle, struct(value as x, value * 2e0 as y, 1e0 as z) as location)"
     character, killer = who("c", "concat(if(user_id % 10 = 0, 'ai.', 'account.'), user_id)"), who("k", "concat(if(event_id % 9 = 0, 'ai.', 'account.'), event_id % 97)")
     of = lambda kind, x: f"if(event_type = '{kind}', {x}, null)"
@@ -76,8 +76,12 @@ def telemetry(t) -> DataFrame:
         "assists_AccountId": of("purchase", "if(event_id % 5 > 2, array(concat('account.', event_id % 11)), null)"), "victim": of("purchase", character), "killer": of("purchase", f"if(event_id % 6 > 0, {killer}, null)"),
         "killerDamageInfo": of("purchase", "struct(if(event_id % 2 = 0, 'Head', null) as damageReason, concat('W', event_id % 12) as damageCauserName, value as distance, event_id % 4 = 0 as isThroughPenetrableWall)"),
     }
-    text = F.to_json(F.struct(*(F.expr(x).alias(n) for n, x in fields.items())))
-    rows = t.events.select(F.expr("concat('m', user_id % 20)").alias("match_id"), F.from_json(text, EVENT).alias("e"))
+    return F.to_json(F.struct(*(F.expr(x).alias(n) for n, x in fields.items())))
+
+
+def telemetry(t) -> DataFrame:
+    """The events as JSON text, parsed; match_id as the file's name would give it."""
+    rows = t.events.select(F.expr("concat('m', user_id % 20)").alias("match_id"), F.from_json(event_text(), EVENT).alias("e"))
     return rows.select("match_id", "e.*")
 
 
@@ -131,3 +135,17 @@ union all select match_id, event_ts, attack_id, 'assist', 'account.' || (event_i
 def shred_actors(t):
     """The bridge from deaths to everyone who had a part in them."""
     return shred.shred_kill_participant(telemetry(t)).select("match_id", "event_ts", "attack_id", "role", "account_id", "is_bot", "x", "victim_account_id")
+
+
+@query("shred_definitions", """
+with d as (select l_orderkey, arg_min(l_suppkey, struct_pack(a := l_linenumber, b := 'x.' || (l_suppkey % 7) || '.eu-' || (l_suppkey % 3))) as s,
+  min(struct_pack(a := l_linenumber, b := 'x.' || (l_suppkey % 7) || '.eu-' || (l_suppkey % 3))).b as id from lineitem where l_linenumber > 1 group by 1)
+select 'm' || o_orderkey as match_id, id as telemetry_match_id, 'eu-' || (s % 3) as region, case when s % 7 > 0 then 'q' || (s % 7) end as ping_quality
+from orders left join d on l_orderkey = o_orderkey""")
+def shred_definitions(t):
+    """Matches with the first of their definition events: where and how well the lobby was reached. Some have none."""
+    line = "concat('x.', l_suppkey % 7, '.eu-', l_suppkey % 3) as MatchId"
+    text = F.to_json(F.expr(f"struct('{shred.DEFINITION}' as _T, cast(l_linenumber as string) as _D, {line}, if(l_suppkey % 7 > 0, concat('q', l_suppkey % 7), '') as PingQuality)"))
+    events = t.lineitem.filter("l_linenumber > 1").select(F.concat(F.lit("m"), "l_orderkey").alias("match_id"), F.from_json(text, EVENT).alias("e")).select("match_id", "e.*")
+    matches = t.orders.select(F.from_json(F.to_json(F.expr("struct(struct(concat('m', o_orderkey) as id) as data)")), MANIFEST).alias("m")).select("m.*")
+    return shred.shred_match(matches, shred.match_definitions(events)).select("match_id", "telemetry_match_id", "region", "ping_quality")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,29 @@ def read_telemetry(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumn("match_id", file_key())
 
 
+def write_files(rows: DataFrame, root: str, name: str = "name", body: str = "body", by: Sequence[str] = (), suffix: str = ".json", compression: str = "none") -> None:
+    """A file for each row: root/<by>=.../<name><suffix>, holding the row's text or bytes as they are (and a line's end).
+
+    Tasks write the files, each to a folder of its own; once all are there, each gets its name, one rename a file.
+    """
+    spark = rows.sparkSession
+    hidden = f"{root}/_writing-{uuid.uuid4().hex}"
+    parts = rows.select(*by, F.col(name).alias("_name"), F.col(body).cast("string").alias("value"))
+    parts.write.partitionBy(*by, "_name").option("compression", compression).text(hidden)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.listFiles(path(hidden), True)
+    while found.hasNext():
+        at = found.next().getPath()
+        parts = at.toString().partition(f"{hidden.rpartition('/')[2]}/")[2].split("/")
+        if parts[-1].startswith("part-"):
+            target = path("/".join([root, *parts[:-2], parts[-2].partition("=")[2] + suffix]))
+            fs.mkdirs(target.getParent())
+            if not fs.rename(at, target):
+                raise FileExistsError(target.toString())
+    fs.delete(path(hidden), True)
+
+
 def gunzip_layers(data: bytes) -> bytes:
     """Unwrap gzip as long as the magic bytes stand at the beginning; bytes that only look like gzip stay as they are."""
     while data[:2] == b"\x1f\x8b":
