@@ -8,7 +8,7 @@ import gzip
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import raw
+from ..sources import ledger, raw, shred, tables
 from ..sources.staging import fresh_path
 from .catalog import query
 from .q_raw import event_text
@@ -86,3 +86,37 @@ def gunzip_layers(t):
     raw.write_files(zipped(rows.filter("m % 3 = 2")), root, suffix=".json.gz", compression="gzip")
     events = raw.read_gz_layers(t.spark, root, "*.json*")
     return events.groupBy("match_id", F.col("_T").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_D").alias("ids"))
+
+
+@query("ledger_ingest", """
+with m as (select user_id // 5 as m, event_type from events), o as (select 'deaths' as output, 'purchase' as kind union all select 'positions', 'click')
+select output, 'm' || m as match_id, count(*) filter (where event_type = kind) as n, count(*) as n_events, 1 as times, m % 3 = 0 as adopted from m, o where m % 7 <> 3 group by output, kind, m""")
+def ledger_ingest(t):
+    """Two runs over files that keep arriving take in each once; positions have a ledger of their own, and damaged files wait."""
+    root, texts = fresh_path(t.spark, "inbox"), match_texts(t)
+    body = F.when(F.col("m") % 7 != 3, F.col("body")).otherwise(F.lit("["))
+    known, out = texts.filter("m % 3 > 0").select(F.col("name").alias("match_id")), None
+    outputs = {"deaths": (shred.shred_kill, fresh_path(t.spark, "deaths")), "positions": (shred.shred_player_position, fresh_path(t.spark, "positions"))}
+    for half in (0, 1):
+        raw.write_files(texts.filter(f"m % 2 = {half}").withColumn("body", body), root, by=list(FOLDERS), suffix=".json.gz", compression="gzip")
+        for name, (make, path) in outputs.items():
+            if name == "deaths" or half == 1:  # positions only begin when all is there
+                ledger.ingest(t.spark, root, path, make, known, matches=64)
+    for name, (make, path) in outputs.items():
+        rows = ledger.ingested(t.spark, path, make(raw.read_telemetry(t.spark, root)).schema).groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
+        taken = ledger.ledger(t.spark, path).groupBy("match_id").agg(F.max("n_events").alias("n_events"), F.count(F.lit(1)).cast("int").alias("times"), F.bool_or("adopted").alias("adopted"))
+        one = taken.join(rows, "match_id", "left").select(F.lit(name).alias("output"), "match_id", F.coalesce("n", F.lit(0)).alias("n"), "n_events", "times", "adopted")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("prediction_sink", """
+select cast(o_orderkey as varchar) as feature_sk, o_custkey as match_id, o_clerk_ as account_id, round(o_totalprice / 1e6, 6) as predicted_top_half_prob, case when o_orderstatus = 'F' then 1 else 0 end as actual_top_half,
+case when o_orderkey % 2 = 0 then 'v1' else 'v2' end as model_version, cast(o_orderkey % 2 as int) as part from (select *, 'c' || (o_custkey % 100) as o_clerk_ from orders)""")
+def prediction_sink(t):
+    """Predictions of two models, each written as a part that appears as a whole, read back."""
+    path = fresh_path(t.spark, "predictions")
+    rows = t.orders.select(F.col("o_orderkey").cast("string").alias("feature_sk"), F.col("o_custkey").alias("match_id"), F.expr("concat('c', o_custkey % 100)").alias("account_id"), F.col("o_orderdate").alias("match_start_ts"), F.round(F.col("o_totalprice") / 1e6, 6).alias("probability"), (F.col("o_orderstatus") == "F").alias("label"))
+    for k, version in enumerate(("v1", "v2")):
+        tables.write_predictions(rows.filter(F.col("feature_sk").cast("long") % 2 == k), path, version)
+    return tables.read_predictions(t.spark, path).drop("match_start_ts")

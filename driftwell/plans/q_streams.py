@@ -45,16 +45,16 @@ def stream_dedup(t):
     return t.spark.read.parquet(out).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_pulse", "select epoch_us(date_trunc('day', ts)) // 1000000 as window_s, event_type, count(*) as events from events where ts < (select max(ts) - interval 2 day from events) group by 1, 2 having epoch_us(date_trunc('day', min(ts))) // 1000000 + 86400 <= (select epoch_us(max(ts) - interval 2 day) // 1000000 from events)")
+@query("stream_pulse", "select epoch_us(date_trunc('day', ts)) // 1000000 as window_s, event_type, count(*) as events, count(distinct user_id) as actors from events where ts < (select max(ts) - interval 2 day from events) group by 1, 2 having epoch_us(date_trunc('day', min(ts))) // 1000000 + 86400 <= (select epoch_us(max(ts) - interval 2 day) // 1000000 from events)")
 def stream_pulse(t):
-    """Tumbling windows that the watermark has closed."""
+    """Tumbling windows that the watermark has closed, with their events and distinct users."""
     name = "pulse_" + fresh_path(t.spark).rpartition("-")[2]
     out, mark = fresh_path(t.spark, name), fresh_path(t.spark, "mark")
     path = fresh_path(t.spark, "events")
     t.events.write.parquet(path)  # all files come in one batch, and the watermark moves only after it
     source = file_stream(t.spark, path, t.events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    drain(shred_stream(pulse(source, "ts", "1 day", "2 days", ["event_type"]), lambda df: df, out, mark))
-    return t.spark.read.parquet(out).select(F.unix_seconds("window_start").alias("window_s"), "event_type", "events")
+    drain(shred_stream(pulse(source, "ts", "1 day", "2 days", ["event_type"], actor="user_id"), lambda df: df, out, mark))
+    return t.spark.read.parquet(out).select(F.unix_seconds("window_start").alias("window_s"), "event_type", "events", "actors")
 
 
 @query("stream_upsert", "select min(event_id) is not null as there, user_id, event_type from events group by user_id, event_type")

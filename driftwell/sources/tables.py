@@ -51,10 +51,22 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
     return spark.table(name)
 
 
-def write_predictions(df: DataFrame, path: str, version: str) -> None:
-    """Feature key, match, player, probability, label and the model's version."""
+def write_predictions(df: DataFrame, path: str, version: str) -> int:
+    """Feature key, match, player, probability, label and the model's version, as the next part below path.
+
+    A part becomes visible as a whole: a run that dies midway leaves no row. read_predictions() reads all parts.
+    """
+    spark, hidden = df.sparkSession, f"{path}/_writing-{uuid.uuid4().hex}"
     out = df.select("feature_sk", "match_id", "account_id", "match_start_ts", F.col("probability").alias("predicted_top_half_prob"), F.col("label").cast("int").alias("actual_top_half"), F.lit(version).alias("model_version"))
-    write_table(out, path, mode="append")
+    write_table(out, hidden)
+    part = max(versions(spark, path, "part"), default=-1) + 1
+    publish(spark, hidden, f"{path}/part={part}")
+    return part
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """All predictions, with the number of the part they came in."""
+    return spark.read.parquet(path)
 
 
 # ---- snapshots: a folder root/version=N for each state of a table

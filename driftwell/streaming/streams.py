@@ -33,12 +33,20 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> Dat
 
 
 def pulse(df: DataFrame, ts: str, width: str, delay: str, by: Sequence[str] = (), actor: str | None = None) -> DataFrame:
-    """Events (and approximate distinct actors) of each tumbling window; rows later than ``delay`` are dropped."""
-    aggs = [F.count(F.lit(1)).alias("events")]
-    if actor:
-        aggs.append(F.approx_count_distinct(actor).alias("actors"))
-    rows = (df.withWatermark(ts, delay) if df.isStreaming else df).groupBy(F.window(ts, width).alias("w"), *by).agg(*aggs)
-    return rows.select(F.col("w.start").alias("window_start"), *by, "events", *(["actors"] if actor else []))
+    """Events (and distinct actors, exactly) of each tumbling window; rows later than ``delay`` are dropped.
+
+    Actors are counted by two chained aggregations: the first keeps a row a window and actor and hands it on once the
+    window is closed, the second counts those rows. State is as large as the open windows' actors, and no group's actors
+    meet in one row. Null actors aren't counted.
+    """
+    rows = df.withWatermark(ts, delay) if df.isStreaming else df
+    if actor is None:
+        out = rows.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count(F.lit(1)).alias("events"))
+        return out.select(F.col("w.start").alias("window_start"), *by, "events")
+    each = rows.groupBy(F.window(ts, width).alias("w"), *by, F.col(actor).alias("_actor")).agg(F.count(F.lit(1)).alias("n"))
+    again = F.window(F.window_time("w"), width) if df.isStreaming else F.col("w")
+    out = each.groupBy(again.alias("v"), *by).agg(F.sum("n").alias("events"), F.count("_actor").alias("actors"))
+    return out.select(F.col("v.start").alias("window_start"), *by, "events", "actors")
 
 
 def upsert_batch(root: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
