@@ -59,21 +59,21 @@ def leakage(df: DataFrame, before: str, after: str, label: str) -> DataFrame:
     return a.crossJoin(b).withColumn("inflation", F.col("auc_after") - F.col("auc_before"))
 
 
-def calibration(df: DataFrame, prob: str, label: str, bins: int = 10) -> DataFrame:
+def calibration(df: DataFrame, prob: str, label: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Reliability curve over equal bins; the last holds 1.0."""
     b = F.least(F.floor(F.col(prob) * bins), F.lit(bins - 1)).cast("int")
-    return df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_prob"), F.avg(F.col(label).cast("double")).alias("observed"))
+    return df.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_prob"), F.avg(F.col(label).cast("double")).alias("observed"))
 
 
-def expected_calibration_error(df: DataFrame, prob: str, label: str, bins: int = 10) -> DataFrame:
-    curve = calibration(df, prob, label, bins)
-    return curve.agg((F.sum(F.abs(F.col("mean_prob") - F.col("observed")) * F.col("n")) / F.sum("n")).alias("ece"), F.sum("n").alias("n"))
+def expected_calibration_error(df: DataFrame, prob: str, label: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    curve = calibration(df, prob, label, bins, by)
+    return curve.groupBy(*by).agg((F.sum(F.abs(F.col("mean_prob") - F.col("observed")) * F.col("n")) / F.sum("n")).alias("ece"), F.sum("n").alias("n"))
 
 
-def proper_scores(df: DataFrame, prob: str, label: str, clip: float = 1e-15) -> DataFrame:
+def proper_scores(df: DataFrame, prob: str, label: str, clip: float = 1e-15, by: Sequence[str] = ()) -> DataFrame:
     """Log loss and Brier score."""
     p, y = F.least(F.greatest(F.col(prob), F.lit(clip)), F.lit(1 - clip)), F.col(label).cast("double")
-    return df.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"), F.avg((F.col(prob) - y) * (F.col(prob) - y)).alias("brier"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*by).agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"), F.avg((F.col(prob) - y) * (F.col(prob) - y)).alias("brier"), F.count(F.lit(1)).alias("n"))
 
 
 def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:

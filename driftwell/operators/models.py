@@ -27,7 +27,7 @@ def temporal_split(df: DataFrame, match: str, ts: str, holdout: float = 0.25) ->
     return ordered_cut(df, match, [ts], 1 - holdout)
 
 
-def fit_classifier(train: DataFrame, numeric: Sequence[str], label: str, categories: dict[str, Sequence[str]] | None = None, c: float = 1.0, iterations: int = 1000) -> PipelineModel:
+def fit_classifier(train: DataFrame, numeric: Sequence[str], label: str, categories: dict[str, Sequence[str]] | None = None, c: float = 1.0, iterations: int = 1000, tol: float = 1e-9) -> PipelineModel:
     """Medians and scales come from the training rows alone; regParam = 1 / (C n) gives the penalty of that C."""
     rows = with_indicators(train, numeric, categories).withColumn("label", F.col(label).cast("double"))
     n = rows.count()
@@ -36,18 +36,33 @@ def fit_classifier(train: DataFrame, numeric: Sequence[str], label: str, categor
     steps = [
         Imputer(strategy="median", inputCols=list(numeric), outputCols=filled), VectorAssembler(inputCols=[*filled, *extra], outputCol="raw", handleInvalid="keep"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=iterations, labelCol="label", featuresCol="features"),
+        LogisticRegression(regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=tol, labelCol="label", featuresCol="features"),
     ]
     return Pipeline(stages=steps).fit(rows)
 
 
-def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], label: str, categories: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """df with probability and label."""
+def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str], label: str, categories: dict[str, Sequence[str]] | None = None, keep_features: bool = False) -> DataFrame:
+    """df with probability and label (and the scaled features)."""
     rows = model.transform(with_indicators(df, numeric, categories).withColumn("label", F.col(label).cast("double")))
-    return rows.withColumn("probability", vector_to_array("probability")[1]).drop("raw", "features", "rawPrediction", "prediction")
+    rows = rows.withColumn("probability", vector_to_array("probability")[1]).drop("raw", "rawPrediction", "prediction")
+    return rows if keep_features else rows.drop("features")
 
 
 def base_rate(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
     """test with the training rows' rate as everyone's probability."""
     p = train.agg(F.avg(F.col(label).cast("double")).alias("probability"))
     return test.crossJoin(F.broadcast(p)).withColumn("label", F.col(label).cast("double"))
+
+
+def largest_gradient(model: PipelineModel, train: DataFrame, numeric: Sequence[str], label: str, categories: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """The largest component of the penalised loss's gradient at the fitted weights, from one aggregate: largest, n.
+
+    Near zero, no other weights fit the training rows better: the loss is convex.
+    """
+    fitted = model.stages[-1]
+    rows = predict(model, train, numeric, label, categories, keep_features=True).select(vector_to_array("features").alias("x"), (F.col("probability") - F.col("label")).alias("e"))
+    slopes = [F.avg(F.col("x")[j] * F.col("e")).alias(f"g{j}") for j in range(fitted.numFeatures)]
+    sums = rows.agg(F.avg("e").alias("g"), F.count(F.lit(1)).alias("n"), *slopes)
+    penalty = fitted.getRegParam()
+    parts = [F.abs("g"), *(F.abs(F.col(f"g{j}") + F.lit(penalty * float(w))) for j, w in enumerate(fitted.coefficients))]
+    return sums.select(F.greatest(*parts).alias("largest"), "n")

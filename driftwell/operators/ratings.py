@@ -1,8 +1,9 @@
 """Skill ratings of players from team placements (Plackett-Luce; Weng and Lin 2011), with every state before and after.
 
-Matches are rated in order of time. A match only reads and writes its own players, so it is ready as soon as each of
-its players has played all matches before it. All ready matches are rated at once; they can't share a player. The
-rounds needed are those of the longest chain, not of the number of matches, and the result is that of the fold.
+Matches are rated in order of time. A match only reads and writes its own players, so it can be rated as soon as each of
+its players has played all matches before it. A match's level is the length of the longest chain of matches that leads
+to it by way of players. Levels follow from ids alone and are found first; matches of one level share no player and are
+rated at once, and the result is that of the fold. A round reads the rows of its own level and nothing else.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import fresh_path, stage
+from ..sources.staging import fresh_path, stage, versions
 from .windows import competition_rank, over
 
 
@@ -63,38 +64,62 @@ def update_round(ready: DataFrame, p: RatingParams) -> DataFrame:
     return out.drop("s2", "team_s2", "omega", "delta")
 
 
+def match_levels(rows: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+    """match_id, level (from 1) of rows match_id, account_id, seq (a player's matches in order, from 1).
+
+    A match's level is at least its place in each of its players' histories. A round carries levels along whole
+    histories (a running maximum of level - seq), then takes each match's maximum over its players; it ends when no match
+    rises. So rounds count how often the longest chain changes from player to player, not its matches.
+    """
+    rows = rows.select("match_id", "account_id", "seq")
+    levels = stage(rows.groupBy("match_id").agg(F.max("seq").alias("level")))
+    history = over(["account_id"], ["seq"]).rowsBetween(Window.unboundedPreceding, 0)
+    for _ in range(max_rounds):
+        along = rows.join(levels, "match_id").withColumn("least", F.max(F.col("level") - F.col("seq")).over(history) + F.col("seq"))
+        risen = stage(along.groupBy("match_id").agg(F.max("least").alias("level"), F.bool_or(F.col("least") > F.col("level")).alias("rose")))
+        levels = risen.select("match_id", "level")
+        if risen.filter("rose").isEmpty():
+            return levels
+    raise RuntimeError("more rounds than max_rounds")
+
+
 def rating_history(participants: DataFrame, match: str, ts: str, team: str, player: str, placement: str, params: RatingParams = RatingParams(), max_rounds: int = 100_000) -> DataFrame:
     """One row a player and rated match with mu, sigma and ordinal before and after.
 
-    A row arrives at its match once the player's match before it is rated; a match is rated once all its rows are there.
-    A round rates those matches, and reads the rows that follow theirs. Only rows that wait for others are written again;
-    the driver sees whether any match was ready.
+    Rows are stored by level. A round reads its level's rows and the states that earlier rounds have left for it, and
+    leaves each player's state in the folder of the level of the player's next match. So all rounds together read each
+    row and each state once.
     """
     spark = participants.sparkSession
     rows = rated_teams(participants, match, ts, team, player, placement)
-    rows = rows.withColumns({"seq": F.row_number().over(over(["account_id"], ["match_start_ts", "match_id"])).cast("long"), "players": F.count(F.lit(1)).over(over(["match_id"]))})
-    rows = stage(rows)
-    fresh = {"mu_pre": F.lit(params.mu), "sigma_pre": F.lit(params.sigma), "games_played_before": F.lit(0).cast("long")}
-    waiting, out, rounds = rows.filter("seq = 1").withColumns(fresh), fresh_path(spark, "ratings"), 0
-    for _ in range(max_rounds):
-        there = waiting.withColumn("there", F.count(F.lit(1)).over(over(["match_id"])))
-        ready = there.filter("there = players").drop("there", "players")
-        rated = update_round(ready, params)
-        path, shape = f"{out}/round={rounds + 1}", rated.schema
-        rated.write.parquet(path)
-        rated = spark.read.schema(shape).parquet(path)
-        if rated.isEmpty():
-            break
-        rounds += 1
-        after = rated.select("account_id", (F.col("seq") + 1).alias("seq"), F.col("mu_post").alias("mu_pre"), F.col("sigma_post").alias("sigma_pre"), F.col("seq").alias("games_played_before"))
-        arrived = rows.join(after, ["account_id", "seq"]).select(*waiting.columns)
-        waiting = stage(there.filter("there < players").drop("there").unionByName(arrived))
-    else:
+    rows = stage(rows.withColumn("seq", F.row_number().over(over(["account_id"], ["match_start_ts", "match_id"])).cast("long")))
+    rows = rows.join(match_levels(rows), "match_id").withColumn("next_level", F.lead("level").over(over(["account_id"], ["seq"])))
+    folder, shape = fresh_path(spark, "ratings"), rows.drop("level").schema
+    rows.repartition("level").write.partitionBy("level").parquet(f"{folder}/rows")
+    levels = versions(spark, f"{folder}/rows", "level")
+    if len(levels) > max_rounds:
         raise RuntimeError("more rounds than max_rounds")
-    if rounds:  # one scan, however many rounds
-        out = spark.read.schema(shape).parquet(*[f"{out}/round={n}" for n in range(1, rounds + 1)])
+    start, rated_shape = [F.coalesce("mu_post", F.lit(params.mu)).alias("mu_pre"), F.coalesce("sigma_post", F.lit(params.sigma)).alias("sigma_pre")], None
+    for level in levels:
+        ready = spark.read.schema(shape).parquet(f"{folder}/rows/level={level}")
+        states = f"{folder}/states/next_level={level}"
+        if level > levels[0]:  # someone has come here, or the level would be lower
+            before = spark.read.schema("account_id string, mu_post double, sigma_post double").parquet(states)
+            before = before.select(F.col("account_id").cast(shape["account_id"].dataType).alias("account_id"), "mu_post", "sigma_post")
+            ready = ready.join(before, "account_id", "left")
+        else:
+            ready = ready.withColumns({"mu_post": F.lit(None).cast("double"), "sigma_post": F.lit(None).cast("double")})
+        ready = ready.select(*shape.names, *start, (F.col("seq") - 1).alias("games_played_before"))
+        rated = update_round(ready, params)
+        rated_shape = rated.schema
+        rated.write.parquet(f"{folder}/rated/level={level}")
+        rated = spark.read.schema(rated_shape).parquet(f"{folder}/rated/level={level}")
+        left = rated.filter("next_level is not null").select(F.col("account_id").cast("string").alias("account_id"), "mu_post", "sigma_post", "next_level")
+        left.repartition("next_level").write.mode("append").partitionBy("next_level").parquet(f"{folder}/states")
+    if levels:  # one scan, however many rounds
+        out = spark.read.schema(rated_shape).parquet(*[f"{folder}/rated/level={n}" for n in levels])
     else:
-        out = update_round(rows.withColumns(fresh), params)
+        out = update_round(rows.select(*shape.names, F.lit(params.mu).alias("mu_pre"), F.lit(params.sigma).alias("sigma_pre"), F.lit(0).cast("long").alias("games_played_before")), params)
     ordinal = lambda k: F.col(f"mu_{k}") - F.lit(params.spread) * F.col(f"sigma_{k}")
     return out.select(
         "account_id", "match_id", "match_start_ts", "team_id", "team_rank", "teams_in_match", "games_played_before", "mu_pre", "sigma_pre", ordinal("pre").alias("ordinal_pre"), "mu_post", "sigma_post",

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, rate
 from ..operators import evaluate as ev
-from ..operators.models import base_rate, fit_classifier, predict, temporal_split
+from ..operators.models import base_rate, fit_classifier, largest_gradient, predict, temporal_split
 from ..operators.quality import window_mismatch
 from ..operators.ratings import chain_breaks, rating_history
 from ..operators.windows import ordered_cut, prior_window
+from ..sources.staging import stage
 from .catalog import query
 
 
@@ -152,13 +153,45 @@ def games(t):
     return rows.withColumn("match", F.concat_ws("-", F.date_format("week", "yyyyMMdd"), "league"))
 
 
-@query("rating_history")
+RATING_SQL = """
+with recursive g as (select date_trunc('week', ts) as week, user_id, user_id % 10 as league, user_id // 50 as team, -round(sum(value), 2) as place from events group by 1, 2),
+k as (select *, rank() over (partition by week, league order by best) as team_rank, count(*) over (partition by week, league) as teams from (select week, league, team, min(place) as best from g group by 1, 2, 3)),
+p as (select g.user_id, g.week, g.league, g.team, team_rank, teams, dense_rank() over (order by g.week) as w from g join k using (week, league, team) where teams > 1),
+r as (
+  select 0::bigint as w, user_id, 0::bigint as games, 25e0 as mu, 25e0 / 3 as sigma, 25e0 as mu_pre, 25e0 / 3 as sigma_pre, false as played from (select distinct user_id from p)
+  union all (
+    with x as (select r.w + 1 as w, r.user_id, r.games, r.mu, r.sigma, p.league, p.team, p.team_rank, p.teams, r.sigma * r.sigma + pow(25e0 / 300, 2) as s2 from r left join p on p.user_id = r.user_id and p.w = r.w + 1 where r.w < (select max(w) from p)),
+    a as (select league, team, team_rank, teams, sum(mu) as team_mu, sum(s2) as team_s2 from x where league is not null group by all),
+    b as (select *, sqrt(sum(team_s2) over (partition by league) + teams * pow(25e0 / 6, 2)) as c from a),
+    d as (select *, exp(team_mu / c) as e from b),
+    f as (select *, sum(e) over (partition by league order by team_rank desc range between unbounded preceding and current row) as behind, count(*) over (partition by league, team_rank) as ties from d),
+    o as (select i.league, i.team, i.c, i.team_s2, sum((case when q.team = i.team then 1 else 0 end - i.e / q.behind) / q.ties) as omega, sum(i.e / q.behind * (1 - i.e / q.behind) / q.ties) as delta
+      from f i join f q on q.league = i.league and q.team_rank <= i.team_rank group by all)
+    select x.w, x.user_id, x.games + case when o.team is null then 0 else 1 end, case when o.team is null then x.mu else x.mu + x.s2 / o.team_s2 * (o.omega * o.team_s2 / o.c) end,
+      case when o.team is null then x.sigma else sqrt(x.s2) * sqrt(greatest(1 - x.s2 / o.team_s2 * (o.delta * sqrt(o.team_s2) / o.c * o.team_s2 / (o.c * o.c)), 1e-4)) end, x.mu, x.sigma, o.team is not null
+    from x left join o on o.league = x.league and o.team = x.team
+  )
+)
+"""
+RATED_SQL = "select r.user_id as account_id, strftime(p.week, '%Y%m%d') || '-' || p.league as match_id, p.week as match_start_ts, p.team as team_id, p.team_rank, p.teams as teams_in_match, r.games - 1 as games_played_before, r.* from r join p on p.user_id = r.user_id and p.w = r.w where r.played"
+
+
+@query("rating_history", RATING_SQL + f"""select account_id, match_id, team_id, team_rank, teams_in_match, games_played_before, round(mu_pre, 6) as mu_pre, round(sigma_pre, 6) as sigma_pre, round(mu, 6) as mu_post, round(sigma, 6) as sigma_post,
+round(mu_pre - 3 * sigma_pre, 5) as ordinal_pre, round(mu - 3 * sigma, 5) as ordinal_post from ({RATED_SQL})""")
+def rated(t):
+    """Ratings of users in weekly leagues, with every state before and after; floating-point sums rounded."""
+    return ratings(t).select(
+        "account_id", "match_id", "team_id", "team_rank", "teams_in_match", "games_played_before", *(F.round(c, 6).alias(c) for c in ("mu_pre", "sigma_pre", "mu_post", "sigma_post")),
+        *(F.round(c, 5).alias(c) for c in ("ordinal_pre", "ordinal_post")),
+    )
+
+
 def ratings(t):
     """Ratings of users in weekly leagues, with every state before and after."""
     return rating_history(games(t), "match", "week", "team_id", "user_id", "place")
 
 
-@query("rating_chain_check")
+@query("rating_chain_check", RATING_SQL + "select count(*) as violations from (select mu_pre, lag(mu) over (partition by user_id order by w) as last from r where played) where abs(mu_pre - last) > 1e-9")
 def rating_chain(t):
     """Breaks in the rating chain; none is right."""
     return chain_breaks(ratings(t)).agg(F.count(F.lit(1)).alias("violations"))
@@ -205,16 +238,53 @@ NUMERIC = ["prior_mean", "prior_n", "c_acctbal"]
 CATEGORIES = {"o_orderpriority": ["1-URGENT", "2-HIGH"]}
 
 
+MODELS = {"point_in_time": NUMERIC, "leaked": [*NUMERIC, "o_totalprice"]}
+
+
+def halves(t):
+    """Earlier and later orders with their features, each computed once."""
+    rows = features(t).join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey").join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal"), "o_custkey")
+    rows = stage(rows.withColumn("large", (F.col("o_totalprice") > 250000).cast("int")))
+    train, test = temporal_split(rows, "o_orderkey", "o_orderdate")
+    return stage(train), stage(test)
+
+
+def scores(p):
+    """Every measure of each model, from predictions that are computed once."""
+    p = stage(p.select("model", "probability", "label"))
+    by = ["model"]
+    out = ev.proper_scores(p, "probability", "label", by=by).join(ev.auc(p, "probability", "label", by).select("model", "auc"), "model")
+    return out.join(ev.expected_calibration_error(p, "probability", "label", by=by).select("model", "ece"), "model")
+
+
 @query("calibrated_model")
 def calibrated_model(t):
     """A classifier of large orders: fitted on the earlier ones, scored on the later, beside the base rate and a leaked score."""
-    rows = features(t).join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey").join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal"), "o_custkey")
-    rows = rows.withColumn("large", (F.col("o_totalprice") > 250000).cast("int"))
-    train, test = temporal_split(rows, "o_orderkey", "o_orderdate")
-    out = None
-    for name, numeric in (("base_rate", None), ("point_in_time", NUMERIC), ("leaked", [*NUMERIC, "o_totalprice"])):
-        p = base_rate(train, test, "large") if numeric is None else predict(fit_classifier(train, numeric, "large", CATEGORIES, iterations=100), test, numeric, "large", CATEGORIES)
-        one = ev.proper_scores(p, "probability", "label").crossJoin(ev.auc(p, "probability", "label").select("auc")).crossJoin(ev.expected_calibration_error(p, "probability", "label").select("ece")).withColumn("model", F.lit(name))
+    train, test = halves(t)
+    out = base_rate(train, test, "large").withColumn("model", F.lit("base_rate")).select("model", "probability", "label")
+    for name, numeric in MODELS.items():
+        p = predict(fit_classifier(train, numeric, "large", CATEGORIES, iterations=100), test, numeric, "large", CATEGORIES)
+        out = out.unionByName(p.withColumn("model", F.lit(name)).select("model", "probability", "label"))
+    return scores(out)
+
+
+@query("base_rate_model", """
+with o as (select o_totalprice > 250000 as y, row_number() over (order by o_orderdate, o_orderkey) as place, count(*) over () as n from orders), p as (select avg(y::int) as p from o where place <= floor(n * 0.75))
+select 'base_rate' as model, count(*) as n, round(avg(-(case when y then ln(p) else ln(1 - p) end)), 7) as log_loss, round(avg(pow(p - y::int, 2)), 7) as brier, 0.5e0 as auc, round(abs(p - avg(y::int)), 7) as ece from o, p where place > floor(n * 0.75) group by p""")
+def base_rate_model(t):
+    """What any classifier is measured against: the earlier orders' rate as everyone's probability."""
+    train, test = halves(t)
+    out = scores(base_rate(train, test, "large").withColumn("model", F.lit("base_rate")))
+    return out.select("model", "n", *(F.round(c, 7).alias(c) for c in ("log_loss", "brier", "auc", "ece")))
+
+
+@query("model_optimality", "select unnest(['point_in_time', 'leaked']) as model, true as optimal, (select floor(count(*) * 0.75)::bigint from orders) as n")
+def model_optimality(t):
+    """Whether the fitted weights are the best there are: the gradient at them is all but zero."""
+    train, out = halves(t)[0], None
+    for name, numeric in MODELS.items():
+        model = fit_classifier(train, numeric, "large", CATEGORIES)
+        one = largest_gradient(model, train, numeric, "large", CATEGORIES).select(F.lit(name).alias("model"), (F.col("largest") < 1e-5).alias("optimal"), "n")
         out = one if out is None else out.unionByName(one)
     return out
 

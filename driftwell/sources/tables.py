@@ -12,7 +12,8 @@ from ..operators.evaluate import running
 from ..operators.joins import merge_insert
 from ..operators.windows import numbered
 from .schemas import BRONZE
-from .staging import stage
+from .staging import stage, versions  # noqa: F401
+from .staging import store as _files
 
 #: Bytes that may be broadcast.
 BROADCAST_BYTES = 4 << 20
@@ -72,21 +73,6 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 # ---- snapshots: a folder root/version=N for each state of a table
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path as that system knows it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def versions(spark: SparkSession, root: str, name: str = "version") -> list[int]:
-    """Numbers of the folders name=N that are there, in order. Only folder names are read."""
-    fs, path = _files(spark, root)
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{name}="))
-
-
 def publish(spark: SparkSession, written: str, final: str) -> None:
     """Give a finished folder its name, all at once: until then no reader sees any of it, and it never replaces another.
 
