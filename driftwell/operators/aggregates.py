@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import grid_cell
+from ..sources.staging import stage
 
 
 def skew_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,6 +31,61 @@ def quantiles(value: str, probabilities: Sequence[float], exact: bool = True):
     return F.percentile_approx(value, [float(p) for p in probabilities], 10_000)
 
 
+#: Rows of a group whose values a task may hold; pieces that a larger group's values are cut into, time and again.
+HOT_ROWS, PIECES = 1_000_000, 256
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """by, n, q: each group's interpolated quantiles, equal to percentile(), with no group's values in one task.
+
+    Groups are counted first. Up to ``hot_rows`` values, percentile() takes them. A larger group's values are cut into
+    pieces at approximate quantiles and the pieces are counted exactly; the ranks that are asked for lie in one or two of
+    them, whose values are cut again until few are left, or all are equal. The approximation only decides how fast that
+    goes. Null values aren't counted; groups may have null keys. A group without values has no row.
+    """
+    g = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    rows = df.select(g.alias("g"), F.col(value).cast("double").alias("v")).filter("v is not null")
+    counts = stage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")))
+    ps = [float(p) for p in probabilities]
+    hot = counts.filter(F.col("n") > hot_rows)
+    if hot.isEmpty():
+        out = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", ps).alias("q"))
+    else:
+        calm = rows.join(hot, "g", "left_anti").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", ps).alias("q"))
+        out = calm.unionByName(_selected(rows, hot, ps, hot_rows))
+    return out.select(*(F.col(f"g.{c}").alias(c) for c in by), "n", "q")
+
+
+def _selected(rows: DataFrame, hot: DataFrame, ps: Sequence[float], hot_rows: int) -> DataFrame:
+    """g, n, q of the hot groups (g, n), by selection of ranks."""
+    wanted = F.array(*(F.struct(F.lit(j).alias("j"), F.lit(p).alias("p")) for j, p in enumerate(ps)))
+    goals = hot.withColumn("w", F.explode(wanted)).select("g", "n", "w.j", (F.col("w.p") * (F.col("n") - 1)).alias("at"))
+    goals = goals.withColumns({"low": F.floor("at"), "high": F.ceil("at"), "below": F.lit(0).cast("long"), "inside": F.col("n"), "least": F.lit(None).cast("double"), "most": F.lit(None).cast("double")})
+    goals, inside = stage(goals), rows.join(goals.select("g", "j"), "g")
+    grid = [k / PIECES for k in range(1, PIECES)]
+    while not (open_ := goals.filter((F.col("inside") > hot_rows) & ~F.col("least").eqNullSafe(F.col("most")) | F.col("least").isNull())).isEmpty():
+        again = inside.join(open_.select("g", "j"), ["g", "j"], "left_semi")
+        cuts = stage(again.groupBy("g", "j").agg(F.percentile_approx("v", grid, 10_000).alias("cuts")))
+        placed = again.join(cuts, ["g", "j"]).withColumn("piece", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+        pieces = placed.groupBy("g", "j", "piece").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("first"), F.max("v").alias("last"))
+        before = Window.partitionBy("g", "j").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        pieces = pieces.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).join(open_.select("g", "j", "low", "high", F.col("below").alias("b")), ["g", "j"])
+        hit = pieces.filter((F.col("b") + F.col("before") <= F.col("high")) & (F.col("b") + F.col("before") + F.col("size") > F.col("low")))
+        narrowed = hit.groupBy("g", "j").agg((F.min("b") + F.min("before")).alias("below"), F.sum("size").alias("inside"), F.min("first").alias("least"), F.max("last").alias("most"))
+        narrowed = goals.drop("below", "inside", "least", "most").join(narrowed, ["g", "j"])
+        goals = stage(goals.join(narrowed.select("g", "j"), ["g", "j"], "left_anti").unionByName(narrowed))
+        limits = goals.select("g", "j", "least", "most")
+        inside = stage(inside.join(limits, ["g", "j"]).filter(F.col("v").between(F.col("least"), F.col("most"))).select("g", "v", "j"))
+    many = goals.filter("least < most").select("g", "j", "below", "low", "high")
+    sizes = inside.join(many.select("g", "j"), ["g", "j"], "left_semi").groupBy("g", "j", "v").agg(F.count(F.lit(1)).alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("g", "j").orderBy("v"))
+    found = sizes.withColumn("upto", upto).join(many, ["g", "j"]).groupBy("g", "j").agg(*(F.min(F.when(F.col("upto") > F.col(k) - F.col("below"), F.col("v"))).alias(f"v_{k}") for k in ("low", "high")))
+    rows = goals.join(found, ["g", "j"], "left").withColumns({f"v_{k}": F.coalesce(f"v_{k}", "least") for k in ("low", "high")})
+    between = (F.col("high") - F.col("at")) * F.col("v_low") + (F.col("at") - F.col("low")) * F.col("v_high")
+    rows = rows.withColumn("q", F.when(F.col("v_low") == F.col("v_high"), F.col("v_low")).when(F.col("low") == F.col("high"), F.col("v_low")).otherwise(between))
+    return rows.groupBy("g").agg(F.max("n").alias("n"), F.transform(F.sort_array(F.collect_list(F.struct("j", "q"))), lambda x: x["q"]).alias("q"))
+
+
 def with_distincts(df: DataFrame, by: Sequence[str], aggs: Sequence, distincts: dict[str, str]) -> DataFrame:
     """Aggregates with counts of distinct values (output name: column).
 

@@ -8,10 +8,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
+
+#: Rows of one key that a task should sort; builders hand it on, so that keys with more are cut into stretches of time.
+HOT_ROWS = 2_000_000
+#: Keys that may be broadcast.
+FEW_KEYS = 50_000
+
 
 def asof_join(
     left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, how: str = "left", tiebreak: Sequence[str] = (), values: Sequence[str] | None = None, suffix: str = "",
-    split: float | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Each left row with the latest right row of the same key at or before it.
 
@@ -20,8 +28,8 @@ def asof_join(
     time; the last wins. Left rows with a null key or time come back with nulls (``how='inner'``: not at all); they take
     no part in the shuffle.
 
-    ``split``: seconds of time that one window holds, for keys with more rows than a task should sort. Each stretch of a
-    key then starts with the last right row of the stretches before it, of which only one row each is carried.
+    ``hot_rows``: rows of one key that a window may hold. Keys are counted first; those with more are cut into stretches
+    of time, sampled from their own rows, and each stretch begins with the last right row of the stretches before it.
     """
     values = [c for c in right.columns if c not in by] if values is None else list(values)
     payload = F.struct(*(F.col(c) for c in dict.fromkeys([*values, *tiebreak])))
@@ -30,19 +38,14 @@ def asof_join(
     whole = lambda ts: reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (*by, ts)])
     l = left.filter(whole(left_ts)).select(*keys, time(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*map(F.col, left.columns)).alias("_left"))
     r = right.filter(whole(right_ts)).select(*keys, time(right_ts).alias("_ts"), F.lit(0).alias("_side"), payload.alias("_right"))
-    part, ties = list(by), [F.col(f"_right.{c}") for c in tiebreak]
-    if split:
-        part = [*by, "_bin"]
-        l, r = (x.withColumn("_bin", F.floor(F.unix_micros("_ts") / F.lit(split * 1e6))) for x in (l, r))
-        marks = r.groupBy(*part).agg(F.max_by("_right", F.struct("_ts", *ties)).alias("_right")).unionByName(l.select(*part).distinct(), allowMissingColumns=True)
-        marks = marks.groupBy(*part).agg(F.first("_right", True).alias("_right"))  # a row a stretch
-        earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        start = F.timestamp_micros((F.col("_bin") * F.lit(split * 1e6)).cast("long"))
-        carried = marks.select(*part, start.alias("_ts"), F.lit(-1).alias("_side"), F.last("_right", True).over(earlier).alias("_right")).filter("_right is not null")
-        r = r.unionByName(carried)
+    ties = [F.col(f"_right.{c}") for c in tiebreak]
     both = l.unionByName(r, allowMissingColumns=True)
-    order = Window.partitionBy(*part).orderBy("_ts", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
-    joined = both.withColumn("_last", F.last("_right", ignorenulls=True).over(order)).filter("_side = 1")
+    hot = None if hot_rows is None else _hot_keys(l.select(*by).unionByName(r.select(*by)), by, hot_rows)
+    if hot is None:
+        joined = _carry(both, by, ties)
+    else:
+        calm, busy = both.join(hot, list(by), "left_anti"), both.join(hot, list(by), "left_semi")
+        joined = _carry(calm, by, ties).unionByName(_carry(_stretches(busy, by, ties), [*by, "_bin"], ties).drop("_bin"))
     if how == "inner":
         joined = joined.filter(F.col("_last").isNotNull())
     joined = joined.select("_left.*", *(F.col(f"_last.{c}").alias(c + suffix) for c in values))
@@ -51,6 +54,32 @@ def asof_join(
     return joined.unionByName(left.filter(~whole(left_ts)), allowMissingColumns=True).select(*joined.columns)
 
 
+def _carry(both: DataFrame, part: Sequence[str], ties: Sequence[Column]) -> DataFrame:
+    """The left rows with _last, the last right row before each within its part."""
+    order = Window.partitionBy(*part).orderBy("_ts", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("_last", F.last("_right", ignorenulls=True).over(order)).filter("_side = 1")
+
+
+def _hot_keys(rows: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more rows than ``hot_rows``, None if there are none. Counted before the shuffle; rows / hot_rows keys at most."""
+    hot = stage(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*by))
+    n = hot.count()
+    return None if n == 0 else F.broadcast(hot) if n <= FEW_KEYS else hot
+
+
+def _stretches(both: DataFrame, by: Sequence[str], ties: Sequence[Column]) -> DataFrame:
+    """Rows of hot keys with _bin: the range that each falls into by key and time, whatever the times' spread, and for each
+    bin of a key, as its first row, the last right row of that key's earlier bins."""
+    order = [*(F.col(c) for c in by), F.col("_ts"), F.col("_side"), *ties, F.monotonically_increasing_id()]
+    both = stage(both.repartitionByRange(*order).withColumn("_bin", F.spark_partition_id()))
+    part = [*by, "_bin"]
+    lasts = both.groupBy(*part).agg(F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_ts", *ties))).alias("_right"))  # a row a stretch
+    earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(*part, F.last("_right", True).over(earlier).alias("_right")).filter("_right is not null")
+    carried = carried.withColumns({"_ts": F.lit(None).cast("timestamp"), "_side": F.lit(-1)})  # a null time comes first
+    return both.unionByName(carried, allowMissingColumns=True)
+
+
 def asof_lookup(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, values: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """asof_join() for a right side with few rows a key: its rows become one sorted array, and the left side isn't sorted.
 

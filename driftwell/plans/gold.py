@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, classify, foreign_key, grid_cell, lookup, safe_div, seconds_between, surrogate_key
-from ..operators.joins import asof_join, left_fill
+from ..operators.joins import HOT_ROWS, asof_join, left_fill
 from ..operators.windows import latest, leave_one_out_mean, over, prior_window
 from ..sources.schemas import Config
 
@@ -66,8 +66,8 @@ def build_fact_kill(slv_kill: DataFrame, slv_match: DataFrame, slv_phase: DataFr
     lobby = slv_game_state.select("match_id", "event_ts", "num_alive_players", "num_alive_teams", "safety_zone_radius_m")
     context = slv_match.select("match_id", "match_start_ts", "match_type", "game_mode", "perspective", "map_name", "is_analytical")
     rows = slv_kill.join(context, "match_id")
-    rows = asof_join(rows, phases, ["match_id"], "event_ts", "event_ts", values=["zone_phase"])
-    rows = asof_join(rows, lobby, ["match_id"], "event_ts", "event_ts", values=["num_alive_players", "num_alive_teams", "safety_zone_radius_m"], tiebreak=["num_alive_players", "num_alive_teams"])
+    rows = asof_join(rows, phases, ["match_id"], "event_ts", "event_ts", values=["zone_phase"], hot_rows=HOT_ROWS)
+    rows = asof_join(rows, lobby, ["match_id"], "event_ts", "event_ts", values=["num_alive_players", "num_alive_teams", "safety_zone_radius_m"], tiebreak=["num_alive_players", "num_alive_teams"], hot_rows=HOT_ROWS)
     return rows.select(
         "kill_sk", "match_id", "event_ts", surrogate_key("map_name").alias("map_sk"), foreign_key("killer_weapon").alias("weapon_sk"), surrogate_key("victim_account_id").alias("victim_player_sk"),
         foreign_key("killer_account_id").alias("killer_player_sk"), "match_type", "game_mode", "perspective", "map_name", "is_analytical", seconds_between("match_start_ts", "event_ts").alias("seconds_into_match"),

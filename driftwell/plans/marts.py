@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, distance, rate, safe_div, shrink_rate, surrogate_key
 from ..operators.aggregates import grid_heatmap, quantiles, with_distincts
-from ..operators.joins import asof_join, mirror_pairs, since_join
+from ..operators.joins import HOT_ROWS, asof_join, mirror_pairs, since_join
 from ..operators.windows import group_share, others_in_group, step_distance
 from ..sources.schemas import Config
 
@@ -88,7 +88,7 @@ def build_player_rotation(slv_player_position: DataFrame, slv_landing: DataFrame
     grounded = since_join(slv_player_position.filter(~F.col("is_bot")).select("match_id", "account_id", "event_ts", "x_m", "y_m", "in_vehicle", "in_blue_zone"), landed, ["match_id", "account_id"], "event_ts", "landed_ts")
     zone = ["safety_zone_x_m", "safety_zone_y_m", "safety_zone_radius_m"]
     zones = slv_game_state.filter("safety_zone_radius_m > 0").select("match_id", "event_ts", *zone)
-    rows = asof_join(grounded, zones, ["match_id"], "event_ts", "event_ts", values=zone, tiebreak=zone)
+    rows = asof_join(grounded, zones, ["match_id"], "event_ts", "event_ts", values=zone, tiebreak=zone, hot_rows=HOT_ROWS)
     rows = rows.withColumn("from_centre", distance("x_m", "y_m", "safety_zone_x_m", "safety_zone_y_m"))
     rows = step_distance(rows, ["match_id", "account_id"], ["event_ts", "x_m", "y_m"], "x_m", "y_m", "step")
     fair = F.when(F.col("step") <= cfg.max_step_m, F.col("step"))

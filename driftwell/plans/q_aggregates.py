@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, classify, grid_cell, rate, safe_div, seconds_between, surrogate_key
-from ..operators.aggregates import grid_heatmap, nested_teams, quantiles, with_distincts
+from ..operators.aggregates import exact_quantiles, grid_heatmap, nested_teams, quantiles, with_distincts
 from ..operators.windows import group_share, others_in_group
 from .catalog import query
 
@@ -35,12 +35,23 @@ def multi_distinct(t):
 
 
 @query("exact_quantiles", "select p_brand, round(median(l_extendedprice), 3) as median_price, round(quantile_cont(l_extendedprice, 0.9), 3) as p90_price from lineitem join part on p_partkey = l_partkey group by 1")
-def exact_quantiles(t):
+def price_quantiles(t):
     rows = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice").join(t.part.select("p_partkey", "p_brand"), "p_partkey")
-    out = rows.groupBy("p_brand").agg(quantiles("l_extendedprice", [0.5, 0.9]).alias("q"))
+    out = exact_quantiles(rows, ["p_brand"], "l_extendedprice", [0.5, 0.9])
     return out.select("p_brand", F.round(F.col("q")[0], 3).alias("median_price"), F.round(F.col("q")[1], 3).alias("p90_price"))
 
 
+@query("hot_quantiles", """
+select l_linestatus, case when l_tax < 0.08 then 'most' else 'rest' end as part, count(*) as n, round(quantile_cont(l_quantity, 0.1), 6) as q10, round(median(l_extendedprice + l_quantity / 1e3), 6) as q50, round(quantile_cont(l_extendedprice + l_quantity / 1e3, 0.99), 6) as q99
+from lineitem group by 1, 2""")
+def hot_quantiles(t):
+    """Quantiles of groups of which a few hold most rows: those are found by counting ranges of values, time and again."""
+    rows = t.lineitem.select("l_linestatus", F.expr("case when l_tax < 0.08 then 'most' else 'rest' end").alias("part"), "l_quantity", F.expr("l_extendedprice + l_quantity / 1e3").alias("price"))
+    by, least = ["l_linestatus", "part"], 2_000
+    price = exact_quantiles(rows, by, "price", [0.5, 0.99], hot_rows=least).select(*by, "n", F.round(F.col("q")[0], 6).alias("q50"), F.round(F.col("q")[1], 6).alias("q99"))
+    return price.join(exact_quantiles(rows, by, "l_quantity", [0.1], hot_rows=least).select(*by, F.round(F.col("q")[0], 6).alias("q10")), by)
+
+
 @query("guarded_ratio", "select user_id, round(sum(value) filter (where event_type = 'purchase') / nullif(count(*) filter (where event_type = 'click'), 0), 4) as value_per_click from events group by 1")
 def guarded_ratio(t):
     return t.events.groupBy("user_id").agg(F.round(safe_div(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), F.count_if(F.col("event_type") == "click")), 4).alias("value_per_click"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, seconds_between
 from ..operators.aggregates import skew_profile
-from ..operators.joins import asof_join, asof_lookup, in_set, interval_join, left_fill, merge_insert, mirror_pairs, not_in_set, null_safe_key, since_join
+from ..operators.joins import HOT_ROWS, asof_join, asof_lookup, in_set, interval_join, left_fill, merge_insert, mirror_pairs, not_in_set, null_safe_key, since_join
 from .catalog import query
 
 LAGS = [60, 3600, 21600, 86400]
@@ -26,11 +26,21 @@ group by 1""")
 def asof_event_state(t):
     """Purchases by the time since the same user's latest view."""
     views = kind(t, "view").select("user_id", F.col("ts").alias("view_ts"))
-    rows = asof_join(kind(t, "purchase"), views, ["user_id"], "ts", "view_ts")
+    rows = asof_join(kind(t, "purchase"), views, ["user_id"], "ts", "view_ts", hot_rows=HOT_ROWS)
     label = bucket(seconds_between("view_ts", "ts"), LAGS, LAG_LABELS, null_label="never")
     return rows.groupBy(label.alias("lag_bucket")).agg(F.count(F.lit(1)).alias("purchases"), F.count("view_ts").alias("with_view"), F.round(F.sum("value"), 2).alias("total_value"))
 
 
+@query("asof_hot_keys", """
+select p.event_id, p.league, v.event_id as view_id from (select event_id, ts, case when user_id % 9 = 0 then 1 else 0 end as league from events where event_type = 'purchase') p
+asof left join (select event_id, ts, case when user_id % 9 = 0 then 1 else 0 end as league from events where event_type = 'view') v on p.league = v.league and p.ts >= v.ts""")
+def asof_hot_keys(t):
+    """Purchases with their league's latest view; one league has most rows, and is cut into stretches of time by them."""
+    league = F.expr("case when user_id % 9 = 0 then 1 else 0 end").alias("league")
+    views = kind(t, "view").select(league, F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+    return asof_join(kind(t, "purchase").select("event_id", "ts", league), views, ["league"], "ts", "view_ts", hot_rows=1_000).select("event_id", "league", "view_id")
+
+
 @query("asof_two_states", """
 select p.event_id, v.event_id as view_id, c.event_id as click_id
 from (select * from events where event_type = 'purchase') p

@@ -162,19 +162,19 @@ def test_stream_pulse_reads_events_as_they_are_spread(spark, monkeypatch):
 
     paths, read = [], q_streams.file_stream
     monkeypatch.setattr(q_streams, "file_stream", lambda s, path, *a, **b: paths.append(path) or read(s, path, *a, **b))
-    events = spark.range(0, 240, 1, 4).selectExpr("id as event_id", "'view' as event_type", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, cast((id * 37) % 240 as int)) as ts")
+    events = spark.range(0, 240, 1, 4).selectExpr("id as event_id", "id % 5 as user_id", "'view' as event_type", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, cast((id * 37) % 240 as int)) as ts")
     got = q_streams.stream_pulse(SimpleNamespace(spark=spark, events=events)).collect()
-    assert sorted(r.window_s for r in got) == [1704067200 + 86400 * k for k in range(7)] and {r.events for r in got} == {24}
+    assert sorted(r.window_s for r in got) == [1704067200 + 86400 * k for k in range(7)] and {(r.events, r.actors) for r in got} == {(24, 5)}
     assert len(spark.read.parquet(paths[0]).inputFiles()) == 4
 
 
-@pytest.mark.parametrize("split", [3.0, 60.0])
-def test_asof_in_stretches_equals_asof(spark, split):
+@pytest.mark.parametrize("hot", [2, 30])
+def test_asof_in_stretches_equals_asof(spark, hot):
     rng = random.Random(3)
     some = lambda n, c: spark.createDataFrame([(rng.choice([1, 2, None]), i, rng.choice([None, *range(90)])) for i in range(n)], f"k int, {c} int, s int").select("k", c, F.timestamp_seconds("s").alias(f"{c}_ts"))
     left, right = some(200, "l"), some(70, "r")
     for how in ("left", "inner"):
-        a, b = (sorted(map(tuple, joins.asof_join(left, right, ["k"], "l_ts", "r_ts", how=how, tiebreak=["r"], split=x).collect()), key=str) for x in (None, split))
+        a, b = (sorted(map(tuple, joins.asof_join(left, right, ["k"], "l_ts", "r_ts", how=how, tiebreak=["r"], hot_rows=x).collect()), key=str) for x in (None, hot))
         assert a == b and a
 
 
