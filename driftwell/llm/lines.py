@@ -1,18 +1,21 @@
 """Line dedup by content-defined chunks of lines, with DataFrame functions only.
 
-A hash over the hashes of each ``WINDOW`` neighbouring lines chooses boundaries, so that an inserted line moves only the
-chunks near it. Chunks of several lines that occur more than once in the corpus stay where they occur first.
+A rolling hash over the hashes of two neighbouring lines marks places where chunks begin, and others where they end. Both
+marks look at lines of the chunk alone, so lines inserted before or after a passage change none of its chunks. There are
+four families of marks, which complement each other: one bit of the hash begins chunks where it is set in two families and
+where it isn't in the others, and likewise a second bit ends them. So any two neighbouring lines are a chunk of one
+family, whatever their hash, and a passage of two lines is found wherever it repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, table, text_key
 
-#: Lines in the rolling window, one boundary in how many lines on average, and lines that a removable chunk has at least.
-WINDOW, EVERY, LEAST = 2, 4, 2
+#: Lines that a chunk has at most. A chunk whose end isn't marked by then is none; its lines are in chunks of other families.
+MOST = 16
 #: Bytes that may be broadcast.
 BROADCAST_BYTES = 4 << 20
 
@@ -22,50 +25,80 @@ def few(df: DataFrame, size) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
+def _ends(lines: Column, ids: Column) -> Column:
+    """For each line but the last, what the rolling hash over it and the next says: 0 to 3, one bit for the beginning of a
+    chunk and one for its end; 4 for two blank lines, which are in no chunk."""
+    blank = lambda i: F.trim(F.get(lines, i)) == ""
+    pair = lambda x, i: F.when(blank(i) & blank(i + 1), F.lit(4)).otherwise(F.xxhash64(x, F.get(ids, i + 1)).bitwiseAND(3).cast("int"))
+    return F.transform(F.slice(ids, F.lit(1), F.greatest(F.size(ids) - 1, F.lit(0))), pair)
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, start, stop (lines, end exclusive), chunk of every chunk of every whole text."""
-    rows = docs.select(*text_key(), F.split("text", "\n").alias("lines")).filter("lines is not null")
-    rows = rows.withColumn("marks", F.transform("lines", lambda x: F.md5(x)))
-    rolled = F.transform("marks", lambda x, i: F.md5(F.concat(F.when(i >= WINDOW - 1, F.element_at("marks", F.greatest(i, F.lit(1)))).otherwise(F.lit("")), x)))
-    # A hash in hexadecimal begins with any of 16 digits: below '4' for one in four.
-    rows = rows.withColumn("stops", F.filter(F.transform(rolled, lambda h, i: F.when((h < F.lit(f"{16 // EVERY:x}")) | (i == F.size("marks") - 1), i + 1)), lambda x: x.isNotNull())).drop("marks")
-    spans = F.transform("stops", lambda e, k: F.struct(F.when(k > 0, F.element_at("stops", F.greatest(k, F.lit(1)))).otherwise(0).alias("start"), e.alias("stop")))
-    rows = rows.select("doc_id", "text_hash", "lines", F.explode(spans).alias("s"))
-    return rows.select("doc_id", "text_hash", "s.start", "s.stop", F.array_join(F.slice("lines", F.col("s.start") + 1, F.col("s.stop") - F.col("s.start")), "\n").alias("chunk"))
-
-
-def repeated_chunks(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, text_hash, start, stop of the chunks to remove: all but the first (by doc_id, text_hash, start) of equal ones.
-
-    Hashes are counted first, so that only chunks whose hash repeats are compared byte by byte. Both counts aggregate
-    before they shuffle; a chunk that many documents hold is split by adaptive execution in the join that follows.
+    """doc_id, text_hash, start, stop (lines, end exclusive), key (hashes of its lines) of the chunks of every whole text.
+
+    A chunk begins before any pair of lines whose first bit is the family's, and ends with the first pair whose second bit
+    is the family's. At each line two of the four families begin one: a chunk ends at once in one of them, later in the other.
     """
-    several = chunks(docs).filter(F.col("stop") - F.col("start") >= least).filter(F.trim("chunk") != "").withColumn("h", F.xxhash64("chunk"))
-    again = cut(several.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
-    found = cut(several.join(few(again, F.lit(8)), "h", "left_semi").distinct())
-    place = F.struct("doc_id", "text_hash", "start")
-    first = cut(found.groupBy("h", "chunk").agg(F.min(place).alias("first")))
-    f, k = found.alias("f"), first.alias("k")
-    pairs = f.join(k, (F.col("f.h") == F.col("k.h")) & (F.col("f.chunk") == F.col("k.chunk")))
-    other = F.struct(F.col("f.doc_id").alias("doc_id"), F.col("f.text_hash").alias("text_hash"), F.col("f.start").alias("start"))
-    return pairs.filter(other != F.col("first")).select("f.doc_id", "f.text_hash", "f.start", "f.stop")
+    rows = docs.select(*text_key(), F.split("text", "\n").alias("lines")).filter(F.size("lines") > 1)
+    rows = rows.withColumn("ids", F.transform("lines", lambda x: F.xxhash64(x)))
+    rows = rows.withColumn("marks", _ends(F.col("lines"), F.col("ids")))
+
+    def begun(_, i):
+        ahead = lambda keep: F.array_position(F.transform(F.slice("marks", i + 1, F.lit(MOST - 1)), keep), True)
+        blank = ahead(lambda m: m == 4)
+        ends = [ahead(lambda m: F.shiftright(m, 1) == 0), ahead(lambda m: F.shiftright(m, 1) == 1)]
+        spans = F.array(*(F.struct(i.alias("start"), F.when((e > 0) & ((blank == 0) | (e < blank)), i + 1 + e.cast("int")).alias("stop")) for e in ends))
+        return F.filter(spans, lambda s: s["stop"].isNotNull())
 
+    rows = rows.select("doc_id", "text_hash", "ids", F.explode(F.flatten(F.transform("marks", begun))).alias("s"))
+    return rows.select("doc_id", "text_hash", "s.start", "s.stop", F.slice("ids", F.col("s.start") + 1, F.col("s.stop") - F.col("s.start")).alias("key"))
 
-def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, start, stop of the chunks to remove: those that begin earlier too (by doc_id, text_hash, line), in
+    another document or, in the same, without overlap.
+
+    Only hashes of lines are shuffled to find them; counts aggregate before they shuffle, and a chunk that many documents
+    hold is split by adaptive execution in the join. Then the lines' bytes are compared: of each hash of a line that is to
+    go, the least and the greatest text are one, or else the chunks that hold it stay.
+    """
+    all_ = cut(chunks(docs))
+    place = F.struct("doc_id", "text_hash", "start")
+    firsts = cut(all_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").select("key", "first"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    later = F.when(same, F.col("first.start") + F.size("key") <= F.col("start")).otherwise(F.lit(True))
+    found = cut(all_.join(few(firsts, 40 + 8 * F.size("key")), "key").filter(later).select("doc_id", "text_hash", "start", "stop", "key"))
+    ids = cut(found.select(F.explode("key").alias("id")).distinct())
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).withColumn("id", F.xxhash64("line"))
+    if (ids.count()) * 8 <= BROADCAST_BYTES:
+        lines = lines.join(F.broadcast(ids), "id", "left_semi")
+    unlike = cut(lines.groupBy("id").agg(F.min("line").alias("least"), F.max("line").alias("most")).filter("least <> most").select("id"))
+    found = found.drop("key") if unlike.isEmpty() else _without(found, unlike)
+    return found
+
+
+def _without(found: DataFrame, unlike: DataFrame) -> DataFrame:
+    """The chunks none of whose lines' hashes stands for several texts."""
+    bad = found.withColumn("id", F.explode("key")).join(unlike, "id").select("key").distinct()
+    return found.join(bad, "key", "left_anti").drop("key")
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs' rows without the repeated chunks: doc_id, n_lines, n_removed, kept (text).
 
-    Null texts stay null, with no lines; an empty text has one empty line. Blank chunks stay. Rows that repeat doc_id and
-    text are one document. Other columns are not read.
+    Null texts stay null, with no lines; an empty text has one empty line. Two blank lines in a row are in no chunk. Each
+    line that goes stands earlier in a text where it stays. Rows that repeat doc_id and text are one document; null ids
+    come first. An empty table gives an empty table. Other columns are not read.
     """
-    gone = repeated_chunks(docs, least).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"))
-    gone = few(cut(gone), 16 + 8 * F.size("gone")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
+    lost = repeated_chunks(docs).select("doc_id", "text_hash", F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("line"))
+    gone = lost.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))
+    gone = few(cut(gone), 16 + 4 * F.size("gone")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone")
     rows = docs.select(*text_key(), "text")
     rows = rows.join(gone, rows["doc_id"].eqNullSafe(F.col("gone_id")) & (rows["text_hash"] == F.col("gone_hash")), "left")
     lines = F.split("text", "\n")
-    stays = F.filter(lines, lambda x, i: ~F.exists("gone", lambda g: (g["start"] <= i) & (i < g["stop"])))
-    lost = F.aggregate("gone", F.lit(0), lambda acc, g: acc + (g["stop"] - g["start"]))
+    stays = F.transform(F.array(lines), lambda a: F.transform(F.array_except(F.sequence(F.lit(0), F.size(a) - 1), "gone"), lambda i: F.get(a, i)))[0]
     return rows.select(
-        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.coalesce(lost, F.lit(0)).cast("long").alias("n_removed"),
+        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")).alias("kept"),
     )
 
@@ -78,18 +111,18 @@ def op5_line_chunks(spark, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 with l as (
-  select doc_id, text, line, i, count(*) over (partition by doc_id) as n,
-    md5(case when i > 1 then md5(lag(line) over (partition by doc_id order by i)) else '' end || md5(line)) as h
-  from (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents where text is not null)
-), c as (
-  select *, coalesce(sum(case when h < '4' then 1 else 0 end) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as chunk from l
+  select doc_id, line, i from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents where text is not null)
+), p as (
+  select doc_id, i, line, lead(line) over (partition by doc_id order by i) as following, lead(i) over (partition by doc_id order by i) as j from l
+), f as (
+  select doc_id, i, first_value(doc_id) over w as first_id, first_value(i) over w as first_i from p where j is not null and (trim(line, ' ') <> '' or trim(following, ' ') <> '')
+  window w as (partition by line, following order by doc_id, i rows between unbounded preceding and unbounded following)
 ), g as (
-  select doc_id, chunk, min(i) as start, count(*) as size, string_agg(line, chr(10) order by i) as body from c group by doc_id, chunk
+  select doc_id, i from f where first_id <> doc_id or first_i + 2 <= i
 ), r as (
-  select *, size >= 2 and trim(body, ' ') <> '' and row_number() over (partition by body, size >= 2 order by doc_id, start) > 1 as gone from g
+  select l.doc_id, l.line, l.i, exists (select 1 from g where g.doc_id = l.doc_id and g.i in (l.i, l.i - 1)) as gone from l
 ), k as (
-  select doc_id, sum(size) as n_lines, sum(case when gone then size else 0 end) as n_removed, coalesce(string_agg(case when gone then null else body end, chr(10) order by start), '') as kept
-  from r group by doc_id
+  select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_removed, coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '') as kept from r group by doc_id
 )
 select d.doc_id, cast(coalesce(k.n_lines, 0) as bigint) as n_lines, cast(coalesce(k.n_removed, 0) as bigint) as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
 from documents d left join k on k.doc_id = d.doc_id
