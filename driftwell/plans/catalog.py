@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import q_aggregates, q_builders, q_estimates, q_files, q_joins, q_quality, q_raw, q_shapes, q_streams, q_windows  # noqa: E402, F401
+from . import q_aggregates, q_builders, q_chain, q_estimates, q_files, q_joins, q_quality, q_raw, q_shapes, q_streams, q_windows  # noqa: E402, F401

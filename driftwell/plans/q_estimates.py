@@ -153,9 +153,10 @@ def games(t):
     return rows.withColumn("match", F.concat_ws("-", F.date_format("week", "yyyyMMdd"), "league"))
 
 
-RATING_SQL = """
-with recursive g as (select date_trunc('week', ts) as week, user_id, user_id % 10 as league, user_id // 50 as team, -round(sum(value), 2) as place from events group by 1, 2),
-k as (select *, rank() over (partition by week, league order by best) as team_rank, count(*) over (partition by week, league) as teams from (select week, league, team, min(place) as best from g group by 1, 2, 3)),
+def rating_recursion() -> str:
+    """SQL of the rating model, week by week, over g (week, user_id, league, team, place); r has every user's state after
+    each week, p the rated rows."""
+    return """k as (select *, rank() over (partition by week, league order by best) as team_rank, count(*) over (partition by week, league) as teams from (select week, league, team, min(place) as best from g group by 1, 2, 3)),
 p as (select g.user_id, g.week, g.league, g.team, team_rank, teams, dense_rank() over (order by g.week) as w from g join k using (week, league, team) where teams > 1),
 r as (
   select 0::bigint as w, user_id, 0::bigint as games, 25e0 as mu, 25e0 / 3 as sigma, 25e0 as mu_pre, 25e0 / 3 as sigma_pre, false as played from (select distinct user_id from p)
@@ -171,8 +172,11 @@ r as (
       case when o.team is null then x.sigma else sqrt(x.s2) * sqrt(greatest(1 - x.s2 / o.team_s2 * (o.delta * sqrt(o.team_s2) / o.c * o.team_s2 / (o.c * o.c)), 1e-4)) end, x.mu, x.sigma, o.team is not null
     from x left join o on o.league = x.league and o.team = x.team
   )
-)
-"""
+)"""
+
+
+LEAGUES_SQL = "g as (select date_trunc('week', ts) as week, user_id, user_id % 10 as league, user_id // 50 as team, -round(sum(value), 2) as place from events group by 1, 2)"
+RATING_SQL = f"with recursive {LEAGUES_SQL}, {rating_recursion()}\n"
 RATED_SQL = "select r.user_id as account_id, strftime(p.week, '%Y%m%d') || '-' || p.league as match_id, p.week as match_start_ts, p.team as team_id, p.team_rank, p.teams as teams_in_match, r.games - 1 as games_played_before, r.* from r join p on p.user_id = r.user_id and p.w = r.w where r.played"
 
 
