@@ -19,4 +19,4 @@ QUERIES = {
     "op12_fim": fim.op12_fim,
     "op13_merkle": merkle.op13_merkle,
 }
-ORACLE_SQL = {"op5_line_chunks": lines.OP5_SQL, "op7_content_sort": exact.OP7_SQL, "op12_fim": fim.OP12_SQL, "op13_merkle": merkle.OP13_SQL}
+ORACLE_SQL = {"op5_line_chunks": lines.OP5_SQL, "op7_content_sort": exact.OP7_SQL, "op11_winnow": winnow.OP11_SQL, "op12_fim": fim.OP12_SQL, "op13_merkle": merkle.OP13_SQL}

@@ -175,3 +175,74 @@ def op11_winnow(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spelled(F.col("picks")).alias("fingerprint"), spelled(F.col("edited_picks")).alias("edited_fingerprint"),
         likeness(own, edited).alias("near_edited"), likeness(own, F.col("next_hashes")).alias("near_next"),
     )
+
+
+def _xxh64_sql() -> str:
+    """Common table expressions from grams (doc_id, kind, pos, w0 to w7: 64 bytes as eight numbers) to hashed, with h, the
+    31 bits that a pick keeps of the published 64-bit hash under seed 42. Arithmetic is modulo 2^64 in wider numbers."""
+    # The hash's five primes, of which it uses four here.
+    p1, p2, p3, p4 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579
+    seed, m = 42, 1 << 64
+    lanes = [(seed + p1 + p2) % m, (seed + p2) % m, seed, (seed - p1) % m]
+    u = lambda x: f"{x}::uhugeint"
+    mod = lambda x: f"(({x}) & {u(m - 1)})"
+    turned = lambda x, r: f"({mod(f'{x} * {u(1 << r)}')} + ({x} >> {u(64 - r)}))"
+    step = lambda x: mod(f"{turned(x, 31)} * {u(p1)}")
+    shifted = lambda x, r: f"xor({x}, {x} >> {u(r)})"
+    merged = "e"
+    for j in range(4):
+        merged = mod(f"xor({merged}, q{j}) * {u(p1)} + {u(p4)}")
+    stages = [
+        ("x1", "grams", [*(f"w{j}" for j in range(4, 8)), *(f"{mod(f'{u(lanes[j])} + {mod(f"w{j} * {u(p2)}")}')} as a{j}" for j in range(4))]),
+        ("x2", "x1", [*(f"w{j}" for j in range(4, 8)), *(f"{step(f'a{j}')} as b{j}" for j in range(4))]),
+        ("x3", "x2", [f"{mod(f'b{j} + {mod(f"w{j + 4} * {u(p2)}")}')} as c{j}" for j in range(4)]),
+        ("x4", "x3", [f"{step(f'c{j}')} as d{j}" for j in range(4)]),
+        ("x5", "x4", [f"{mod(' + '.join(turned(f'd{j}', r) for j, r in enumerate((1, 7, 12, 18))))} as e", *(f"{mod(f'd{j} * {u(p2)}')} as r{j}" for j in range(4))]),
+        ("x6", "x5", ["e", *(f"{step(f'r{j}')} as q{j}" for j in range(4))]),
+        ("x7", "x6", [f"{mod(f'{merged} + {u(64)}')} as f"]),
+        ("x8", "x7", [f"{mod(f'{shifted("f", 33)} * {u(p2)}')} as k"]),
+        ("hashed", "x8", [f"(({mod(f'{shifted("k", 29)} * {u(p3)}')} >> {u(32)}) & {u(TOP)})::bigint as h"]),
+    ]
+    return ", ".join(f"{name} as (select doc_id, kind, pos, n, {', '.join(columns)} from {source})" for name, source, columns in stages)
+
+
+def _op11_sql() -> str:
+    swapped = "(c % 256) * 16777216 + (c // 256 % 256) * 65536 + (c // 65536 % 256) * 256"
+    ahead = lambda j: f"lead(s, {j}, 4294967295) over w" if j else "s"
+    words = ", ".join(f"({ahead(2 * j)})::uhugeint + ({ahead(2 * j + 1)})::uhugeint * 4294967296::uhugeint as w{j}" for j in range(K // 2))
+    return f"""
+with d as (
+  select doc_id, coalesce(text, '') as text, coalesce(lead(doc_id) over (order by doc_id desc), max(doc_id) over ()) as next_id from documents
+), e as (
+  select d.doc_id, d.next_id, d.text, left(d.text, length(d.text) - length(d.text) // 3) || left(x.text, length(d.text) // 3) as edited from d join d x on x.doc_id = d.next_id
+), chars as (
+  select doc_id, kind, length(t) as n, unnest(range(length(t))) as pos, unnest(regexp_extract_all(t, '(?s).')) as ch
+  from (select doc_id, 0 as kind, text as t from e union all select doc_id, 1, edited from e)
+), s as (
+  select doc_id, kind, n, pos, {swapped} as s from (select *, unicode(ch)::bigint as c from chars)
+), grams as (
+  select * from (select doc_id, kind, n, pos, {words} from s window w as (partition by doc_id, kind order by pos)) where pos <= greatest(n - {K}, 0)
+), {_xxh64_sql()}, minima as (
+  select doc_id, kind, pos, n, min(h * 2147483648 + ({TOP} - pos)) over (partition by doc_id, kind order by pos rows between current row and {WINDOW - 1} following) as m from hashed
+), picks as (
+  select distinct doc_id, kind, m // 2147483648 as h, {TOP} - m % 2147483648 as pos from minima where pos <= greatest(n - {K + WINDOW - 1}, 0)
+), spelled as (
+  select doc_id, kind, string_agg(pos || ':' || format('{{:x}}', h), ',' order by pos) as f from picks group by doc_id, kind
+), sets as (
+  select distinct doc_id, kind, h from picks
+), sizes as (
+  select doc_id, kind, count(*) as n from sets group by doc_id, kind
+), pairs as (
+  select doc_id, doc_id as other, 1 as kind from e union all select doc_id, next_id, 0 from e
+), shared as (
+  select p.doc_id, p.kind, count(*) as n from pairs p join sets a on a.doc_id = p.doc_id and a.kind = 0 join sets b on b.doc_id = p.other and b.kind = p.kind and b.h = a.h group by p.doc_id, p.kind
+), near as (
+  select p.doc_id, p.kind, case when coalesce(a.n, 0) + coalesce(b.n, 0) = 0 then 1e0 else coalesce(s.n, 0) / (coalesce(a.n, 0) + coalesce(b.n, 0) - coalesce(s.n, 0))::double end as likeness
+  from pairs p left join sizes a on a.doc_id = p.doc_id and a.kind = 0 left join sizes b on b.doc_id = p.other and b.kind = p.kind left join shared s on s.doc_id = p.doc_id and s.kind = p.kind
+)
+select e.doc_id, length(e.text) as n_chars, sha256(e.edited) as edited_sha256, coalesce(f.f, '') as fingerprint, coalesce(g.f, '') as edited_fingerprint, x.likeness as near_edited, y.likeness as near_next
+from e left join spelled f on f.doc_id = e.doc_id and f.kind = 0 left join spelled g on g.doc_id = e.doc_id and g.kind = 1 join near x on x.doc_id = e.doc_id and x.kind = 1 join near y on y.doc_id = e.doc_id and y.kind = 0
+"""
+
+
+OP11_SQL = _op11_sql()
