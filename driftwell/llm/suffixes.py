@@ -284,23 +284,55 @@ def _pack(data, offsets, ids, parts, buckets, found, single, base, length):
     owner = np.minimum.reduceat(ids[of[order]], np.flatnonzero(first))
     later = np.zeros(len(order), bool)
     later[order] = ids[of[order]] > owner[group]
+    lead = np.empty(len(order), np.int64)  # of each segment: the one that stands for all like it, of the least document
+    by_id = order[np.lexsort((ids[of[order]], group))]
+    lead[by_id] = np.repeat(by_id[np.flatnonzero(first)], np.diff(np.append(np.flatnonzero(first), len(order))))
+    later &= _same_bytes(data, begin, stop - begin, lead)  # a hash that unlike texts share folds nothing
     place = begin - offsets[of] + base
     bucket = (mix64(least) % np.uint64(buckets)).astype(np.int64)
     out = []
-    gone = np.flatnonzero(later)
-    if len(gone):  # a smaller document of this very batch holds the same segment; any bucket will do
+    gone = np.flatnonzero(later & single)
+    if len(gone):  # a smaller document of this very batch holds the same hot string; any bucket will do
         out.append((int(mix64(ids[of[gone[:1]]].astype(np.uint64))[0] % np.uint64(buckets)), b"R" + zstandard.compress(np.stack([ids[of[gone]], parts[of[gone]], place[gone], place[gone] + (stop - begin)[gone]]).astype("<i8").tobytes(), 3)))
     if single.any():
         other = _codes(data, begin, stop, _BYTE2, _P2)
         for k in _by_bucket(np.flatnonzero(~later & single), bucket):
             strings = np.stack([code[k].view(np.int64), other[k].view(np.int64), ids[of[k]], parts[of[k]], place[k]]).astype("<i8")
             out.append((int(bucket[k[0]]), b"H" + zstandard.compress(strings.tobytes(), 3)))
+    copies, at = np.flatnonzero(later & ~single), np.zeros(len(begin), np.int64)
+    follow = dict(zip(bucket[[c[0] for c in _by_bucket(copies, bucket)]].tolist(), _by_bucket(copies, bucket), strict=True)) if len(copies) else {}
     for k in _by_bucket(np.flatnonzero(~later & ~single), bucket):
         text = data[_ragged(begin[k], (stop - begin)[k])]
+        c, at[k] = follow.get(int(bucket[k[0]]), copies[:0]), np.arange(len(k))
+        refs = np.concatenate([at[lead[c]].astype("<i8").view(np.uint8), ids[of[c]].astype("<i8").view(np.uint8), place[c].astype("<i8").view(np.uint8), parts[of[c]].astype("<i8").view(np.uint8)])
         head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
-        body = zstandard.compress(head.tobytes() + text.tobytes(), 3)
+        body = zstandard.compress(refs.tobytes() + head.tobytes() + text.tobytes(), 3)
         marks = least[k].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 5:].tobytes()  # its three upper bytes; two minimizers under one mark cost time only
-        out.append((int(bucket[k[0]]), b"S" + struct.pack("<q", len(k)) + marks + body))
+        out.append((int(bucket[k[0]]), b"S" + struct.pack("<qq", len(k), len(c)) + marks + body))
+    return out
+
+
+def _same_bytes(data: np.ndarray, begin: np.ndarray, size: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Whether each stretch has the bytes of the one that leads it, which is as long. Compared byte by byte."""
+    same, rows = np.ones(len(begin), bool), np.flatnonzero(lead != np.arange(len(begin)))
+    rows = rows[size[rows] == size[lead[rows]]]
+    same[(lead != np.arange(len(begin))) & (size != size[lead])] = False
+    ends = np.cumsum(size[rows])
+    for a, z in _shares(ends):
+        k = rows[a:z]
+        unlike = data[_ragged(begin[k], size[k])] != data[_ragged(begin[lead[k]], size[k])]
+        if unlike.any():
+            same[k[np.unique(np.searchsorted(np.cumsum(size[k]), np.flatnonzero(unlike), "right"))]] = False
+    return same
+
+
+def _shares(ends: np.ndarray, most: int = 1 << 20) -> list[tuple[int, int]]:
+    """Ranges of rows whose bytes, summed up in ends, are ``most`` or little more."""
+    out, at = [], 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        out.append((at, to))
+        at = to
     return out
 
 
@@ -459,21 +491,41 @@ def _meeting(text: np.ndarray, begin: np.ndarray, size: np.ndarray, mark: np.nda
     return of[keep]
 
 
-def _settled(text: np.ndarray, mark: np.ndarray, doc: np.ndarray, part: np.ndarray, place: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
-    """doc_id, part, start, stop of the strings of segments that a smaller doc_id holds too. text: segment after segment."""
+def _classes(text: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each kind of segment, and each segment's kind. Like hashes are proven by bytes; unlike bytes under one
+    hash are kinds of their own."""
+    _, lead, back = np.unique(_codes(text, begin, begin + size), return_index=True, return_inverse=True)
+    odd = np.flatnonzero(~_same_bytes(text, begin, size, lead[back]))
+    if len(odd):
+        kinds: dict[bytes, int] = {}
+        for i in odd.tolist():
+            back[i] = kinds.setdefault(text[begin[i] : begin[i] + size[i]].tobytes(), len(lead) + len(kinds))
+        lead = np.concatenate([lead, odd[np.unique(back[odd], return_index=True)[1]]])
+    return lead, back
+
+
+def _settled(text: np.ndarray, mark: np.ndarray, doc: np.ndarray, part: np.ndarray, place: np.ndarray, n: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
+    """doc_id, part, start, stop of the strings of segments that a smaller doc_id holds too. text: segment after segment.
+    copies: segment, doc_id, part, place of more segments with the bytes of one that is there.
+
+    Copies of a segment are one string with the least of their documents; every kind of segment that has copies, or may
+    share a string with another one, goes into the shards. So what goes is always decided by an interval of the merge.
+    """
     size = n + length - 1
     begin = np.cumsum(size) - size
-    # Segments with the same bytes are one, held by the least of their documents.
-    _, lead, back = np.unique(_codes(text, begin, begin + size), return_index=True, return_inverse=True)
+    lead, back = _classes(text, begin, size)
+    of = np.concatenate([np.arange(len(doc)), copies[0]])
+    back, doc, part, place = back[of], np.concatenate([doc, copies[1]]), np.concatenate([part, copies[2]]), np.concatenate([place, copies[3]])
     holder = np.full(len(lead), np.iinfo(np.int64).max)
     np.minimum.at(holder, back, doc)
-    met = _meeting(text, begin[lead], size[lead], mark[lead], length)
+    met = np.union1d(_meeting(text, begin[lead], size[lead], mark[lead], length), np.flatnonzero(np.bincount(back, minlength=len(lead)) > 1))
     first = np.cumsum(n[lead]) - n[lead]
-    owner = np.repeat(holder, n[lead])  # of each string; the least document of its segment, if no other has it
+    owner = np.repeat(holder, n[lead])  # of each string; its only document, where a segment has no copy and meets no other
     if len(met):
         line = np.cumsum(size[lead][met] + 1) - (size[lead][met] + 1)
         merged = _owners(text, begin[lead][met], size[lead][met], holder[met], length)
         owner[_ragged(first[met], n[lead][met])] = merged[_ragged(line, n[lead][met])]
+    n = n[of]
     gone = owner[_ragged(first[back], n)] < np.repeat(doc, n)
     return _joined(np.repeat(doc, n)[gone], np.repeat(part, n)[gone], _ragged(place, n)[gone], length)
 
@@ -482,7 +534,7 @@ def _bucket(length: int):
     import pyarrow as pa
 
     def run(group):
-        marks, docs, places, rows, strings, texts, gone, hot = [], [], [], [], [], [], [], []
+        marks, docs, places, rows, strings, texts, gone, hot, refs, at = [], [], [], [], [], [], [], [], [], 0
         for row in (x for chunk in group["packed"].chunks for x in chunk):
             raw = row.as_py()
             if raw[:1] == b"H":
@@ -491,9 +543,12 @@ def _bucket(length: int):
             if raw[:1] == b"R":
                 gone.append(np.frombuffer(zstandard.decompress(raw[1:]), "<i8").reshape(4, -1))
                 continue
-            (n,) = struct.unpack("<q", raw[1:9])
-            marks.append(np.frombuffer(raw, np.uint8, 3 * n, 9).reshape(-1, 3) @ np.array([1, 1 << 8, 1 << 16]))
-            body = np.frombuffer(zstandard.decompress(raw[9 + 3 * n :]), np.uint8)
+            n, c = struct.unpack("<qq", raw[1:17])
+            marks.append(np.frombuffer(raw, np.uint8, 3 * n, 17).reshape(-1, 3) @ np.array([1, 1 << 8, 1 << 16]))
+            body = np.frombuffer(zstandard.decompress(raw[17 + 3 * n :]), np.uint8)
+            ref, copy_doc, copy_place, copy_part = body[: 32 * c].view("<i8").reshape(4, -1)
+            refs.append(np.stack([ref + at, copy_doc, copy_part, copy_place]))
+            body, at = body[32 * c :], at + n
             docs.append(np.cumsum(body[: 8 * n].view("<i8")))
             places.append(np.cumsum(body[8 * n : 16 * n].view("<i8")))
             rows.append(body[16 * n : 24 * n].view("<i8"))
@@ -504,20 +559,30 @@ def _bucket(length: int):
             parts.append(_hot_ranges(np.concatenate(hot, axis=1), length))
         if marks:
             mark, doc, place, row, n, text = (np.concatenate(x) for x in (marks, docs, places, rows, strings, texts))
+            copies = np.concatenate(refs, axis=1)
             size = n + length - 1
             begin = np.cumsum(size) - size
             order = np.argsort(mark, kind="stable")
             edges = np.flatnonzero(np.diff(mark[order], prepend=-1))
-            low, high = np.minimum.reduceat(doc[order], edges), np.maximum.reduceat(doc[order], edges)
+            least, most = doc.copy(), doc.copy()
+            np.minimum.at(least, copies[0], copies[1])
+            np.maximum.at(most, copies[0], copies[1])
+            low, high = np.minimum.reduceat(least[order], edges), np.maximum.reduceat(most[order], edges)
             count = np.diff(np.append(edges, len(order)))
             chosen = order[np.repeat(low < high, count)]  # in the order of marks
             # Marks are independent of each other: some at a time bound the memory.
             fresh = np.diff(mark[chosen], prepend=-1) != 0
             before = np.cumsum(size[chosen]) - size[chosen]
             share = np.maximum.accumulate(np.where(fresh, before, 0)) // MERGED
+            share_of, at_ = np.full(len(mark), -1), np.zeros(len(mark), np.int64)
+            share_of[chosen] = share
+            copies = copies[:, np.argsort(share_of[copies[0]], kind="stable")]
+            copy_share = share_of[copies[0]]
             for own in np.split(chosen, np.flatnonzero(np.diff(share)) + 1) if len(chosen) else []:
-                text_own = text[_ragged(begin[own], size[own])]
-                parts.append(_settled(text_own, mark[own], doc[own], row[own], place[own], n[own], length))
+                text_own, at_[own] = text[_ragged(begin[own], size[own])], np.arange(len(own))
+                a, z = np.searchsorted(copy_share, share_of[own[0]], "left"), np.searchsorted(copy_share, share_of[own[0]], "right")
+                mine = np.concatenate([at_[copies[:1, a:z]], copies[1:, a:z]])
+                parts.append(_settled(text_own, mark[own], doc[own], row[own], place[own], n[own], mine, length))
         done = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
         return pa.table({name: pa.array(done[k], pa.int64()) for k, name in enumerate(("doc_id", "part", "start", "stop"))})
 
