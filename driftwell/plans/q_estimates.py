@@ -267,7 +267,7 @@ def calibrated_model(t):
     train, test = halves(t)
     out = base_rate(train, test, "large").withColumn("model", F.lit("base_rate")).select("model", "probability", "label")
     for name, numeric in MODELS.items():
-        p = predict(fit_classifier(train, numeric, "large", CATEGORIES, iterations=100), test, numeric, "large", CATEGORIES)
+        p = predict(fit_classifier(train, numeric, "large", CATEGORIES, iterations=100, tol=1e-6), test, numeric, "large", CATEGORIES)
         out = out.unionByName(p.withColumn("model", F.lit(name)).select("model", "probability", "label"))
     return scores(out)
 

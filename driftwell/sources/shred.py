@@ -66,7 +66,7 @@ def shred_match_player(manifests: DataFrame) -> DataFrame:
     Teams are looked up in the manifest's own map, row by row: there is no join, and a manifest is read once.
     """
     one = manifests.select(F.col("data.id").alias("match_id"), team_map().alias("teams"), included("participant").alias("people"))
-    people = one.select("match_id", "teams", F.explode("people").alias("p"))
+    people = one.select("match_id", "teams", F.explode_outer("people").alias("p")).filter("p is not null")  # a plain explode would have its filter on the array parse JSON once more
     people = people.select("match_id", F.try_element_at("teams", F.col("p.id")).alias("team_id"), F.col("p.id").alias("participant_id"), "p.attributes.stats.*")
     names = {
         "playerId": "account_id", "name": "player_name", "winPlace": "win_place", "killPlace": "kill_place", "DBNOs": "dbnos", "damageDealt": "damage_dealt", "deathType": "death_type",
@@ -79,7 +79,7 @@ def shred_match_player(manifests: DataFrame) -> DataFrame:
 
 def shred_roster(manifests: DataFrame) -> DataFrame:
     """One row a team. 'won' arrives as text."""
-    rows = manifests.select(F.col("data.id").alias("match_id"), F.explode(included("roster")).alias("r"))
+    rows = manifests.select(F.col("data.id").alias("match_id"), F.explode_outer(included("roster")).alias("r")).filter("r is not null")
     return _shape(rows.select(
         "match_id", F.col("r.id").alias("roster_id"), F.col("r.attributes.stats.teamId").alias("team_id"), F.col("r.attributes.stats.rank").alias("team_rank"),
         F.coalesce(F.lower("r.attributes.won") == "true", F.lit(False)).alias("won"), size0(F.col("r.relationships.participants.data")).alias("participant_count"),
