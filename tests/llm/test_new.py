@@ -293,3 +293,39 @@ def test_queries_on_empty_tables(spark, tmp_path, name):
         pq.write_table(schema.empty_table(), tmp_path / f"{table}.parquet")
     rows = queries.QUERIES[name](spark, f"file://{tmp_path}").count()
     assert rows == (1 if name == "op9_chat" else 0)  # op9 adds a conversation of its own
+
+
+# ---- substrings: what goes is decided by bytes
+
+
+def settled_by_hand(texts, docs, length):
+    least = {}
+    for t, d in zip(texts, docs, strict=True):
+        for i in range(len(t) - length + 1):
+            least[t[i : i + length]] = min(d, least.get(t[i : i + length], d))
+    return {(d, k, i) for k, (t, d) in enumerate(zip(texts, docs, strict=True)) for i in range(len(t) - length + 1) if least[t[i : i + length]] < d}
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_intervals_decide_even_if_hashes_collide(monkeypatch, collide):
+    rng = random.Random(6)
+    letters = lambda n: bytes(rng.choice(b"abcdef") for _ in range(n))
+    if collide:  # every segment of a size has one hash
+        monkeypatch.setattr(suffixes, "_codes", lambda data, begin, stop, *more: (stop - begin).astype(np.uint64))
+    kinds = [letters(50 + rng.choice([0, 3, 3, 9])) for _ in range(12)]
+    texts = [rng.choice(kinds) for _ in range(30)]
+    docs = [rng.randrange(20) for _ in texts]
+    data, n = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) - 49 for t in texts])
+    held = [rng.randrange(30) for _ in range(8)]  # copies that are sent without their bytes
+    more = [rng.randrange(20) for _ in held]
+    copies = np.array([held, more, [30 + k for k in range(8)], [0] * 8])
+    out = suffixes._settled(data, np.zeros(30, np.int64), np.array(docs), np.arange(30), np.zeros(30, np.int64), n, copies, 50)
+    got = {(d, part, i) for d, part, start, stop in out.T.tolist() for i in range(start, stop - 49)}
+    assert got == settled_by_hand(texts + [texts[h] for h in held], docs + more, 50) and got
+
+
+def test_substrings_and_null_ids(spark):
+    shared = "a passage that three rows hold, of which one has no id at all, and so on and on"
+    rows = [(None, f"{shared} with another end"), (5, f"begins otherwise {shared}"), (9, f"{shared}!"), (None, shared)]
+    got = {(r.doc_id, r.n_bytes): (r.n_removed, r.n_spans) for r in suffixes.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, len(shared) + 17): (0, 0), (5, len(shared) + 17): (0, 0), (9, len(shared) + 1): (len(shared), 1), (None, len(shared)): (0, 0)}
