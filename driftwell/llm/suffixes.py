@@ -304,14 +304,24 @@ def _pack(data, offsets, ids, parts, buckets, found, single, base, length):
     for k in _by_bucket(np.flatnonzero(~later & ~single), bucket):
         text = data[_ragged(begin[k], (stop - begin)[k])]
         c, at[k] = follow.get(int(bucket[k[0]]), copies[:0]), np.arange(len(k))
-        refs = np.concatenate([at[lead[c]].astype("<i8").view(np.uint8), ids[of[c]].astype("<i8").view(np.uint8), place[c].astype("<i8").view(np.uint8), parts[of[c]].astype("<i8").view(np.uint8)])
-        head = np.concatenate([np.diff(ids[of[k]], prepend=0).astype("<i8").view(np.uint8), np.diff(place[k], prepend=0).astype("<i8").view(np.uint8), parts[of[k]].astype("<i8").view(np.uint8), n[k].astype(np.uint8)])
-        body = zstandard.compress(refs.tobytes() + head.tobytes() + text.tobytes(), 3)
+        c = c[np.lexsort((place[c], of[c]))]
+        refs = [_planes(x) for x in (at[lead[c]], np.diff(ids[of[c]], prepend=0), np.diff(place[c], prepend=0), np.diff(parts[of[c]], prepend=0))]
+        head = [_planes(x) for x in (np.diff(ids[of[k]], prepend=0), np.diff(place[k], prepend=0), np.diff(parts[of[k]], prepend=0))]
+        body = zstandard.compress(b"".join([*refs, *head, n[k].astype(np.uint8).tobytes(), text.tobytes()]), 3)
         marks = least[k].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 5:].tobytes()  # its three upper bytes; two minimizers under one mark cost time only
         out.append((int(bucket[k[0]]), b"S" + struct.pack("<qq", len(k), len(c)) + marks + body))
     return out
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, all lowest bytes first and so on: zeros stand together, and compress to next to nothing."""
+    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(raw: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").reshape(-1)
+
+
 def _same_bytes(data: np.ndarray, begin: np.ndarray, size: np.ndarray, lead: np.ndarray) -> np.ndarray:
     """Whether each stretch has the bytes of the one that leads it, which is as long. Compared byte by byte."""
     same, rows = np.ones(len(begin), bool), np.flatnonzero(lead != np.arange(len(begin)))
@@ -367,8 +377,8 @@ def _joined(doc: np.ndarray, part: np.ndarray, place: np.ndarray, length: int) -
 def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of a shard's segments in the order of their first ``length`` bytes (ends first), and their transform.
 
-    Suffixes are places in text; a segment's end is a place of its own. The transform has the byte before each, 0 for a
-    segment's first suffix. Bytes are raised by one, so that 0 marks ends.
+    Suffixes are places in text; a segment's end is a place of its own. The transform has the two bytes before each, the
+    nearer one as the lower; 0 where a segment begins. Bytes are raised by one, so that 0 marks ends.
     """
     n = len(begin)
     total = int((size + 1).sum())
@@ -376,67 +386,79 @@ def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, lengt
     line = np.zeros(total + length, np.uint8)  # UTF-8 has no byte 255
     where = _ragged(first, size)
     line[where] = text[_ragged(begin, size)] + np.uint8(1)
-    # Keys of 8 bytes at a time; ends are unlike each other, in the order of the segments.
+    # Keys of 8 bytes at a time, by doubling; what follows an end counts as 0. Ends are unlike each other, in the order of the segments.
     suffix = np.arange(total)
     rest = np.repeat(size, size + 1) - (suffix - np.repeat(first, size + 1))  # bytes before the end
     owner = np.repeat(np.arange(n), size + 1)
-    order = None
-    for at in range(0, length, 8):
-        key = np.zeros(total, np.uint64)
-        for k in range(min(8, length - at)):
-            key = (key << np.uint64(8)) | (line[suffix + (at + k)] * (rest > at + k)).astype(np.uint64)
-        if order is None:
-            order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            new = np.ones(total, bool)
-            new[1:] = sorted_key[1:] != sorted_key[:-1]
-        else:
-            tied = np.flatnonzero(~(new & np.append(new[1:], True)))  # the rest is already in place
-            if not len(tied):
-                break
-            block = np.cumsum(new)[tied]
-            sub = order[tied]
-            o = np.lexsort((key[sub], block))
-            sub, kb = sub[o], key[sub[o]]
-            order[tied] = sub
-            fresh = np.ones(len(tied), bool)
-            fresh[1:] = (block[1:] != block[:-1]) | (kb[1:] != kb[:-1])
-            new[tied] |= fresh
+    eight = line[:total].astype(np.uint64)
+    for width in (1, 2, 4):
+        after = np.zeros(total, np.uint64)
+        after[: total - width] = eight[width:] if total > width else 0
+        after[(eight & np.uint64(255)) == 0] = 0
+        eight = eight << np.uint64(8 * width) | after
+    order = np.argsort(eight if length >= 8 else eight >> np.uint64(8 * (8 - length)), kind="stable")
+    new = np.ones(total, bool)
+    new[1:] = eight[order][1:] != eight[order][:-1]
+    for at in range(8, length, 8):
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))  # the rest is already in place
+        if not len(tied):
+            break
+        block = np.cumsum(new)[tied]
+        sub = order[tied]
+        key = np.where(rest[sub] > at, eight[np.minimum(sub + at, total - 1)], np.uint64(0)) >> np.uint64(8 * max(0, at + 8 - length))
+        o = np.lexsort((key, block))
+        sub, key = sub[o], key[o]
+        order[tied] = sub
+        fresh = np.ones(len(tied), bool)
+        fresh[1:] = (block[1:] != block[:-1]) | (key[1:] != key[:-1])
+        new[tied] |= fresh
     ends = np.flatnonzero(rest == 0)
     is_end = rest[order] == 0
     order = np.concatenate([ends, order[~is_end]])
-    before = np.where(suffix == first[owner], np.uint8(0), line[np.maximum(suffix - 1, 0)])[order]
-    return order, before
+    inside = suffix - first[owner]
+    near, far = np.where(inside > 0, line[np.maximum(suffix - 1, 0)], 0), np.where(inside > 1, line[np.maximum(suffix - 2, 0)], 0)
+    return order, (near.astype(np.uint16) | far.astype(np.uint16) << np.uint16(8))[order]
 
 
 def merge(transforms: list[np.ndarray], ends: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Merge shard transforms: which shard each suffix of the merged order is from, and where blocks begin.
 
-    ends: numbers of segments in the shards. After pass h, suffixes are ordered by their first h bytes and blocks
-    hold those that share them; segments' ends are unlike each other, so they are blocks of their own.
+    ends: numbers of segments in the shards. A pass takes two bytes (for an odd length, the first takes one): after h
+    bytes, suffixes are ordered by their first h bytes and blocks hold those that share them; segments' ends are unlike
+    each other, so they are blocks of their own, as are their last bytes.
     """
     few = np.uint8 if len(transforms) < 256 else np.uint16  # small keys are counted, not compared, by a stable argsort
     shard = np.repeat(np.arange(len(transforms), dtype=few), [len(t) for t in transforms])
     joined = np.concatenate(transforms)
     n_ends = sum(ends)
     block = np.zeros(len(shard), np.int32)
-    char_at = joined  # the transforms' bytes in the merged order
+    pair_at = joined  # the transforms' bytes in the merged order
     end_shards = np.repeat(np.arange(len(ends), dtype=few), ends)
+    # A suffix of one byte has nothing two bytes after its beginning: it comes from the end, by that byte alone.
+    lasts = np.concatenate([t[:n] & np.uint16(255) for t, n in zip(transforms, ends, strict=True)]) << np.uint16(8)
+    alone = -1 - np.arange(n_ends, dtype=np.int32)
     new = np.ones(len(shard), bool)
-    for _ in range(length):
-        # Suffixes that begin segments (byte 0) lead to ends, whose order is fixed.
-        order = np.argsort(char_at, kind="stable")[n_ends:]
-        char, old = char_at[order], block[order]
-        shard[n_ends:] = shard[order]
+    done = 0
+    while done < length:
+        if (length - done) % 2:  # suffixes that begin segments (byte 0) lead to ends, whose order is fixed
+            char_at = pair_at & np.uint16(255)
+            order = np.argsort(char_at, kind="stable")[n_ends:]
+            char, old, come = char_at[order], block[order], shard[order]
+        else:  # the first two suffixes of a segment lead to none
+            char_at = np.concatenate([lasts, pair_at])
+            order = np.argsort(char_at, kind="stable")[2 * n_ends :]
+            char, old, come = char_at[order], np.concatenate([alone, block])[order], np.concatenate([end_shards, shard])[order]
+        done += 2 - (length - done) % 2
+        shard[n_ends:] = come
         shard[:n_ends] = end_shards
         new[n_ends + 1 :] = (char[1:] != char[:-1]) | (old[1:] != old[:-1])
         block = np.cumsum(new, dtype=np.int32)
-        char_at = np.empty_like(joined)
+        pair_at = np.empty_like(joined)
         if len(transforms) <= 6:
             for k, own in enumerate(transforms):
-                char_at[shard == k] = own
+                pair_at[shard == k] = own
         else:
-            char_at[np.argsort(shard, kind="stable")] = joined
+            pair_at[np.argsort(shard, kind="stable")] = joined
     return shard, new
 
 
@@ -546,12 +568,11 @@ def _bucket(length: int):
             n, c = struct.unpack("<qq", raw[1:17])
             marks.append(np.frombuffer(raw, np.uint8, 3 * n, 17).reshape(-1, 3) @ np.array([1, 1 << 8, 1 << 16]))
             body = np.frombuffer(zstandard.decompress(raw[17 + 3 * n :]), np.uint8)
-            ref, copy_doc, copy_place, copy_part = body[: 32 * c].view("<i8").reshape(4, -1)
-            refs.append(np.stack([ref + at, copy_doc, copy_part, copy_place]))
+            ref, copy_doc, copy_place, copy_part = (_from_planes(body[8 * c * j : 8 * c * (j + 1)]) for j in range(4))
+            refs.append(np.stack([ref + at, np.cumsum(copy_doc), np.cumsum(copy_part), np.cumsum(copy_place)]))
             body, at = body[32 * c :], at + n
-            docs.append(np.cumsum(body[: 8 * n].view("<i8")))
-            places.append(np.cumsum(body[8 * n : 16 * n].view("<i8")))
-            rows.append(body[16 * n : 24 * n].view("<i8"))
+            for column, j in ((docs, 0), (places, 1), (rows, 2)):
+                column.append(np.cumsum(_from_planes(body[8 * n * j : 8 * n * (j + 1)])))
             strings.append(body[24 * n : 25 * n].astype(np.int64))
             texts.append(body[25 * n :])
         parts = list(gone)
