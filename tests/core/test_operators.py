@@ -197,3 +197,17 @@ def test_upserts_replay(spark, tmp_path):
     shape = frame([]).schema
     assert sorted(map(tuple, streams.read_upserted(spark, root, shape).collect())) == [(1, "a"), (2, "c"), (3, "d")]
     assert streams.fold_upserted(spark, root, shape) == 0
+
+
+def test_distinct_actors_survive_a_restart(spark, tmp_path):
+    from driftwell.streaming import streams
+
+    rows = spark.range(0, 600).select((F.col("id") * 17 % 13).alias("who"), (F.col("id") % 2).alias("kind"), F.timestamp_seconds((F.col("id") * 600).cast("double") + 1_704_067_200).alias("ts")).withColumn("who", F.when(F.col("who") > 0, F.col("who")))
+    source, out, mark = (f"file://{tmp_path}/{x}" for x in ("in", "out", "mark"))
+    for low, high in ((0, 250), (250, 420), (420, 600)):  # each run ends in the middle of a window and goes on from its checkpoint
+        rows.filter(F.unix_seconds("ts").between(1_704_067_200 + low * 600, 1_704_067_200 + high * 600 - 1)).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, rows.schema, max_files=2)
+        streams.drain(streams.shred_stream(streams.pulse(stream, "ts", "1 day", "2 hours", ["kind"], actor="who"), lambda df: df, out, mark))
+    got = sorted(map(tuple, spark.read.parquet(out).collect()))
+    want = sorted(map(tuple, streams.pulse(rows, "ts", "1 day", "2 hours", ["kind"], actor="who").filter("unix_seconds(window_start) + 86400 <= 1704067200 + 599 * 600 - 7200").collect()))
+    assert got == want and len(got) == 8 and {r[3] for r in got} == {12}
