@@ -41,6 +41,8 @@ BLOCK, PACKED = 8 << 20, 3 << 20
 HOT_BYTES = BUCKET_BYTES // 4
 #: Bytes of segments in a bucket that are merged at a time.
 MERGED = 1 << 20
+#: Bytes after which segments that share nothing leave a merge.
+EARLY = 16
 #: Rows of a block are numbered below this, blocks of a partition below its square.
 ROWS = 1 << 11
 
@@ -375,7 +377,7 @@ def _joined(doc: np.ndarray, part: np.ndarray, place: np.ndarray, length: int) -
 
 
 def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of a shard's segments in the order of their first ``length`` bytes (ends first), and their transform.
+    """Suffixes of a shard's segments in the order of their first ``length`` bytes or more (ends first), and their transform.
 
     Suffixes are places in text; a segment's end is a place of its own. The transform has the two bytes before each, the
     nearer one as the lower; 0 where a segment begins. Bytes are raised by one, so that 0 marks ends.
@@ -386,7 +388,7 @@ def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, lengt
     line = np.zeros(total + length, np.uint8)  # UTF-8 has no byte 255
     where = _ragged(first, size)
     line[where] = text[_ragged(begin, size)] + np.uint8(1)
-    # Keys of 8 bytes at a time, by doubling; what follows an end counts as 0. Ends are unlike each other, in the order of the segments.
+    # Keys of 8 bytes by doubling; what follows an end counts as 0. Then ranks by 8 bytes give those by 16, 32 and 64.
     suffix = np.arange(total)
     rest = np.repeat(size, size + 1) - (suffix - np.repeat(first, size + 1))  # bytes before the end
     owner = np.repeat(np.arange(n), size + 1)
@@ -396,22 +398,26 @@ def shard_transform(text: np.ndarray, begin: np.ndarray, size: np.ndarray, lengt
         after[: total - width] = eight[width:] if total > width else 0
         after[(eight & np.uint64(255)) == 0] = 0
         eight = eight << np.uint64(8 * width) | after
-    order = np.argsort(eight if length >= 8 else eight >> np.uint64(8 * (8 - length)), kind="stable")
+    order = np.argsort(eight, kind="stable")
+    eight = eight[order]
     new = np.ones(total, bool)
-    new[1:] = eight[order][1:] != eight[order][:-1]
-    for at in range(8, length, 8):
+    new[1:] = eight[1:] != eight[:-1]
+    known = 8
+    while known < length:
         tied = np.flatnonzero(~(new & np.append(new[1:], True)))  # the rest is already in place
         if not len(tied):
             break
-        block = np.cumsum(new)[tied]
+        block = np.cumsum(new)
+        rank = np.empty(total, np.int64)
+        rank[order] = block
         sub = order[tied]
-        key = np.where(rest[sub] > at, eight[np.minimum(sub + at, total - 1)], np.uint64(0)) >> np.uint64(8 * max(0, at + 8 - length))
-        o = np.lexsort((key, block))
-        sub, key = sub[o], key[o]
-        order[tied] = sub
+        key = block[tied] * (total + 1) + np.where(rest[sub] > known, rank[np.minimum(sub + known, total - 1)], 0)
+        o = np.argsort(key, kind="stable")
+        order[tied], key = sub[o], key[o]
         fresh = np.ones(len(tied), bool)
-        fresh[1:] = (block[1:] != block[:-1]) | (key[1:] != key[:-1])
+        fresh[1:] = key[1:] != key[:-1]
         new[tied] |= fresh
+        known *= 2
     ends = np.flatnonzero(rest == 0)
     is_end = rest[order] == 0
     order = np.concatenate([ends, order[~is_end]])
@@ -462,10 +468,10 @@ def merge(transforms: list[np.ndarray], ends: list[int], length: int) -> tuple[n
     return shard, new
 
 
-def _owners(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """For each suffix of each segment (and its end), segment after segment: the least doc that holds its first bytes."""
-    total = size + 1
-    line = np.cumsum(total) - total
+def _merged(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The merged order of all suffixes of segments (places, segment after segment, each with its end), and where the
+    intervals of equal first ``length`` bytes begin in it."""
+    line = np.cumsum(size + 1) - (size + 1)
     orders, transforms, ends = [], [], []
     for at in range(0, len(begin), SHARD):
         own = slice(at, at + SHARD)
@@ -474,17 +480,28 @@ def _owners(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarr
         transforms.append(before)
         ends.append(len(begin[own]))
     shard, new = merge(transforms, ends, length)
-    sa_sorted = np.empty(len(shard), np.int64)
-    place = np.argsort(shard, kind="stable")
-    sa_sorted[place] = np.concatenate(orders)
-    holder = np.repeat(doc, total)
+    merged = np.empty(len(shard), np.int64)
+    merged[np.argsort(shard, kind="stable")] = np.concatenate(orders)
+    return merged, new
+
+
+def _owners(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """For each suffix of each segment (and its end), segment after segment: the least doc that holds its first bytes."""
+    merged, new = _merged(text, begin, size, length)
     edges = np.flatnonzero(new)
-    least = np.minimum.reduceat(holder[sa_sorted], edges)
-    out = np.empty(len(shard), doc.dtype)
-    out[sa_sorted] = np.repeat(least, np.diff(np.append(edges, len(shard))))
+    least = np.minimum.reduceat(np.repeat(doc, size + 1)[merged], edges)
+    out = np.empty(len(merged), doc.dtype)
+    out[merged] = np.repeat(least, np.diff(np.append(edges, len(merged))))
     return out
 
 
+def _sharing(text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Whether any suffix of each segment stands in an interval with others after ``length`` bytes."""
+    merged, new = _merged(text, begin, size, length)
+    several = ~(new & np.append(new[1:], True))
+    return np.bincount(np.repeat(np.arange(len(begin)), size + 1)[merged[several]], minlength=len(begin)) > 0
+
+
 def _meeting(text: np.ndarray, begin: np.ndarray, size: np.ndarray, mark: np.ndarray, length: int, seed: int = SEED) -> np.ndarray:
     """The different segments that may share a string with another one.
 
@@ -531,7 +548,9 @@ def _settled(text: np.ndarray, mark: np.ndarray, doc: np.ndarray, part: np.ndarr
     copies: segment, doc_id, part, place of more segments with the bytes of one that is there.
 
     Copies of a segment are one string with the least of their documents; every kind of segment that has copies, or may
-    share a string with another one, goes into the shards. So what goes is always decided by an interval of the merge.
+    share a string with another one, goes into shards. So what goes is always decided by an interval of a merge. Kinds that
+    have copies only are merged by themselves first: a segment whose suffixes all have intervals of their own after EARLY
+    bytes has them after ``length`` too, and owns its strings; the others join the rest.
     """
     size = n + length - 1
     begin = np.cumsum(size) - size
@@ -540,7 +559,10 @@ def _settled(text: np.ndarray, mark: np.ndarray, doc: np.ndarray, part: np.ndarr
     back, doc, part, place = back[of], np.concatenate([doc, copies[1]]), np.concatenate([part, copies[2]]), np.concatenate([place, copies[3]])
     holder = np.full(len(lead), np.iinfo(np.int64).max)
     np.minimum.at(holder, back, doc)
-    met = np.union1d(_meeting(text, begin[lead], size[lead], mark[lead], length), np.flatnonzero(np.bincount(back, minlength=len(lead)) > 1))
+    met = _meeting(text, begin[lead], size[lead], mark[lead], length)
+    copied = np.setdiff1d(np.flatnonzero(np.bincount(back, minlength=len(lead)) > 1), met)
+    if len(copied):
+        met = np.union1d(met, copied[_sharing(text, begin[lead][copied], size[lead][copied], min(EARLY, length))])
     first = np.cumsum(n[lead]) - n[lead]
     owner = np.repeat(holder, n[lead])  # of each string; its only document, where a segment has no copy and meets no other
     if len(met):
