@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bucket, classify, foreign_key, is_bot, lookup, region_of, seconds_between, shrink_rate, size0, surrogate_key
 from ..operators.joins import mirror_pairs
-from ..operators.windows import over
+from ..operators.windows import over, spread
 from .catalog import query
 from .marts import matchup
 
@@ -24,7 +24,7 @@ union all select l_orderkey, l_linenumber, 'supplier', l_suppkey, count(*) from
 union all select l_orderkey, l_linenumber, 'customer', o_custkey, count(*) from lineitem join orders on o_orderkey = l_orderkey group by all""")
 def bridge_fanout(t):
     """A row for each actor that is there, by role, from one pass over the joined rows."""
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "left")
+    rows = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), t.lineitem.count(), "l_orderkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "left")
     actor = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("actor"))
     actors = F.array(actor("part", F.col("l_partkey")), actor("supplier", F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey"))), actor("customer", F.col("o_custkey")))
     rows = rows.withColumn("a", F.explode(F.filter(actors, lambda x: x["actor"].isNotNull())))

@@ -166,3 +166,15 @@ def test_gradient_is_zero_only_at_the_best_weights(spark):
     df = spark.range(400).select((F.col("id") % 17).cast("double").alias("x"), F.when(F.col("id") % 5 > 0, (F.col("id") * 31 % 23).cast("double")).alias("z"), ((F.col("id") * 13 % 29) > F.col("id") % 17).alias("y"))
     best, early = (models.fit_classifier(df, ["x", "z"], "y", iterations=n) for n in (500, 1))
     assert models.largest_gradient(best, df, ["x", "z"], "y").first().largest < 1e-6 < 1e-4 < models.largest_gradient(early, df, ["x", "z"], "y").first().largest
+
+
+def test_tasks_stay_bounded(spark, monkeypatch):
+    from driftwell.operators import windows
+
+    monkeypatch.setattr(windows, "TASK_ROWS", 100)
+    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
+    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
+    places = windows.numbered(df.select("o"), ["o"], "place")
+    assert places.filter("place = o").count() == 3_000
