@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import metres, seconds_between
-from ..operators.windows import competition_rank, dedup_first, duration_to_next, group_share, latest, leave_one_out_mean, others_in_group, over, prior_window, scaled_rank, sequence, step_distance, top_k
+from ..operators.windows import competition_rank, dedup_first, duration_to_next, group_share, latest, leave_one_out_mean, others_in_group, over, prior_window, scaled_rank, sequence, spread, step_distance, top_k
 from .catalog import query
 
 LINE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -189,5 +189,5 @@ def unit_scaling(t):
 
 @query("observed_team_size", "select l_orderkey, l_suppkey, count(*) as lines, max(n) as team_size from (select *, count(*) over (partition by l_orderkey) as n from lineitem) group by 1, 2")
 def observed_team_size(t):
-    rows = t.lineitem.select("l_orderkey", "l_suppkey").withColumn("n", F.count(F.lit(1)).over(over(["l_orderkey"])))
+    rows = spread(t.lineitem.select("l_orderkey", "l_suppkey"), t.lineitem.count(), "l_orderkey").withColumn("n", F.count(F.lit(1)).over(over(["l_orderkey"])))
     return rows.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("lines"), F.max("n").alias("team_size"))
