@@ -9,7 +9,7 @@ from ..operators import evaluate as ev
 from ..operators.models import base_rate, fit_classifier, largest_gradient, predict, temporal_split
 from ..operators.quality import window_mismatch
 from ..operators.ratings import chain_breaks, rating_history
-from ..operators.windows import ordered_cut, prior_window
+from ..operators.windows import ordered_cut, prior_window, spread
 from ..sources.staging import stage
 from .catalog import query
 
@@ -76,8 +76,8 @@ with o as (select o_orderkey, row_number() over (order by o_orderdate, o_orderke
 select l_orderkey, n <= cast(floor(total * 0.75::double) as bigint) as is_train, count(*) as lines from lineitem join o on o_orderkey = l_orderkey group by 1, 2""")
 def split(t):
     """The first three quarters of orders by date, with all of their lines."""
-    lines = t.lineitem.select("l_orderkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
-    head, tail = ordered_cut(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey", ["o_orderdate"], 0.75)
+    lines, orders = spread(t.lineitem.select("l_orderkey"), t.lineitem.count(), "l_orderkey"), t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    head, tail = ordered_cut(spread(orders, t.orders.count(), "l_orderkey"), "l_orderkey", ["o_orderdate"], 0.75)
     both = head.select("l_orderkey", F.lit(True).alias("is_train")).unionByName(tail.select("l_orderkey", F.lit(False).alias("is_train")))
     return lines.join(both, "l_orderkey").groupBy("l_orderkey", "is_train").agg(F.count(F.lit(1)).alias("lines"))
 
