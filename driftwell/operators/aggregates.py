@@ -33,15 +33,18 @@ def quantiles(value: str, probabilities: Sequence[float], exact: bool = True):
 
 #: Rows of a group whose values a task may hold; pieces that a larger group's values are cut into, time and again.
 HOT_ROWS, PIECES = 1_000_000, 256
+#: Accuracy of approximate quantiles (their ranks are off by a row in so many), and how far from a rank the first two are taken.
+ACCURACY, MARGIN = 10_000, 1.5 / 10_000
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], hot_rows: int = HOT_ROWS) -> DataFrame:
     """by, n, q: each group's interpolated quantiles, equal to percentile(), with no group's values in one task.
 
-    Groups are counted first. Up to ``hot_rows`` values, percentile() takes them. A larger group's values are cut into
-    pieces at approximate quantiles and the pieces are counted exactly; the ranks that are asked for lie in one or two of
-    them, whose values are cut again until few are left, or all are equal. The approximation only decides how fast that
-    goes. Null values aren't counted; groups may have null keys. A group without values has no row.
+    Groups are counted first. Up to ``hot_rows`` values, percentile() takes them. A larger group's values are written once,
+    and two approximate quantiles close to each rank are taken; what lies below and between them is counted exactly. What
+    lies between, some 5 of 10,000 values, is cut into pieces, of which one or two hold the rank, until few are left, or
+    all are equal; so are all values, should a rank not lie between. The approximation only decides how fast that goes.
+    Null values aren't counted; groups may have null keys. A group without values has no row.
     """
     g = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
     rows = df.select(g.alias("g"), F.col(value).cast("double").alias("v")).filter("v is not null")
@@ -51,8 +54,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities:
     if hot.isEmpty():
         out = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", ps).alias("q"))
     else:
-        calm = rows.join(hot, "g", "left_anti").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", ps).alias("q"))
-        out = calm.unionByName(_selected(rows, hot, ps, hot_rows))
+        out = _selected(stage(rows.join(hot.select("g"), "g")), hot, ps, hot_rows)
+        if not counts.filter(F.col("n") <= hot_rows).isEmpty():
+            out = out.unionByName(rows.join(hot, "g", "left_anti").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile("v", ps).alias("q")))
     return out.select(*(F.col(f"g.{c}").alias(c) for c in by), "n", "q")
 
 
@@ -61,11 +65,11 @@ def _selected(rows: DataFrame, hot: DataFrame, ps: Sequence[float], hot_rows: in
     wanted = F.array(*(F.struct(F.lit(j).alias("j"), F.lit(p).alias("p")) for j, p in enumerate(ps)))
     goals = hot.withColumn("w", F.explode(wanted)).select("g", "n", "w.j", (F.col("w.p") * (F.col("n") - 1)).alias("at"))
     goals = goals.withColumns({"low": F.floor("at"), "high": F.ceil("at"), "below": F.lit(0).cast("long"), "inside": F.col("n"), "least": F.lit(None).cast("double"), "most": F.lit(None).cast("double")})
-    goals, inside = stage(goals), rows.join(goals.select("g", "j"), "g")
+    goals, inside = _aimed(rows, goals, ps)
     grid = [k / PIECES for k in range(1, PIECES)]
     while not (open_ := goals.filter((F.col("inside") > hot_rows) & ~F.col("least").eqNullSafe(F.col("most")) | F.col("least").isNull())).isEmpty():
         again = inside.join(open_.select("g", "j"), ["g", "j"], "left_semi")
-        cuts = stage(again.groupBy("g", "j").agg(F.percentile_approx("v", grid, 10_000).alias("cuts")))
+        cuts = stage(again.groupBy("g", "j").agg(F.array_distinct(F.percentile_approx("v", grid, ACCURACY)).alias("cuts")))
         placed = again.join(cuts, ["g", "j"]).withColumn("piece", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
         pieces = placed.groupBy("g", "j", "piece").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("first"), F.max("v").alias("last"))
         before = Window.partitionBy("g", "j").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,6 +90,29 @@ def _selected(rows: DataFrame, hot: DataFrame, ps: Sequence[float], hot_rows: in
     return rows.groupBy("g").agg(F.max("n").alias("n"), F.transform(F.sort_array(F.collect_list(F.struct("j", "q"))), lambda x: x["q"]).alias("q"))
 
 
+def _aimed(rows: DataFrame, goals: DataFrame, ps: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """Goals with the values that surely hold their ranks, and these values: g, v, j.
+
+    Two passes: one takes approximate quantiles on both sides of each rank, one counts below and between them. Rows aren't
+    repeated a goal, nor compared with more than these.
+    """
+    around = [min(max(p + d, 0.0), 1.0) for p in ps for d in (-MARGIN, MARGIN)]
+    aims = stage(rows.groupBy("g").agg(F.percentile_approx("v", around, ACCURACY).alias("c")))
+    sides = [(F.col("c")[2 * j], F.col("c")[2 * j + 1]) for j in range(len(ps))]
+    aimed = rows.join(aims, "g")
+    counts = aimed.groupBy("g").agg(*(F.count_if(F.col("v") < low).alias(f"b{j}") for j, (low, _) in enumerate(sides)), *(F.count_if(F.col("v").between(low, high)).alias(f"i{j}") for j, (low, high) in enumerate(sides)))
+    each = F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"b{j}").alias("below"), F.col(f"i{j}").alias("inside"), low.alias("least"), high.alias("most")) for j, (low, high) in enumerate(sides)))
+    cut = counts.join(aims, "g").select("g", F.explode(each).alias("e")).select("g", "e.*")
+    kept = ["g", "n", "j", "at", "low", "high"]
+    held = goals.select(*kept).join(cut, ["g", "j"]).filter((F.col("below") <= F.col("low")) & (F.col("below") + F.col("inside") > F.col("high")))
+    goals = stage(goals.join(held.select("g", "j"), ["g", "j"], "left_anti").unionByName(held.select(*goals.columns)))
+    near = [F.when(F.col("v").between(low, high), F.lit(j)) for j, (low, high) in enumerate(sides)]
+    inside = aimed.filter(F.coalesce(*near).isNotNull()).select("g", "v", F.explode(F.array_compact(F.array(*near))).alias("j"))
+    inside = inside.join(goals.filter(F.col("least").isNotNull() & (F.col("least") < F.col("most"))).select("g", "j"), ["g", "j"], "left_semi").select("g", "v", "j")
+    missed = goals.filter("least is null").select("g", "j")
+    return goals, stage(inside if missed.isEmpty() else inside.unionByName(rows.join(missed, "g").select("g", "v", "j")))
+
+
 def with_distincts(df: DataFrame, by: Sequence[str], aggs: Sequence, distincts: dict[str, str]) -> DataFrame:
     """Aggregates with counts of distinct values (output name: column).
 

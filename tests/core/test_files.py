@@ -178,3 +178,26 @@ def test_tasks_stay_bounded(spark, monkeypatch):
     assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
     places = windows.numbered(df.select("o"), ["o"], "place")
     assert places.filter("place = o").count() == 3_000
+
+
+def test_tasks_stay_bounded(spark, monkeypatch):
+    from driftwell.operators import windows
+
+    monkeypatch.setattr(windows, "TASK_ROWS", 100)
+    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
+    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
+    places = windows.numbered(df.select("o"), ["o"], "place")
+    assert places.filter("place = o").count() == 3_000
+
+
+def test_hot_values_are_not_repeated_for_each_rank(spark, monkeypatch):
+    df, placed, ps = spark.range(0, 60_000, 1, 4).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 60_013).cast("double").alias("v")), [], [0.1, 0.5, 0.99]
+    real = aggregates.stage
+    monkeypatch.setattr(aggregates, "stage", lambda d: (lambda out: placed.append(out.count() if out.columns == ["g", "v", "j"] else 0) or out)(real(d)))
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", ps).alias("q")).collect()}
+    got = {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()}
+    assert got == want and 0 < max(placed) <= 60_000 * len(ps) * 6 // 10_000
+    monkeypatch.setattr(aggregates, "MARGIN", -0.01)  # ranks lie outside: all values are cut
+    assert {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()} == want
