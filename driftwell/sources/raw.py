@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+import re
 import uuid
 import zlib
 from collections.abc import Sequence
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import EVENT, MANIFEST
+from .staging import stage, store
 
 CORRUPT = "_corrupt"
 
@@ -35,8 +38,80 @@ def read_telemetry(spark: SparkSession, root: str) -> DataFrame:
 def write_files(rows: DataFrame, root: str, name: str = "name", body: str = "body", by: Sequence[str] = (), suffix: str = ".json", compression: str = "none") -> None:
     """A file for each row: root/<by>=.../<name><suffix>, holding the row's text or bytes as they are (and a line's end).
 
-    Tasks write the files, each to a folder of its own; once all are there, each gets its name, one rename a file.
+    Tasks write the files to a hidden folder; once all are there, tasks give each its name. The driver sees none of them,
+    but where Arrow doesn't know the store or the compression: there Spark writes, and the driver renames file by file.
     """
+    fs, at = store(rows.sparkSession, root)
+    uri = fs.makeQualified(at).toUri()
+    place = f"file://{uri.getPath()}" if uri.getScheme() == "file" else uri.toString()
+    if compression in ("none", "gzip") and _arrow_store(place):
+        _write_by_tasks(rows, place, name, body, by, suffix, compression)
+    else:
+        _write_and_rename(rows, root, name, body, by, suffix, compression)
+
+
+def _arrow_store(uri: str) -> bool:
+    from pyarrow import ArrowException
+    from pyarrow.fs import FileSystem
+
+    try:
+        return bool(FileSystem.from_uri(uri))
+    except (ArrowException, OSError):
+        return False
+
+
+def _folder_name(value: str | None) -> str:
+    """A value as Spark spells it in a folder's name."""
+    return re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__"
+
+
+def _write_by_tasks(rows: DataFrame, place: str, name: str, body: str, by: Sequence[str], suffix: str, compression: str) -> None:
+    import pyarrow as pa
+    from pyarrow.fs import FileSystem, FileType
+
+    by, hidden = list(by), f"_writing-{uuid.uuid4().hex}"
+
+    def write(batches):
+        store, root = FileSystem.from_uri(place)
+        store.create_dir(f"{root}/{hidden}")
+        for batch in batches:
+            *folders, names, bodies = (batch.column(k) for k in range(batch.num_columns))
+            sources, targets = [], []
+            for k in range(batch.num_rows):
+                text = (bodies[k].as_py() or b"") + b"\n"
+                sources.append(f"{hidden}/{uuid.uuid4().hex}")
+                with store.open_output_stream(f"{root}/{sources[-1]}", compression=None) as f:
+                    f.write(gzip.compress(text, 6, mtime=0) if compression == "gzip" else text)
+                parts = [f"{c}={_folder_name(v[k].as_py())}" for c, v in zip(by, folders)]
+                targets.append("/".join([*parts, _folder_name(names[k].as_py()) + suffix]))
+            yield pa.RecordBatch.from_arrays([pa.array(sources, pa.string()), pa.array(targets, pa.string())], names=["source", "target"])
+
+    def give_names(batches):
+        store, root = FileSystem.from_uri(place)
+        made = set()
+        for batch in batches:
+            for source, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder = target.rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(f"{root}/{folder}")
+                    made.add(folder)
+                old, new = (x.type != FileType.NotFound for x in store.get_file_info([f"{root}/{source}", f"{root}/{target}"]))
+                if old and new:
+                    raise FileExistsError(target)
+                if old or not new:  # else an earlier attempt of this task has done it
+                    store.move(f"{root}/{source}", f"{root}/{target}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    spark = rows.sparkSession
+    parts = rows.select(*(F.col(c).cast("string") for c in by), F.col(name).cast("string"), F.col(body).cast("binary"))
+    written = stage(parts.mapInArrow(write, "source string, target string"))
+    tasks = 4 * spark.sparkContext.defaultParallelism  # rows of one target meet in a task
+    written.repartition(tasks, "target").mapInArrow(give_names, "n bigint").agg(F.sum("n")).collect()
+    fs, at = store(spark, f"{place}/{hidden}")
+    fs.delete(at, True)
+
+
+def _write_and_rename(rows: DataFrame, root: str, name: str, body: str, by: Sequence[str], suffix: str, compression: str) -> None:
     spark = rows.sparkSession
     hidden = f"{root}/_writing-{uuid.uuid4().hex}"
     parts = rows.select(*by, F.col(name).alias("_name"), F.col(body).cast("string").alias("value"))
