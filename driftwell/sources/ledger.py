@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import numbered
+from ..operators.windows import numbered, sequence
 from .raw import CORRUPT, event_counts, file_key, list_files, read_telemetry
-from .staging import stage
+from .staging import stage, store
 from .tables import publish, versions, write_table
 
+#: Files that are listed, read and shredded by the same jobs.
+WAVE = 20_000
+
 LEDGER = "path string, match_id string, n_events bigint, adopted boolean, part int"
 
 
@@ -40,27 +43,45 @@ def ingest(
 ) -> int:
     """Take in what is pending, oldest first, in parts of ``matches`` files at most; how many files were taken in.
 
-    A part's rows and its ledger rows become visible together, by one rename; a run that dies leaves none of the part it
-    was at, and the next run takes it in again. Files that can't be parsed stay pending and stop nothing. Each output has
-    a ledger of its own, so that one can be redone without the others. known: match_id of what was asked for; files of
-    other matches are taken in too, and marked as adopted.
+    A part's rows and its ledger rows become visible together, by one rename. The parts of up to ``WAVE`` files are
+    written by the same jobs, so that jobs don't grow with the number of parts; a run that dies leaves none of the parts
+    that it hadn't named yet, and the next run takes them in again. Files that can't be parsed stay pending and stop
+    nothing. Files of one match (by name) are taken in one after another. Each output has a ledger of its own, so that one
+    can be redone without the others. shred: its rows keep match_id. known: match_id of what was asked for; files of other
+    matches are taken in too, and marked as adopted.
     """
-    todo = stage(pending(spark, root, out, glob))
-    count = todo.count() if limit is None else min(limit, todo.count())
-    taken = 0
-    for first in range(0, count, matches):
-        chunk = todo.filter(F.col("place").between(first, min(first + matches, count) - 1))
-        paths = [r.path for r in chunk.select("path").collect()]  # ``matches`` at most
-        events = read(spark, paths)
-        counts = stage(event_counts(events).filter("n_events >= 0"))
-        done = chunk.join(counts, "match_id")
-        adopted = F.lit(False)
-        if known is not None:
-            done, adopted = done.join(known.select("match_id", F.lit(True).alias("_known")).distinct(), "match_id", "left"), F.col("_known").isNull()
-        part = max(versions(spark, out, "part"), default=-1) + 1
-        hidden = f"{out}/_writing-{uuid.uuid4().hex}"
-        write_table(shred(events.filter(F.col(CORRUPT).isNull()).join(counts.select("match_id"), "match_id", "left_semi")), f"{hidden}/rows")
-        write_table(done.select("path", "match_id", "n_events", adopted.alias("adopted"), F.lit(part).alias("part")), f"{hidden}/files")
-        publish(spark, hidden, f"{out}/part={part}")
-        taken += counts.count()
+    todo = pending(spark, root, out, glob)
+    todo = stage(sequence(todo if limit is None else todo.filter(F.col("place") < limit), ["match_id"], ["place"], "nth"))
+    known = known if known is None else stage(known.select("match_id").distinct())
+    wave, taken = max(1, WAVE // matches) * matches, 0
+    for nth, first, last in todo.groupBy("nth").agg(F.min("place"), F.max("place")).orderBy("nth").collect():  # one row, but for matches with several files
+        for start in range(first, last + 1, wave):
+            chunk = todo.filter((F.col("nth") == nth) & F.col("place").between(start, start + wave - 1))
+            paths = [r.path for r in chunk.select("path").collect()]  # ``WAVE``, or ``matches``, at most
+            if paths:
+                part = F.floor((F.col("place") - start) / matches).cast("int")
+                taken += _take(spark, out, shred, known, chunk.withColumn("part", part), read(spark, paths))
     return taken
+
+
+def _take(spark: SparkSession, out: str, shred: Callable, known: DataFrame | None, chunk: DataFrame, events: DataFrame) -> int:
+    """Write chunk's files (path, match_id, part from 0) as the next parts; how many could be parsed."""
+    done, adopted = chunk.join(event_counts(events).filter("n_events >= 0"), "match_id"), F.lit(False)
+    if known is not None:
+        done, adopted = done.join(known.withColumn("_known", F.lit(True)), "match_id", "left"), F.col("_known").isNull()
+    base = max(versions(spark, out, "part"), default=-1) + 1
+    done = stage(done.select("path", "match_id", "n_events", adopted.alias("adopted"), (F.col("part") + base).alias("part")))
+    good = done.select("match_id", F.col("part").alias("_part"))
+    rows = shred(events.filter(F.col(CORRUPT).isNull()))
+    hidden = f"{out}/_writing-{uuid.uuid4().hex}"
+    for name, df in (("rows", rows.join(good, "match_id").select(*rows.columns, "_part")), ("files", done.withColumn("_part", F.col("part")))):
+        write_table(df.repartition("_part"), f"{hidden}/{name}", partition_by=["_part"])
+    for part, _ in (counts := done.groupBy("part").count().orderBy("part").collect()):
+        for name in ("rows", "files"):
+            fs, made = store(spark, f"{hidden}/{name}/_part={part}")
+            fs.mkdirs(made)  # a part without rows has none
+            publish(spark, f"{hidden}/{name}/_part={part}", f"{hidden}/part={part}/{name}")
+        publish(spark, f"{hidden}/part={part}", f"{out}/part={part}")
+    fs, left = store(spark, hidden)
+    fs.delete(left, True)
+    return sum(n for _, n in counts)
