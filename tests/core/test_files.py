@@ -168,62 +168,27 @@ def test_gradient_is_zero_only_at_the_best_weights(spark):
     assert models.largest_gradient(best, df, ["x", "z"], "y").first().largest < 1e-6 < 1e-4 < models.largest_gradient(early, df, ["x", "z"], "y").first().largest
 
 
-def test_tasks_stay_bounded(spark, monkeypatch):
-    from driftwell.operators import windows
-
-    monkeypatch.setattr(windows, "TASK_ROWS", 100)
-    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
-    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
-    places = windows.numbered(df.select("o"), ["o"], "place")
-    assert places.filter("place = o").count() == 3_000
-
-
-def test_tasks_stay_bounded(spark, monkeypatch):
-    from driftwell.operators import windows
-
-    monkeypatch.setattr(windows, "TASK_ROWS", 100)
-    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
-    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
-    places = windows.numbered(df.select("o"), ["o"], "place")
-    assert places.filter("place = o").count() == 3_000
-
-
-def test_hot_values_are_not_repeated_for_each_rank(spark, monkeypatch):
-    df, placed, ps = spark.range(0, 60_000, 1, 4).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 60_013).cast("double").alias("v")), [], [0.1, 0.5, 0.99]
-    real = aggregates.stage
-    monkeypatch.setattr(aggregates, "stage", lambda d: (lambda out: placed.append(out.count() if out.columns == ["g", "v", "j"] else 0) or out)(real(d)))
-    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", ps).alias("q")).collect()}
-    got = {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()}
-    assert got == want and 0 < max(placed) <= 60_000 * len(ps) * 6 // 10_000
-    monkeypatch.setattr(aggregates, "MARGIN", -0.01)  # ranks lie outside: all values are cut
-    assert {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()} == want
-
-
-def test_tasks_stay_bounded(spark, monkeypatch):
-    from driftwell.operators import windows
-
-    monkeypatch.setattr(windows, "TASK_ROWS", 100)
-    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
-    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
-    places = windows.numbered(df.select("o"), ["o"], "place")
-    assert places.filter("place = o").count() == 3_000
+def test_jobs_do_not_grow_with_parts(spark, tmp_path):
+    for k in range(7):
+        put(tmp_path / "in", f"m{k}", events(k + 1) if k != 3 else events(2, "LogPhaseChange"))
+    put(tmp_path / "in" / "again", "m0", events(9))
+    put(tmp_path / "in", "m8", b"[{")
+    out, reads = f"file://{tmp_path}/out", []
 
+    def read(spark, paths):
+        reads.append(len(paths))
+        return raw.read_telemetry(spark, paths)
 
-def test_hot_values_are_not_repeated_for_each_rank(spark, monkeypatch):
-    df, placed, ps = spark.range(0, 60_000, 1, 4).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 60_013).cast("double").alias("v")), [], [0.1, 0.5, 0.99]
-    real = aggregates.stage
-    monkeypatch.setattr(aggregates, "stage", lambda d: (lambda out: placed.append(out.count() if out.columns == ["g", "v", "j"] else 0) or out)(real(d)))
-    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", ps).alias("q")).collect()}
-    got = {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()}
-    assert got == want and 0 < max(placed) <= 60_000 * len(ps) * 6 // 10_000
-    monkeypatch.setattr(aggregates, "MARGIN", -0.01)  # ranks lie outside: all values are cut
-    assert {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()} == want
+    assert ledger.ingest(spark, f"file://{tmp_path}/in", out, shred.shred_kill, matches=2, read=read) == 8
+    assert reads == [8, 1]  # all parts at once; a match's second file comes after its first
+    files = ledger.ledger(spark, out).collect()
+    assert sorted((r.match_id, r.n_events) for r in files) in ([("m0", 1), ("m0", 9), *((f"m{k}", k + 1 if k != 3 else 2) for k in range(1, 7))],)
+    assert max(sum(r.part == n for r in files) for n in {r.part for r in files}) <= 2
+    by_part = {(r.match_id, r.part): r.n_events for r in files if r.match_id != "m3"}
+    for part in tables.versions(spark, out, "part"):
+        rows = spark.read.schema("match_id string").parquet(f"{out}/part={part}/rows").groupBy("match_id").count().collect()
+        assert {(r.match_id, part): r["count"] for r in rows} == {k: n for k, n in by_part.items() if k[1] == part}
+    assert ledger.ingest(spark, f"file://{tmp_path}/in", out, shred.shred_kill, matches=2) == 0
 
 
 def test_driver_names_no_files(spark, tmp_path, monkeypatch):
@@ -250,18 +215,6 @@ def test_files_of_stores_that_arrow_does_not_know(spark, tmp_path, monkeypatch):
     assert {f.name: f.read_text() for f in (tmp_path / "w").iterdir() if not f.name.startswith(".")} == {"m1.json": "x\n", "m2.json": "y\n"}
 
 
-def test_tasks_stay_bounded(spark, monkeypatch):
-    from driftwell.operators import windows
-
-    monkeypatch.setattr(windows, "TASK_ROWS", 100)
-    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
-    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
-    places = windows.numbered(df.select("o"), ["o"], "place")
-    assert places.filter("place = o").count() == 3_000
-
-
 def test_hot_values_are_not_repeated_for_each_rank(spark, monkeypatch):
     df, placed, ps = spark.range(0, 60_000, 1, 4).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 60_013).cast("double").alias("v")), [], [0.1, 0.5, 0.99]
     real = aggregates.stage
@@ -273,48 +226,26 @@ def test_hot_values_are_not_repeated_for_each_rank(spark, monkeypatch):
     assert {r.k: r.q for r in aggregates.exact_quantiles(df, ["k"], "v", ps, hot_rows=1_000).collect()} == want
 
 
-def test_driver_names_no_files(spark, tmp_path, monkeypatch):
-    client, sent = spark.sparkContext._gateway._gateway_client, []
-    real = client.send_command
-    monkeypatch.setattr(client, "send_command", lambda *a, **k: sent.append(1) or real(*a, **k))
-
-    def written(n):
-        rows = spark.range(0, n, 1, 2).select(F.when(F.col("id") > 0, F.concat(F.lit("a:"), F.col("id") % 2)).alias("p"), F.concat(F.lit("m"), "id").alias("name"), F.when(F.col("id") != 1, F.concat(F.lit("é"), "id")).alias("body"))
-        sent.clear()
-        raw.write_files(rows, f"file://{tmp_path}/w{n}", by=["p"], suffix=".json.gz", compression="gzip")
-        return len(sent), {str(f.relative_to(tmp_path / f"w{n}")): gzip.decompress(f.read_bytes()).decode() for f in (tmp_path / f"w{n}").rglob("*") if f.is_file()}
-
-    (few, _), (many, files) = written(3), written(40)
-    assert many < few + 20
-    assert files == {f"p={'a%3A' + str(k % 2) if k else '__HIVE_DEFAULT_PARTITION__'}/m{k}.json.gz": (f"é{k}" if k != 1 else "") + "\n" for k in range(40)}
-    with pytest.raises(Exception, match="FileExistsError"):
-        raw.write_files(spark.createDataFrame([("m1", "x"), ("m1", "y")], "name string, body string"), f"file://{tmp_path}/twice")
+def test_tasks_stay_bounded(spark, monkeypatch):
+    from driftwell.operators import windows
 
+    monkeypatch.setattr(windows, "TASK_ROWS", 100)
+    df = spark.range(0, 3_000, 1, 3).select(F.floor(F.col("id") / 3).alias("k"), F.col("id").alias("o"))
+    out = windows.spread(df, 3_000, "k").withColumn("n", F.count(F.lit(1)).over(windows.over(["k"]))).groupBy("k", "o").agg(F.max("n").alias("n"))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 250 and out.filter("n = 3").count() == 3_000
+    places = windows.numbered(df.select("o"), ["o"], "place")
+    assert places.filter("place = o").count() == 3_000
 
-def test_files_of_stores_that_arrow_does_not_know(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(raw, "_arrow_store", lambda uri: False)
-    raw.write_files(spark.createDataFrame([("m1", "x"), ("m2", "y")], "name string, body string"), f"file://{tmp_path}/w")
-    assert {f.name: f.read_text() for f in (tmp_path / "w").iterdir() if not f.name.startswith(".")} == {"m1.json": "x\n", "m2.json": "y\n"}
 
+def test_manifests_shuffle_lines_before_they_are_text(spark):
+    from driftwell.plans import catalog, q_raw
 
-def test_jobs_do_not_grow_with_parts(spark, tmp_path):
-    for k in range(7):
-        put(tmp_path / "in", f"m{k}", events(k + 1) if k != 3 else events(2, "LogPhaseChange"))
-    put(tmp_path / "in" / "again", "m0", events(9))
-    put(tmp_path / "in", "m8", b"[{")
-    out, reads = f"file://{tmp_path}/out", []
+    lines = spark.createDataFrame([(1, 2, 3, 1, 1.0, 2.0, 0.0, "R")], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string")
 
-    def read(spark, paths):
-        reads.append(len(paths))
-        return raw.read_telemetry(spark, paths)
+    class T:
+        lineitem, orders = lines, spark.createDataFrame([(1, 9.0, "F", "1-URGENT")], "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderpriority string")
 
-    assert ledger.ingest(spark, f"file://{tmp_path}/in", out, shred.shred_kill, matches=2, read=read) == 8
-    assert reads == [8, 1]  # all parts at once; a match's second file comes after its first
-    files = ledger.ledger(spark, out).collect()
-    assert sorted((r.match_id, r.n_events) for r in files) in ([("m0", 1), ("m0", 9), *((f"m{k}", k + 1 if k != 3 else 2) for k in range(1, 7))],)
-    assert max(sum(r.part == n for r in files) for n in {r.part for r in files}) <= 2
-    by_part = {(r.match_id, r.part): r.n_events for r in files if r.match_id != "m3"}
-    for part in tables.versions(spark, out, "part"):
-        rows = spark.read.schema("match_id string").parquet(f"{out}/part={part}/rows").groupBy("match_id").count().collect()
-        assert {(r.match_id, part): r["count"] for r in rows} == {k: n for k, n in by_part.items() if k[1] == part}
-    assert ledger.ingest(spark, f"file://{tmp_path}/in", out, shred.shred_kill, matches=2) == 0
+    assert catalog.QUERIES and q_raw.manifests(T).select(F.size("included").alias("n")).first().n == 2
+    plan = q_raw.manifests(T)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan and "l_returnflag" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
