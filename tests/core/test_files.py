@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwell.operators import aggregates, joins, models, ratings
+from driftwell.plans import catalog
 from driftwell.sources import ledger, raw, shred, tables
-from driftwell.sources.schemas import MANIFEST
+from driftwell.sources.schemas import MANIFEST, pruned
 
 COMPACT = """
 import sys
@@ -246,6 +247,26 @@ def test_manifests_shuffle_lines_before_they_are_text(spark):
     class T:
         lineitem, orders = lines, spark.createDataFrame([(1, 9.0, "F", "1-URGENT")], "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderpriority string")
 
-    assert catalog.QUERIES and q_raw.manifests(T).select(F.size("included").alias("n")).first().n == 2
-    plan = q_raw.manifests(T)._jdf.queryExecution().executedPlan().toString()
+    assert catalog.QUERIES and catalog.q_raw.manifests(T).select(F.size("included").alias("n")).first().n == 2
+    plan = catalog.q_raw.manifests(T)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan and "l_returnflag" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
+
+
+def test_manifests_are_put_together_once_and_parsed_as_needed(spark, tmp_path):
+    line = lambda o, n, supp, flag: (o, flag, n, 7 * n, supp, 3.0, 1.5, 0.01 * n)
+    lines = [line(1, n, n, "RAN"[n % 3]) for n in range(1, 13)] + [line(2, 1, 5, "A"), line(2, 2, 10, None)] + [line(4, 1, None, "N"), line(9, 1, 1, "N")]
+    spark.createDataFrame(lines, "l_orderkey long, l_returnflag string, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 9.5, 'O"', "1-URGENT") for k in (1, 2, 3, 4)], "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    t = catalog.Tables(spark, str(tmp_path))
+    whole = catalog.q_raw.manifests(t)
+    assert {r.data.id: [x.id for x in r.included if x.type == "participant"][:4] for r in whole.collect()}["m1"] == ["p1_1_7_1", "p1_4_28_4", "p1_7_49_7", "p1_10_70_10"]  # by flag, then number
+    humans = {tuple(r) for r in catalog.q_raw.shred_humans(t).collect()}
+    assert humans == {("m1", 2, 1)}
+    for some, all_ in ((catalog.q_raw.shred_matches(t), shred.shred_match(whole)), (catalog.q_raw.shred_rosters(t), shred.shred_roster(whole))):
+        assert sorted(map(str, some.collect())) == sorted(map(str, all_.select(*some.columns).collect()))
+    assert {r.match_id: (r.player_count, r.roster_count) for r in catalog.q_raw.shred_matches(t).collect()} == {"m1": (12, 3), "m2": (2, 2), "m3": (0, 0), "m4": (1, 1)}
+    plan = catalog.q_raw.shred_humans(t)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ObjectHashAggregate(") == 2 and "BroadcastExchange" not in plan  # one grouping, in two steps, and no text is broadcast
+    assert pruned(MANIFEST, "data.id", "included.attributes.stats.rank").simpleString() == "struct<data:struct<id:string>,included:array<struct<attributes:struct<stats:struct<rank:bigint>>>>>"
+    with pytest.raises(ValueError, match="ranks"):
+        pruned(MANIFEST, "included.attributes.stats.ranks")
